@@ -10,8 +10,9 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from gridsight.session import shared_dir
 
 
 @dataclass(frozen=True)
@@ -38,11 +39,32 @@ class MinMaxScale:
         return df.withColumns({c: scaled(c) for c in self.ranges})
 
 
-def _positions(ordered: DataFrame, name: str) -> DataFrame:
-    """Rows of a sorted table with their position from 0; the sort stays distributed."""
-    schema = StructType([*ordered.schema.fields, StructField(name, LongType(), False)])
-    pairs = ordered.rdd.zipWithIndex().map(lambda pair: (*pair[0], pair[1]))
-    return ordered.sparkSession.createDataFrame(pairs, schema)
+ROW_BITS = 33  # monotonically_increasing_id() keeps the row within its partition in these bits
+
+
+def _positions(df: DataFrame, order: list, name: str) -> DataFrame:
+    """Rows with their place from 0 in the given order, found by a distributed sort.
+
+    Spark sorts by range, so a row's place is its place within its partition plus the sizes of
+    the partitions before. The sorted rows are checkpointed: computed anew, they could be cut
+    into other ranges. Only one line per partition is broadcast.
+    """
+    shared_dir(df.sparkSession)
+    numbered = df.orderBy(*order).withColumn("slot", F.monotonically_increasing_id()).checkpoint()
+    rows = numbered.withColumns(
+        {
+            "part": F.shiftright("slot", ROW_BITS),
+            "inside": F.col("slot").bitwiseAND(F.lit((1 << ROW_BITS) - 1)),
+        }
+    )
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        rows.groupBy("part")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    )
+    placed = rows.join(F.broadcast(before), "part")
+    return placed.select(*df.columns, (F.col("start") + F.col("inside")).alias(name))
 
 
 def _join_codes(df: DataFrame, codes: DataFrame, on: str, broadcast: bool) -> DataFrame:
@@ -65,7 +87,7 @@ def encode_categories(df: DataFrame, columns: list[str]) -> DataFrame:
             F.array(*[F.struct(F.lit(c).alias("field"), text[c].alias("label")) for c in columns])
         ).alias("entry")
     ).select("entry.*").distinct()
-    codes = _positions(labels.orderBy("field", "label"), "place")
+    codes = _positions(labels, ["field", "label"], "place")
     first = codes.groupBy("field").agg(F.min("place").alias("first"), F.count("label").alias("n"))
     starts = {r["field"]: (r["first"], r["n"]) for r in first.collect()}  # one row per column
     small = sum(n for _, n in starts.values()) <= BROADCAST_LABELS
@@ -88,7 +110,7 @@ def index_key(df: DataFrame, column: str, name: str) -> DataFrame:
     """
     counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     ordered = counted.select(column, "n", F.col(column).cast("string").alias("text"))
-    places = _positions(ordered.orderBy(F.col("n").desc(), "text"), name).select(column, name)
+    places = _positions(ordered, [F.col("n").desc(), "text"], name).select(column, name)
     return _join_codes(df, places, column, places.count() <= BROADCAST_LABELS)
 
 

@@ -30,14 +30,15 @@ def shared_dir(spark: SparkSession) -> str:
     Where neither that setting nor a checkpoint directory exists, a folder is made only for a
     local master, since a cluster's machines cannot see one another's temporary folders.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    made = tempfile.mkdtemp(prefix="gridsight-")
-    spark.sparkContext.setCheckpointDir(made)
-    return shared_dir(spark)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not (named or context.getCheckpointDir()):
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        named = tempfile.mkdtemp(prefix="gridsight-")
+    if named and not context.getCheckpointDir():
+        context.setCheckpointDir(named)
+    return (named or context.getCheckpointDir()).rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

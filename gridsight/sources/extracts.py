@@ -68,7 +68,8 @@ def export_csv(df: DataFrame, path: str, files: int | None = None, sep: str = ",
     Few files for much data means few writers; give a number only for small results.
     """
     if files is not None:
-        df = df.coalesce(files) if files < 50 else df.repartition(files)
+        fewer = files < df.rdd.getNumPartitions()
+        df = df.coalesce(files) if fewer else df.repartition(files)
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
     return path
 
@@ -83,7 +84,7 @@ def write_extract(df: DataFrame, folder: str, name: str, sep: str = "|", by: str
         df.write.option("header", True).option("sep", sep).csv(path)
         return path
     batches = df.withColumn("batch", F.concat(F.lit(f"{name}_"), F.col(by))).drop(by)
-    batches.repartition("batch").write.partitionBy("batch").option("header", True).option(
+    batches.hint("rebalance", "batch").write.partitionBy("batch").option("header", True).option(
         "sep", sep
     ).csv(folder)
     return folder

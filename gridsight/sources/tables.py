@@ -24,16 +24,15 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 
 
 def write_replace(df: DataFrame, path: str, partition_by: str | None = None) -> str:
-    """Create or replace. With a partition column, rows are first gathered by it so that a
-    partition is written by few tasks; AQE splits a partition that is far larger than the rest."""
-    writer = df.hint("rebalance", partition_by).write if partition_by else df.write
+    """Create or replace, as one folder per value where a partition column is given."""
+    writer = gather_for_write(df, partition_by).write if partition_by else df.write
     writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return path
 
 
 def write_append(df: DataFrame, path: str, partition_by: str = LOAD) -> str:
-    df.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
+    gather_for_write(df, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
     return path
 
 
@@ -46,7 +45,7 @@ def save_as_table(df: DataFrame, name: str, path: str | None = None) -> DataFram
 
 def replace_loads(df: DataFrame, path: str, partition_by: str = LOAD) -> str:
     """Replace exactly the partitions that ``df`` has rows for; running it again is harmless."""
-    df.hint("rebalance", partition_by).write.mode("overwrite").option(
+    gather_for_write(df, partition_by).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(partition_by).parquet(path)
     return path
@@ -138,6 +137,10 @@ def newer_rows(source: DataFrame, target: DataFrame, at: str) -> DataFrame:
     return source.filter(mark.isNull() | (F.col(at) > mark))
 
 
-def gather_for_write(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Repartition by a key before a partitioned write; anywhere else AQE sizes partitions."""
-    return df.repartition(partitions, key) if partitions else df.repartition(key)
+def gather_for_write(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a key come together before a partitioned write, so that few files are made.
+
+    AQE merges small groups and splits one that is too large for a task, which a plain
+    ``repartition(key)`` would not. Elsewhere partition counts need no help.
+    """
+    return df.hint("rebalance", key)
