@@ -19,7 +19,9 @@ class Tables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        found = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, found)  # a query that names a table twice lists its files once
+        return found
 
 
 VIEWS = {}

@@ -30,16 +30,14 @@ def totals_and_averages(columns: dict[str, int | None]) -> list[Measure]:
     ]
 
 
-def _units(m: Measure) -> Column:
-    value = F.col(f"`{m.column}`")
-    return value if m.digits is None else F.rint(value * 10**m.digits).cast("bigint")
-
-
 def _parts(m: Measure) -> dict[str, tuple[Column, Column]]:
     """Name -> (aggregate over rows, aggregate over partial groups)."""
+    value = f"`{m.column}`"
+    if m.digits is not None and m.kind != "min":
+        value = f"CAST(rint({value} * {10**m.digits}) AS BIGINT)"
     total, rows, low = f"sum#{m.column}", f"rows#{m.column}", f"min#{m.column}"
-    summed = {total: (F.sum(_units(m)), F.sum(f"`{total}`"))}
-    counted = {rows: (F.count(F.col(f"`{m.column}`")), F.sum(f"`{rows}`"))}
+    summed = {total: (F.expr(f"sum({value})"), F.expr(f"sum(`{total}`)"))}
+    counted = {rows: (F.expr(f"count(`{m.column}`)"), F.expr(f"sum(`{rows}`)"))}
     if m.kind == "sum":
         return summed
     if m.kind == "avg":

@@ -9,9 +9,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(app: str = "gridsight", cores: str = "*", partitions: int = 8) -> SparkSession:
+def local_session(
+    app: str = "gridsight", cores: str = "*", partitions: int = 8, settings: dict | None = None
+) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own settings."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -19,9 +21,12 @@ def local_session(app: str = "gridsight", cores: str = "*", partitions: int = 8)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("GRIDSIGHT_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for name, value in (settings or {}).items():
+        builder = builder.config(name, value)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
