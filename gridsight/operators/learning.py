@@ -67,19 +67,26 @@ def _positions(df: DataFrame, order: list, name: str) -> DataFrame:
     return placed.select(*df.columns, (F.col("start") + F.col("inside")).alias(name))
 
 
-def _join_codes(df: DataFrame, codes: DataFrame, on: str, broadcast: bool) -> DataFrame:
-    return df.join(F.broadcast(codes) if broadcast else codes, on, "left")
+BROADCAST_BYTES = 32 << 20
+ROW_BYTES = 16
 
 
-BROADCAST_LABELS = 200_000
+def _bytes(text: str) -> Column:
+    """Size of a table of labels with their codes."""
+    return F.coalesce(F.sum(F.octet_length(text) + ROW_BYTES), F.lit(0))
+
+
+def _join_codes(df: DataFrame, codes: DataFrame, on: str, size: int) -> DataFrame:
+    """Broadcast the codes when their measured size allows; else adaptive execution splits the
+    rows of a frequent value."""
+    return df.join(F.broadcast(codes) if size <= BROADCAST_BYTES else codes, on, "left")
 
 
 def encode_categories(df: DataFrame, columns: list[str]) -> DataFrame:
     """Replace each column's text by its place among the column's sorted distinct values.
 
     NULL is the category ``nan``. The distinct values of all columns are found in one pass and
-    sorted by Spark. Code tables are broadcast only when their counted size is below a bound, and
-    otherwise joined by shuffle, where adaptive execution splits a frequent value.
+    sorted by Spark.
     """
     text = {c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in columns}
     labels = df.select(
@@ -88,30 +95,29 @@ def encode_categories(df: DataFrame, columns: list[str]) -> DataFrame:
         ).alias("entry")
     ).select("entry.*").distinct()
     codes = _positions(labels, ["field", "label"], "place")
-    first = codes.groupBy("field").agg(F.min("place").alias("first"), F.count("label").alias("n"))
-    starts = {r["field"]: (r["first"], r["n"]) for r in first.collect()}  # one row per column
-    small = sum(n for _, n in starts.values()) <= BROADCAST_LABELS
+    first = codes.groupBy("field").agg(F.min("place").alias("first"), _bytes("label").alias("size"))
+    starts = {r["field"]: r for r in first.collect()}  # one row per column
     out = df.withColumns({c: text[c] for c in columns})
     for c in columns:
         if c not in starts:
             continue
         table = codes.filter(F.col("field") == c).select(
-            F.col("label").alias(c), (F.col("place") - starts[c][0]).alias(f"{c}#code")
+            F.col("label").alias(c), (F.col("place") - starts[c]["first"]).alias(f"{c}#code")
         )
-        out = _join_codes(out, table, c, small).drop(c).withColumnRenamed(f"{c}#code", c)
+        out = _join_codes(out, table, c, starts[c]["size"]).drop(c).withColumnRenamed(f"{c}#code", c)
     return out.select(*df.columns)
 
 
 def index_key(df: DataFrame, column: str, name: str) -> DataFrame:
     """Index of each key by falling frequency, ties by the key's text, starting at 0.
 
-    There may be as many keys as accounts, so they are neither collected nor broadcast unless
-    their number is below the bound.
+    There may be as many keys as accounts, so they are never collected.
     """
     counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     ordered = counted.select(column, "n", F.col(column).cast("string").alias("text"))
-    places = _positions(ordered, [F.col("n").desc(), "text"], name).select(column, name)
-    return _join_codes(df, places, column, places.count() <= BROADCAST_LABELS)
+    placed = _positions(ordered, [F.col("n").desc(), "text"], name)
+    size = placed.agg(_bytes("text")).first()[0]
+    return _join_codes(df, placed.select(column, name), column, size)
 
 
 @dataclass(frozen=True)

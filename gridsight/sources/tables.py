@@ -60,13 +60,17 @@ def idempotent_append(new: DataFrame, path: str, keys: list[str]) -> int:
     return read_table(spark, path).count() - before
 
 
-def drop_loads(spark: SparkSession, path: str, loads: list, partition_by: str = LOAD) -> None:
-    """Remove whole partitions."""
-    paths = spark._jvm.org.apache.hadoop.fs
-    fs = paths.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for load in loads:
-        folder = paths.Path(f"{path}/{partition_by}={load}")
-        if fs.exists(folder) and not fs.delete(folder, True):
+def _folder() -> Column:
+    """The folder a row was read from; the same for all rows of a load."""
+    return F.min(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)).alias("folder")
+
+
+def drop_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Remove whole partitions by the folders that Spark read them from."""
+    for folder in folders:
+        at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(at) and not fs.delete(at, True):
             raise OSError(f"could not remove {folder}")
 
 
@@ -80,16 +84,18 @@ def delete_where(spark: SparkSession, path: str, predicate: Column, partition_by
     table = read_table(spark, path)
     lines = (
         table.groupBy(partition_by)
-        .agg(F.count_if(hit).alias("hits"), F.count_if(~hit).alias("kept"))
+        .agg(
+            F.count_if(hit).alias("hits"), F.count_if(~hit).alias("kept"), _folder()
+        )
         .filter("hits > 0")
         .collect()
     )
     rewrite = [r[partition_by] for r in lines if r["kept"] > 0]
-    remove = [r[partition_by] for r in lines if r["kept"] == 0]
+    emptied = [r for r in lines if r["kept"] == 0]
     if rewrite:
         replace_loads(table.filter(F.col(partition_by).isin(rewrite) & ~hit), path, partition_by)
-    drop_loads(spark, path, remove, partition_by)
-    return sorted([*rewrite, *remove])
+    drop_folders(spark, [r["folder"] for r in emptied])
+    return sorted([*rewrite, *[r[partition_by] for r in emptied]])
 
 
 def load_history(table: DataFrame, at: str, limit: int = 100, partition_by: str = LOAD) -> DataFrame:
@@ -108,13 +114,11 @@ def as_of(table: DataFrame, load, partition_by: str = LOAD) -> DataFrame:
 
 
 def rollback_to(spark: SparkSession, path: str, load, partition_by: str = LOAD) -> list:
-    """Drop every load after ``load``."""
-    later = (
-        read_table(spark, path).select(partition_by).distinct().filter(F.col(partition_by) > load).collect()
-    )
-    loads = [r[0] for r in later]
-    drop_loads(spark, path, loads, partition_by)
-    return sorted(loads)
+    """Drop every load after ``load``; one line per dropped load comes to the driver."""
+    later = read_table(spark, path).filter(F.col(partition_by) > load)
+    lines = later.groupBy(partition_by).agg(_folder()).collect()
+    drop_folders(spark, [r["folder"] for r in lines])
+    return sorted(r[partition_by] for r in lines)
 
 
 def evolve(parts: list[DataFrame], target: StructType) -> DataFrame:
@@ -132,9 +136,14 @@ def evolve(parts: list[DataFrame], target: StructType) -> DataFrame:
 
 
 def newer_rows(source: DataFrame, target: DataFrame, at: str) -> DataFrame:
-    """Source rows after the target's latest time; all of them while the target is empty."""
-    mark = target.agg(F.max(at).alias("mark")).scalar()
-    return source.filter(mark.isNull() | (F.col(at) > mark))
+    """Source rows after the target's latest time; all of them while the target is empty.
+
+    The mark is fetched first, so that the filter holds a constant and prunes files.
+    """
+    mark = target.agg(F.max(at).cast("string")).first()[0]
+    if mark is None:
+        return source
+    return source.filter(F.col(at) > F.lit(mark).cast(target.schema[at].dataType))
 
 
 def gather_for_write(df: DataFrame, key: str) -> DataFrame:

@@ -103,6 +103,14 @@ def test_history_and_rollback(spark, folder):
     assert tables.read_table(spark, path).count() == 10
 
 
+def test_loads_with_awkward_names(spark, folder):
+    df = spark.createDataFrame([(1, "a:b c"), (2, "a:b c"), (3, "z%2F/y")], "id int, load_id string")
+    path = tables.write_append(df, f"{folder}/t")
+    assert tables.delete_where(spark, path, F.col("id") < 3) == ["a:b c"]
+    assert rows(tables.read_table(spark, path)) == [(3, "z%2F/y")]
+    assert tables.rollback_to(spark, path, "b") == ["z%2F/y"]
+
+
 def test_schema_of_old_and_new_loads(spark):
     target = StructType([StructField("a", LongType()), StructField("b", StringType())])
     old = spark.createDataFrame([(1, "gone")], "a int, c string")

@@ -302,9 +302,9 @@ def test_scale_is_fitted_on_train_only(spark):
     assert rows(scale.transform(df)) == [(0.0, 0.0), (1.0, 0.0), (2.0, None)]
 
 
-@pytest.mark.parametrize("bound", [200_000, 0])
+@pytest.mark.parametrize("bound", [1 << 20, 0])
 def test_codes_with_and_without_broadcast(spark, monkeypatch, bound):
-    monkeypatch.setattr(learning, "BROADCAST_LABELS", bound)
+    monkeypatch.setattr(learning, "BROADCAST_BYTES", bound)
     data = [(i, random.Random(i).choice(["b", "a", None, "z", "nb"]), str(i % 3)) for i in range(60)]
     df = spark.createDataFrame(data, "id int, x string, y string")
     place = {v: i for i, v in enumerate(sorted({str(d[1]) if d[1] else "nan" for d in data}))}
@@ -312,9 +312,9 @@ def test_codes_with_and_without_broadcast(spark, monkeypatch, bound):
     assert {r.id: (r.x, r.y) for r in got.collect()} == {i: (place[x or "nan"], int(y)) for i, x, y in data}
 
 
-@pytest.mark.parametrize("bound", [200_000, 0])
+@pytest.mark.parametrize("bound", [1 << 20, 0])
 def test_key_index_by_frequency(spark, monkeypatch, bound):
-    monkeypatch.setattr(learning, "BROADCAST_LABELS", bound)
+    monkeypatch.setattr(learning, "BROADCAST_BYTES", bound)
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "k string")
     assert rows(learning.index_key(df, "k", "i")) == [(None, None), ("a", 1), ("b", 2), ("c", 0), ("c", 0)]
 
