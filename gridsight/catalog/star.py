@@ -16,6 +16,7 @@ from gridsight.catalog.bindings import (
 from gridsight.catalog.registry import query
 from gridsight.functions.measures import Measure
 from gridsight.operators import cleaning, dimensions as dims, facts, summaries
+from gridsight.operators.joins import join_summary, stored
 
 MONTH = ["year", "month"]
 
@@ -196,35 +197,35 @@ def row_join_sql(summary: str, keys: list[str], columns: list[str]) -> str:
 @query("join_fact_consumer_dim", with_views(["billing", "complaints"], row_join_sql(
     complaint_sql("account, year, month", "account"), ["account", *MONTH], dims.COMPLAINT_COLUMNS)))
 def _(t):
-    joined = dims.with_complaints(billing(t), _consumer(t), ["account", *MONTH])
+    joined = dims.with_summary(billing(t), _consumer(t), ["account", *MONTH])
     return joined.select(*ROW, *dims.COMPLAINT_COLUMNS)
 
 
 @query("join_fact_ibc_crm", with_views(["billing", "complaints"], row_join_sql(
     complaint_sql("ibc_code, year, month", "ibc_name"), ["ibc_code", *MONTH], dims.COMPLAINT_COLUMNS)))
 def _(t):
-    joined = dims.with_complaints(billing(t), _centre(t), ["ibc_code", *MONTH])
+    joined = dims.with_summary(billing(t), _centre(t), ["ibc_code", *MONTH])
     return joined.select(*ROW, *dims.COMPLAINT_COLUMNS)
 
 
 @query("join_fact_ibc_crm_oms", with_views(["billing", "complaints", "outages"], row_join_sql(
     BOTH_SQL, ["ibc_code", *MONTH], dims.COMPLAINT_COLUMNS + dims.OUTAGE_COLUMNS)))
 def _(t):
-    joined = dims.with_complaints(billing(t), _centre_both(t).drop("ibc_name"), ["ibc_code", *MONTH])
+    joined = dims.with_summary(billing(t), _centre_both(t).drop("ibc_name"), ["ibc_code", *MONTH])
     return joined.select(*ROW, *dims.COMPLAINT_COLUMNS, *dims.OUTAGE_COLUMNS)
 
 
 @query("join_fact_pmt_crm", with_views(["billing", "complaints"], row_join_sql(
     complaint_sql("pmt, year, month", "ibc_name"), ["pmt", *MONTH], dims.COMPLAINT_COLUMNS)))
 def _(t):
-    joined = dims.with_complaints(billing(t), _transformer(t), ["pmt", *MONTH])
+    joined = dims.with_summary(billing(t), _transformer(t), ["pmt", *MONTH])
     return joined.select(*ROW, *dims.COMPLAINT_COLUMNS)
 
 
 @query("join_fact_ibc_oms", with_views(["billing", "outages"], row_join_sql(
     outage_sql("ibc_name, year, month"), ["ibc_name", *MONTH], dims.OUTAGE_COLUMNS)))
 def _(t):
-    joined = billing(t).join(_centre_faults(t), ["ibc_name", *MONTH], "inner")
+    joined = dims.with_summary(billing(t), _centre_faults(t), ["ibc_name", *MONTH])
     return joined.select(*ROW, *dims.OUTAGE_COLUMNS)
 
 
@@ -526,7 +527,7 @@ def _(t):
         F.col("l_orderkey").alias("ticket"), F.col("l_linenumber").alias("line"),
         F.col("l_suppkey").alias("feeder"), F.col("l_partkey").alias("dts"),
     )
-    return tickets.join(n["transformers"], "dts").join(powered, "feeder").select(
+    return join_summary(tickets.join(n["transformers"], "dts"), powered, ["feeder"]).select(
         "ticket", "line", "feeder", "dts", "device", "energy_created"
     )
 
@@ -621,4 +622,4 @@ def _(t):
         t.lineitem.withColumn("date", F.col("l_shipdate").cast("date")), ["date"],
         [Measure("temp", "avg", "l_quantity", 2), Measure("precip", "sum", "l_tax", 2)],
     )
-    return facts.join_weather(outages(t), weather).select("outage_id", "line_id", "date", "temp", "precip")
+    return facts.join_weather(outages(t), stored(weather)).select("outage_id", "line_id", "date", "temp", "precip")

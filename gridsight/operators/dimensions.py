@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gridsight.operators.joins import join_summary
 from gridsight.operators.summaries import billing_totals
 
 COMPLAINT_COLUMNS = ["complaints", "avg_resolution_minutes"]
@@ -30,9 +31,9 @@ CONSUMER_ATTRIBUTES = [
 ]
 
 
-def with_complaints(billing: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Billing rows that have complaints under the same keys."""
-    return billing.join(summary, keys, "inner")
+def with_summary(billing: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """Billing rows that have complaints or outages under the same keys, with those."""
+    return join_summary(billing, summary, keys)
 
 
 def one_row_per_key(df: DataFrame, keys: list[str], columns: list[str], order: str) -> DataFrame:

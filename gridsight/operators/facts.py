@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridsight.functions.measures import Measure, aggregate, aggregate_with_labels
 from gridsight.operators.cleaning import quoted, surrogate_key
+from gridsight.operators.joins import join_summary
 
 # The billing extract's tax, benefit and import columns.
 TAX_TERMS = [
@@ -74,7 +75,7 @@ def billing_and_recovery(billing: DataFrame, recovery: DataFrame, digits: int =
         ["account"],
         [Measure("recovery_amount", "sum", "total_amount", digits), Measure("paid_day", "avg", "paid_day")],
     )
-    fact = billed.join(paid, "account", "inner").select(
+    fact = join_summary(billed, paid, ["account"]).select(
         "document", "account", "due_date",
         F.col("net_amount").alias("total_amount"),
         "tax_amount",
@@ -123,11 +124,8 @@ def network_and_losses(
         ],
     )
     powered = energy.select("feeder", "device").distinct().join(readings, "device", "inner")
-    return (
-        faults.join(transformers.select("dts").distinct(), "dts", "left_semi")
-        .join(feeders.select("feeder").distinct(), "feeder", "left_semi")
-        .join(powered, "feeder", "inner")
-    )
+    known = faults.join(transformers, "dts", "left_semi").join(feeders, "feeder", "left_semi")
+    return join_summary(known, powered, ["feeder"])
 
 
 def recovery_by_date(billing: DataFrame, recovery: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -168,7 +166,6 @@ def kpi_fact(df: DataFrame, keys: list[str] = KPI_KEYS) -> DataFrame:
 def join_weather(outages: DataFrame, weather: DataFrame) -> DataFrame:
     """Outages beside the weather of their day; a day without weather keeps its outages.
 
-    Weather is one row per date. It is small where history is a few decades, but its size is left
-    for Catalyst to judge.
+    Weather is a stored table of one row per date; its size is left for Catalyst to judge.
     """
     return outages.join(weather, "date", "left")
