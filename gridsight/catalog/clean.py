@@ -262,6 +262,13 @@ def _(t):
     )
 
 
+@query("profile_before_after", """SELECT count(*) AS rows_before,
+  count(*) FILTER (WHERE o_orderstatus = 'F') AS rows_after, 6 AS columns_before, 5 AS columns_after
+FROM orders""")
+def _(t):
+    return cleaning.before_and_after(t.orders, cleaning.keep_active(t.orders, "o_orderstatus", "F"))
+
+
 @query("drop_null_rows", with_views(["outages"], """SELECT outage_id, reason, punching_delay, turnaround_minutes
 FROM outages WHERE reason IS NOT NULL AND punching_delay IS NOT NULL"""))
 def _(t):
@@ -294,7 +301,7 @@ def _(t):
 @query("scalar_text", r"""SELECT o_orderkey, replace(o_orderpriority, '-', '') AS replaced,
   regexp_matches(o_orderpriority, '^[0-9]+-[A-Z]+$') AS one_word, o_orderpriority LIKE '%LOW' AS is_low,
   substring(o_orderpriority, 1, 2) AS head, lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0') AS padded,
-  o_orderstatus || '/' || o_orderpriority AS joined, length(o_orderpriority) AS letters,
+  o_orderstatus || '/' || o_orderpriority AS joined, CAST(length(o_orderpriority) AS INTEGER) AS letters,
   split_part(o_orderpriority, '-', 2) AS tail, regexp_extract(o_orderpriority, '-([A-Z]+)', 1) AS word,
   o_orderstatus IN ('F', 'O') AS listed FROM orders""")
 def _(t):
@@ -316,7 +323,7 @@ def _(t):
 
 @query("scalar_time", """SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS year,
   CAST(month(l_shipdate) AS INTEGER) AS month, CAST(week(l_shipdate) AS INTEGER) AS week,
-  date_diff('day', o_orderdate, l_shipdate) AS days,
+  CAST(date_diff('day', o_orderdate, l_shipdate) AS INTEGER) AS days,
   CAST(date_diff('second', o_orderdate, l_shipdate) AS DOUBLE) / 60 AS minutes,
   CAST(l_shipdate AS DATE) AS day, strftime(l_shipdate, '%Y-%m') AS year_month,
   CAST(try_strptime(strftime(l_shipdate, '%d/%m/%Y'), '%d/%m/%Y') AS DATE) AS parsed,

@@ -201,27 +201,32 @@ def _(t):
     return tables.read_table(t.spark, tables.write_replace(typed, f"{folder}/table"))
 
 
-def _exported(t: Tables, files) -> DataFrame:
+def _scan_tasks(table: DataFrame) -> int:
+    """How many tasks read a table; for a plain scan this runs nothing."""
+    return table.rdd.getNumPartitions()
+
+
+def _exported(t: Tables, files: int | None = None, spread: bool = False) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    count = files(rows.rdd.getNumPartitions())
-    path = extracts.export_csv(rows, new_folder(t.spark, "export"), count)
+    path = extracts.export_csv(rows, new_folder(t.spark, "export"), files, spread)
     return _orders_typed(extracts.scan_delimited(t.spark, path))
 
 
 @query("export_csv", ORDER_SQL)
 def _(t):
-    return _exported(t, lambda partitions: None)
+    return _exported(t)
 
 
 @query("export_csv_few_files", ORDER_SQL)
 def _(t):
     """A quarter of the files there would be, but 20 at least."""
-    return _exported(t, lambda partitions: max(20, partitions // 4))
+    return _exported(t, max(20, _scan_tasks(t.orders) // 4))
 
 
 @query("export_csv_many_files", ORDER_SQL)
 def _(t):
-    return _exported(t, lambda partitions: max(100, 2 * partitions))
+    """Twice the files there would be, but 100 at least, by a shuffle."""
+    return _exported(t, max(100, 2 * _scan_tasks(t.orders)), spread=True)
 
 
 @query("repartition_cache", YEARLY_SQL)
@@ -369,16 +374,16 @@ EVENT_SQL = "SELECT event_id, user_id, event_type, value FROM events"
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
 
 
-def _spread(rows: DataFrame, least: int) -> DataFrame:
-    """At least ``least`` partitions, and as many as the data already has beyond that."""
-    return rows.repartition(max(least, rows.rdd.getNumPartitions()))
+def _spread(rows: DataFrame, least: int, table: DataFrame) -> DataFrame:
+    """At least ``least`` partitions, and as many as the table has beyond that."""
+    return rows.repartition(max(least, _scan_tasks(table)))
 
 
 def _landing(t: Tables, files: int = 4) -> str:
     """A landing folder holding events as billing files, and files of another kind."""
     landing = f"{new_folder(t.spark, 'landing')}/in"
     rows = _text(t.events.select(*EVENT_COLUMNS))
-    extracts.publish_extract(_spread(rows, files), landing, "Ageing_202401")
+    extracts.publish_extract(_spread(rows, files, t.events), landing, "Ageing_202401")
     extracts.publish_extract(rows.filter("event_type = 'error'"), landing, "Other_202401")
     return landing
 
@@ -464,7 +469,7 @@ def _(t):
     rows = raw_billing(t)
     landing = f"{new_folder(t.spark, 'landing')}/in"
     dated = rows.withColumnRenamed("yyyymm", "Batch Month")
-    extracts.publish_extract(_spread(dated, 2), landing, "Ageing_all")
+    extracts.publish_extract(_spread(dated, 2, t.orders), landing, "Ageing_all")
     columns = dated.columns
 
     def load(batch: DataFrame) -> DataFrame:

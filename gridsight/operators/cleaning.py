@@ -145,6 +145,17 @@ def profile(df: DataFrame) -> DataFrame:
     return df.agg(*counts).select(F.inline(F.array(*entries)))
 
 
+def before_and_after(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Rows and columns of a table before and after cleaning, in one row."""
+    rows_after = after.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return before.agg(F.count(F.lit(1)).alias("rows_before")).select(
+        "rows_before",
+        rows_after.alias("rows_after"),
+        F.lit(len(before.columns)).alias("columns_before"),
+        F.lit(len(after.columns)).alias("columns_after"),
+    )
+
+
 def distinct_names(left: DataFrame, left_name: str, right: DataFrame, right_name: str) -> DataFrame:
     """Names of two sources side by side, to find spellings that do not match."""
     a = left.select(quoted(left_name).alias("name")).distinct().withColumn("in_left", F.lit(1))

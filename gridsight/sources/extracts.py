@@ -62,14 +62,16 @@ def split_rejects(rows: DataFrame, required: str) -> tuple[DataFrame, DataFrame]
     return rows.filter(F.col(required).isNotNull()), rows.filter(F.col(required).isNull())
 
 
-def export_csv(df: DataFrame, path: str, files: int | None = None, sep: str = ",") -> str:
-    """Write CSV with a header; ``files`` reduces or spreads the output, ``None`` leaves it.
+def export_csv(
+    df: DataFrame, path: str, files: int | None = None, spread: bool = False, sep: str = ","
+) -> str:
+    """Write CSV with a header; ``files`` sets the number of files, ``None`` leaves it.
 
-    Few files for much data means few writers; give a number only for small results.
+    Without ``spread`` partitions are merged, which needs no shuffle but also runs the work before
+    in as few tasks; it suits small results. With it rows are shuffled into that many even files.
     """
     if files is not None:
-        fewer = files < df.rdd.getNumPartitions()
-        df = df.coalesce(files) if fewer else df.repartition(files)
+        df = df.repartition(files) if spread else df.coalesce(files)
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
     return path
 

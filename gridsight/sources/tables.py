@@ -43,9 +43,13 @@ def save_as_table(df: DataFrame, name: str, path: str | None = None) -> DataFram
     return df.sparkSession.table(name)
 
 
-def replace_loads(df: DataFrame, path: str, partition_by: str = LOAD) -> str:
-    """Replace exactly the partitions that ``df`` has rows for; running it again is harmless."""
-    gather_for_write(df, partition_by).write.mode("overwrite").option(
+def replace_loads(df: DataFrame, path: str, partition_by: str = LOAD, gather: bool = True) -> str:
+    """Replace exactly the partitions that ``df`` has rows for; running it again is harmless.
+
+    ``gather=False`` writes rows where they are, for input whose tasks each hold few loads.
+    """
+    rows = gather_for_write(df, partition_by) if gather else df
+    rows.write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(partition_by).parquet(path)
     return path

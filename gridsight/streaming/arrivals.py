@@ -53,11 +53,13 @@ def load_arrivals(
     """Write each batch's loads into the table at ``target``.
 
     A load's partition is replaced as a whole, so a batch repeated after a failure leaves the
-    table as it was. Without ``every`` the query takes what has arrived and stops.
+    table as it was. A task reads one file, hence one load, so rows are written without a
+    shuffle and a large file by as many tasks as read it. Without ``every`` the query takes what
+    has arrived and stops.
     """
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        tables.replace_loads(transform(batch), target)
+        tables.replace_loads(transform(batch), target, gather=False)
 
     writer = files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if every:

@@ -37,20 +37,10 @@ def plain(value):
     return value
 
 
-def family(type_name: str) -> str:
-    name = type_name.lower()
-    for prefixes, kind in (
-        (("tinyint", "smallint", "int", "bigint", "hugeint"), "whole"),
-        (("double", "float", "decimal"), "real"),
-        (("varchar", "string"), "text"),
-        (("timestamp",), "time"),
-        (("date",), "date"),
-        (("bool",), "bool"),
-        (("binary", "blob"), "bytes"),
-    ):
-        if name.startswith(prefixes):
-            return kind
-    return name
+SQL_TYPES = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
 
 
 def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
@@ -63,7 +53,7 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list
     sql_types = dict(zip(names, types))
     for field in df.schema.fields:
         mine, other = field.dataType.simpleString(), sql_types[field.name]
-        if family(mine) != family(other):
+        if SQL_TYPES.get(mine) != other:
             problems.append(f"{field.name}: {mine} != {other}")
     at = [names.index(c) for c in order]
     key = lambda row: tuple((v is not None, str(v)) for v in row)

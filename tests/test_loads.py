@@ -50,9 +50,9 @@ def test_files_still_changing_are_left_out(spark, folder):
     assert len(rows(extracts.scan_delimited(spark, folder, ["A"]))) == 2
 
 
-@pytest.mark.parametrize("files, parts", [(1, 1), (5, 5)])
-def test_export_file_count(spark, folder, files, parts):
-    path = extracts.export_csv(spark.range(100).repartition(3), f"{folder}/out", files)
+@pytest.mark.parametrize("files, spread, parts", [(1, False, 1), (5, True, 5), (None, False, 3)])
+def test_export_file_count(spark, folder, files, spread, parts):
+    path = extracts.export_csv(spark.range(100).repartition(3), f"{folder}/out", files, spread)
     assert len([f for f in os.listdir(path) if f.startswith("part-")]) == parts
     assert extracts.scan_delimited(spark, path).count() == 100
 
