@@ -57,7 +57,7 @@ def threshold_table(df: DataFrame, probability: str, label: str, by: list[str])
     A row counts as predicted for each threshold below its probability, so it is enough to know
     the highest such threshold. Rows are counted per group and highest threshold (at most 81 small
     rows a group, combined map-side), and a running total from the top gives every threshold. The
-    table is never multiplied by the thresholds.
+    table is never multiplied by the thresholds, and what produced it runs once.
     """
     p = F.col(probability)
     near = F.floor(p * 100).cast("int")
@@ -71,12 +71,13 @@ def threshold_table(df: DataFrame, probability: str, label: str, by: list[str])
     group = by or [F.lit(1)]
     every = Window.partitionBy(*group)
     above = every.orderBy(F.col("step").desc())
-    steps = (
-        hits.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("groups"))
-        .select(*by, F.explode(F.sequence(F.lit(FIRST_THRESHOLD - 1), F.lit(LAST_THRESHOLD))).alias("step"))
+    found = F.map_from_entries(F.collect_list(F.struct("step", F.struct("pos", "neg"))))
+    steps = F.explode(F.sequence(F.lit(FIRST_THRESHOLD - 1), F.lit(LAST_THRESHOLD)))
+    listed = hits.groupBy(*by).agg(found.alias("found")).select(*by, "found", steps.alias("step"))
+    at_step = F.try_element_at("found", F.col("step"))
+    counted = listed.select(
+        *by, "step", *[F.coalesce(at_step[c], F.lit(0)).alias(c) for c in ("pos", "neg")]
     )
-    counted = steps.join(hits, [*by, "step"], "left").fillna(0, ["pos", "neg"])
     totals = counted.select(
         *by,
         "step",

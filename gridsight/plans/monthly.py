@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from gridsight.operators import cleaning, dimensions as dims, summaries
+from gridsight.plans.billing import clean_billing
+from gridsight.sources import tables
 
 MONTH = ["year", "month"]
 
@@ -48,3 +50,25 @@ def billing_dims(billing: DataFrame, complaints: DataFrame, outages: DataFrame)
         "pmt_crm_ageing_dim": dims.transformer_dim(season, by["transformer"]),
         "ibc_oms_ageing_dim": dims.centre_dim(billing, faults, key="ibc_name"),
     }
+
+
+def load_months(
+    raw: DataFrame, base: str, complaints: DataFrame, outages: DataFrame
+) -> dict[str, str]:
+    """Land raw billing rows in the fact under ``base`` and refresh the dimensions of their months.
+
+    ``raw`` may hold any months, late ones too. The fact and each dimension are partitioned by
+    month (``YYYYMM``), and the partitions of the months given are replaced, so that a load may be
+    repeated. The dimensions read the stored fact, pruned to these months, rather than cleaning
+    the extract once for each of them. Returns the path of every table.
+    """
+    month = (F.col("year") * 100 + F.col("month")).alias(tables.LOAD)
+    fact = clean_billing(raw).select("*", month).filter(F.col(tables.LOAD).isNotNull())
+    paths = {"billing": tables.replace_loads(fact, f"{base}/billing")}
+    named = raw.select("billing_month").distinct().collect()  # one line per month
+    months = [int(r[0]) for r in named if r[0] and r[0].isdigit()]
+    stored = tables.read_table(raw.sparkSession, paths["billing"])
+    landed = stored.filter(F.col(tables.LOAD).isin(months)).drop(tables.LOAD)
+    for name, dim in billing_dims(landed, complaints, outages).items():
+        paths[name] = tables.replace_loads(dim.select("*", month), f"{base}/{name}")
+    return paths

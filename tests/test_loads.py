@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from gridsight.plans.billing import clean_billing
 from gridsight.plans.complaints import clean_complaints
-from gridsight.plans.monthly import billing_dims
+from gridsight.plans.monthly import billing_dims, load_months
 from gridsight.plans.outages import clean_outages
 from gridsight.session import new_folder
 from gridsight.sources import extracts, tables
@@ -261,3 +261,18 @@ def test_monthly_load_from_raw_text(spark):
     assert rows(made["pmt_crm_ageing_dim"], "pmt", "pmt_name", "total_current_amount", "complaints") == [(77, "T77", 21.0, 2)]
     assert rows(made["ibc_oms_ageing_dim"], "ibc_name", "month", "total_current_amount", "outages", "avg_duration_minutes") == [
         ("F.B. Area", 4, 21.0, 2, 30.0)]
+
+
+def test_repeated_and_late_months(spark, folder):
+    outages = clean_outages(raw_outages(spark)).withColumns({"year": F.year("created_at"), "month": F.month("created_at")})
+    complaints, raw = clean_complaints(raw_complaints(spark)), raw_billing(spark)
+    count = lambda paths, name: tables.read_table(spark, paths[name]).count()
+    paths = load_months(raw.filter("billing_month = '202310'"), folder, complaints, outages)
+    assert count(paths, "billing") == 1
+    for _ in range(2):
+        paths = load_months(raw.filter("billing_month = '202304'"), folder, complaints, outages)
+        assert (count(paths, "billing"), count(paths, "consumer_dim"), count(paths, "ibc_oms_ageing_dim")) == (4, 1, 1)
+    corrected = raw.filter("billing_month = '202304' AND AccountContract = '1'")
+    load_months(corrected, folder, complaints, outages)
+    assert count(paths, "billing") == 2
+    assert rows(tables.read_table(spark, paths["ibc_crm_ageing_dim"]), "load_id", "total_current_amount") == [(202304, 10.5)]
