@@ -29,6 +29,12 @@ def _timestamp(text: Column, layout: str) -> Column:
     return F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz")
 
 
+def finite(text: Column) -> Column:
+    """Text as a double; ``NaN`` and ``Infinity``, which casts accept, are no values here."""
+    number = text.try_cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def _recent_century(parsed: Column) -> Column:
     """Two-digit years are read as 20xx; those over 20 years ahead of today belong to 19xx."""
     ahead = parsed > F.localtimestamp() + F.make_ym_interval(F.lit(20))
@@ -73,7 +79,7 @@ def clock_minutes(text: Column) -> Column:
 
 
 def hours_as_minutes(hours: Column) -> Column:
-    return hours.try_cast("double") * 60
+    return finite(hours) * 60
 
 
 def month_number(name: Column) -> Column:
@@ -82,7 +88,7 @@ def month_number(name: Column) -> Column:
 
 
 def number_with_commas(text: Column) -> Column:
-    return F.regexp_replace(text, ",", "").try_cast("double")
+    return finite(F.regexp_replace(text, ",", ""))
 
 
 def digits_or_null(text: Column) -> Column:

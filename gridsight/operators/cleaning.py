@@ -37,12 +37,18 @@ def keep_active(df: DataFrame, status: str, active: str = "ACT") -> DataFrame:
 def keep_digits_or_null(df: DataFrame, column: str) -> DataFrame:
     """Remove rows whose text is neither digits nor NULL, then type the column as double."""
     return df.filter(parsing.digits_or_null(quoted(column))).withColumn(
-        column, quoted(column).try_cast("double")
+        column, parsing.finite(quoted(column))
     )
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    return df.withColumns({c: quoted(c).try_cast(t) for c, t in types.items()})
+    """Typed columns; what does not fit the type, or is not a finite number, becomes NULL."""
+    return df.withColumns(
+        {
+            c: parsing.finite(quoted(c)) if t == "double" else quoted(c).try_cast(t)
+            for c, t in types.items()
+        }
+    )
 
 
 def add_sums(df: DataFrame, sums: dict[str, tuple[str, str]]) -> DataFrame:

@@ -10,7 +10,10 @@ FIRST_THRESHOLD, LAST_THRESHOLD = 10, 89
 
 
 def threshold_label(df: DataFrame, probability: str, threshold: float, name: str = "predicted") -> DataFrame:
-    return df.withColumn(name, (F.col(probability) > F.lit(threshold)).cast("int"))
+    """1 where the probability is above the threshold; a missing one is not."""
+    p = F.col(probability)
+    above = (p > F.lit(threshold)) & ~F.isnan(p)
+    return df.withColumn(name, F.coalesce(above, F.lit(False)).cast("int"))
 
 
 def merge_predictions(predicted: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:

@@ -288,6 +288,13 @@ def test_published_counts(spark):
     assert board.score_percent == 77.5
 
 
+def test_missing_probability_is_below_any_threshold(spark):
+    df = spark.createDataFrame([(0.5,), (None,), (float("nan"),), (0.25,)], "p double")
+    assert sorted(r.predicted for r in ev.threshold_label(df, "p", 0.25).collect()) == [0, 0, 0, 1]
+    table = ev.threshold_table(df.withColumn("y", F.lit(1)), "p", "y", []).filter("threshold = 0.3").first()
+    assert (table.tp, table.fn) == (1, 3)
+
+
 def test_merge_pairs_each_week_once(spark):
     df = spark.sql("SELECT f, w, 0.5D AS p, 1 AS y FROM (VALUES (1), (2)) a(f) JOIN (VALUES (1), (2), (3)) b(w)")
     assert ev.merge_predictions(df.drop("y"), df.drop("p"), ["f", "w"]).count() == 6

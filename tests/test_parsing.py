@@ -35,7 +35,7 @@ CASES = [
      [62.05, None, None, None, None, None, 0.5]),
     (parsing.hours_as_minutes, ["2", "1.5", "x", None], [120.0, 90.0, None, None]),
     (parsing.month_number, ["Jan", "Dec", "jan", "January", None], [1, 12, None, None, None]),
-    (parsing.number_with_commas, ["1,234.5", "7", "n/a", None], [1234.5, 7.0, None, None]),
+    (parsing.number_with_commas, ["1,234.5", "7", "n/a", None, "NaN", "-Infinity"], [1234.5, 7.0, None, None, None, None]),
     (parsing.digits_or_null, ["12", "1.5", "-3", "LL", "", " ", None],
      [True, False, False, False, False, False, True]),
     (parsing.blank_as_zero, [None, "", "  ", "1", "x"], [0, 0, 0, 1, None]),
