@@ -38,11 +38,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def blocks(texts: list[bytes], size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``size`` bytes; a longer text is a range of its own."""
+def blocks(texts: list[bytes], size: int = BLOCK_BYTES, rows: int = 1024) -> Iterator[tuple[int, int]]:
+    """Ranges of up to ``rows`` texts of about ``size`` bytes; a longer text is a range of its own."""
     start = total = 0
     for i, text in enumerate(texts):
-        if total and total + len(text) > size:
+        if i > start and (total + len(text) > size or i - start == rows):
             yield start, i
             start, total = i, 0
         total += len(text)
