@@ -14,6 +14,17 @@ from gridsight.session import new_folder, shared_dir
 BLOCK_BYTES = 1 << 20
 
 
+#: Bytes of words (digits, letters, all beyond ASCII) to themselves or lower case, others to a space.
+WORD_BYTES = bytes(
+    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
+    for b in range(256)
+)
+
+
+def words_of(text: bytes) -> list[bytes]:
+    return text.translate(WORD_BYTES).split()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

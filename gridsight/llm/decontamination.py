@@ -22,18 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridsight.llm.common import blocks, checkpointed, offsets, pieces, utf8
+from gridsight.llm.common import WORD_BYTES, blocks, checkpointed, offsets, pieces, utf8, words_of
 
 #: Words to a window.
 WINDOW = 10
 #: Windows broadcast at once: about 100 bytes each, so 100 MB at most.
 MAX_WINDOWS = 1_000_000
 
-#: Bytes of words to themselves or lower case, all others to a space.
-WORD_BYTES = bytes(
-    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
-    for b in range(256)
-)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _RESULT = "struct<n_words:bigint,spans:array<struct<start:bigint,end:bigint>>,items:array<string>>"
 _ARROW = pa.struct([
@@ -43,10 +38,6 @@ _ARROW = pa.struct([
 ])
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.translate(WORD_BYTES).split()
-
-
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row for each item id and distinct window: its words, space-separated."""
 
