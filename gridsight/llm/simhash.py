@@ -5,8 +5,8 @@ distance, some segment differs by one bit at most, so the two agree on one of th
 with a single bit left out. Every distinct fingerprint is indexed under its 64 variants; equal variants
 give candidates, which the full bit distance verifies.
 
-A variant that more than ``MAX_BUCKET`` fingerprints share gives no pairs as it is: its members are
-dealt again by bit groups of which a linked pair must agree on one whole (``distance + 1`` groups that
+The index is shuffled once, to meet itself. A variant that more than ``MAX_BUCKET`` fingerprints share
+gives no pairs as it is: its members are dealt again by bit groups of which a linked pair must agree on one whole (``distance + 1`` groups that
 cover all bits), and again by other groups, until buckets are small. That is exact, and a row meets
 ``MAX_BUCKET`` others at most.
 
@@ -106,13 +106,24 @@ def _near(distance: int) -> Column:
     return F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
 
 
-def _wildcard_masks(distance: int) -> list[int]:
-    """For each bit, the mask of its segment without that bit."""
-    bounds = [64 * i // (distance // 2 + 1) for i in range(distance // 2 + 2)]
-    return [
-        sum(1 << bit for bit in range(low, high)) & ~(1 << out)
-        for low, high in zip(bounds, bounds[1:]) for out in range(low, high)
-    ]
+def _segments(distance: int) -> list[tuple[int, int]]:
+    """First bit and end of each segment."""
+    many = distance // 2 + 1
+    return [(64 * i // many, 64 * (i + 1) // many) for i in range(many)]
+
+
+def _mask(low: int, high: int) -> int:
+    return (1 << high) - (1 << low)
+
+
+def _variants(fp: Column, low: int, high: int) -> list[Column]:
+    """The segment's keys: its bits in their place without one of them, and elsewhere which one."""
+    out = []
+    for bit in range(low, high):
+        rest = fp.bitwiseAND(F.lit(_signed(_mask(low, high) & ~(1 << bit))))
+        place = 0 if low >= 6 else high
+        out.append(rest.bitwiseOR(F.lit(_signed(bit << place))) if place <= 58 else F.xxhash64(rest, F.lit(bit)))
+    return out
 
 
 def _groups(level: int, distance: int) -> list[int]:
@@ -122,36 +133,55 @@ def _groups(level: int, distance: int) -> list[int]:
     return [sum(1 << bit for bit in order[i::many]) for i in range(many)]
 
 
+def _pairs(index: DataFrame, distance: int) -> DataFrame:
+    """Linked pairs among the fingerprints of equal keys."""
+    one, two = (index.select("key", F.col("fp").alias(side)) for side in "ab")
+    met = one.join(two, "key").where((F.col("a") < F.col("b")) & _near(distance))
+    return kept(met.select("a", "b").distinct(), "pairs")
+
+
+def _crowded(prints: DataFrame, index: DataFrame, distance: int, max_bucket: int) -> DataFrame:
+    """Keys of the index that more than ``max_bucket`` fingerprints have. Such a key's members have at
+    most two values of its segment, so one value has over half as many; values are counted first, one a
+    segment, and only keys of frequent values are counted themselves."""
+    bounds = _segments(distance)
+    values = F.array(*(F.col("fp").bitwiseAND(F.lit(_signed(_mask(*b)))) for b in bounds))
+    frequent = kept(
+        prints.select(F.posexplode(values).alias("segment", "value")).groupBy("segment", "value").count()
+        .where(F.col("count") > max_bucket // 2), "frequent")
+    if frequent.isEmpty():
+        return frequent.select(F.col("value").alias("key"))
+    keys = None
+    for segment, (low, high) in enumerate(bounds):
+        own = frequent.where(F.col("segment") == segment).select(
+            F.explode(F.array(*_variants(F.col("value"), low, high))).alias("key"))
+        keys = own if keys is None else keys.unionByName(own)
+    counts = index.join(keys.distinct(), "key", "left_semi").groupBy("key").count()
+    return kept(counts.where(F.col("count") > max_bucket).select("key"), "crowded")
+
+
 def links(prints: DataFrame, distance: int = DISTANCE, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """Pairs (a, b), a < b, of the distinct fingerprints in column ``fp`` that differ by ``distance``
     bits at most; every such pair, once."""
     fp = F.col("fp")
-    masks = [fp.bitwiseAND(F.lit(_signed(m))) for m in _wildcard_masks(distance)]
-    index = prints.select("fp", F.posexplode(F.array(*masks)).alias("slot", "key"))
-    found = []
+    keys = [key for low, high in _segments(distance) for key in _variants(fp, low, high)]
+    index = prints.select("fp", F.explode(F.array(*keys)).alias("key"))
+    crowded = _crowded(prints, index, distance, max_bucket)
+    if crowded.isEmpty():
+        return _pairs(index, distance)
+    out = _pairs(index.join(crowded, "key", "left_anti"), distance)
+    index = kept(index.join(crowded, "key", "left_semi"), "index")
     for level in range(1, ROUNDS + 1):
-        buckets = kept(
-            index.groupBy("slot", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-            .where("n > 1"), "buckets")
-        found.append(kept(buckets.where("n = 2").select("a", "b").where(_near(distance)).distinct(), "pairs"))
-        larger = buckets.where("n > 2").select("slot", "key", "n")
-        if larger.isEmpty():
-            break
-        members = kept(index.join(larger, ["slot", "key"]), "members")
-        small = members if level == ROUNDS else members.where(F.col("n") <= max_bucket)
-        one, two = (small.select("slot", "key", fp.alias(side)) for side in "ab")
-        found.append(kept(
-            one.join(two, ["slot", "key"]).where((F.col("a") < F.col("b")) & _near(distance))
-            .select("a", "b").distinct(), "pairs"))
-        crowded = members.where(F.col("n") > max_bucket)
-        if level == ROUNDS or crowded.isEmpty():
-            break
         groups = F.array(*(fp.bitwiseAND(F.lit(_signed(m))) for m in _groups(level, distance)))
-        index = crowded.select("fp", "slot", "key", F.posexplode(groups).alias("part", "bits")).select(
-            "fp", F.col("part").alias("slot"), F.xxhash64("slot", "key", "part", "bits").alias("key"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+        index = index.select("fp", "key", F.posexplode(groups).alias("part", "bits")).select(
+            "fp", F.xxhash64("key", "part", "bits").alias("key"))
+        sizes = kept(index.groupBy("key").count().where("count > 1"), "sizes")
+        members = kept(index.join(sizes, "key"), "members")
+        small = members if level == ROUNDS else members.where(F.col("count") <= max_bucket)
+        out = out.unionByName(_pairs(small, distance))
+        index = members.where(F.col("count") > max_bucket).select("fp", "key")
+        if level == ROUNDS or index.isEmpty():
+            break
     return out.distinct()
 
 
