@@ -1,10 +1,10 @@
-"""Toxicity: a logistic regression over words that is penalised for reacting to identity terms.
+"""Toxicity: a logistic regression over words and word beginnings that is penalised for reacting to identity terms.
 
 The labelled texts that are learnt from are a bounded sample (``MAX_TRAIN``, by hash of the id). Words
 that tell the classes apart are chosen from counts over that sample. For every sampled text that names a
 group, counterfactual texts are made in which the named group is swapped for others of its kind; the loss
 adds the squared change of the score under each swap. Texts are scored whole, in Arrow batches, against
-the broadcast weights (``MAX_WORDS`` of them at most).
+the broadcast weights (``MAX_WORDS`` and the identity terms at most).
 
 Cases: a NULL, empty or wordless text has the score of the intercept; labels that are NULL or not 0 or 1,
 and rows without an id, teach nothing; equal texts with equal labels count once; without both labels the
@@ -26,12 +26,14 @@ from pyspark.sql import functions as F
 from gridsight.llm.common import WORD_BYTES, kept, pieces, utf8
 
 #: Labelled documents that are learnt from at most, words with a weight at most, least texts of a word.
-MAX_TRAIN, MAX_WORDS, MIN_TEXTS = 20_000, 1_000, 5
+MAX_TRAIN, MAX_WORDS, MIN_TEXTS = 12_000, 1_000, 5
 #: One id in so many is held out from learning.
 FOLDS = 5
+#: Lengths in bytes of the word beginnings that are features beside whole words.
+STEMS = (4, 5, 6, 7)
 THRESHOLD = 0.5
-#: Weight of the squared score change under swaps; of the squared weights.
-SWAP_PENALTY, RIDGE = 10.0, 1e-5
+#: Weight of the squared score change under swaps; of the absolute weights.
+SWAP_PENALTY, SPARSITY = 10.0, 1e-4
 #: Names of groups; a counterfactual puts another name of the same line in a name's place.
 IDENTITY_TERMS = (
     ("christian", "muslim", "jewish", "hindu", "buddhist", "sikh", "atheist", "catholic"),
@@ -48,8 +50,11 @@ IDENTITY_TERMS = (
 
 
 class Model(NamedTuple):
+    """Weights of words and of word beginnings (these hold a ``*``); words that have no beginnings."""
+
     weights: dict[bytes, float]
     intercept: float
+    names: frozenset = frozenset()
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -57,11 +62,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
 
 
-def distinct_words(text: bytes) -> set[bytes]:
+def features(text: bytes, names: frozenset | dict) -> set[bytes]:
+    """The text's distinct words, and the beginnings of those that are no group's name."""
     found: set[bytes] = set()
     for part in pieces(text.translate(WORD_BYTES)):
         found.update(part.split())
-    return found
+    stems = {word[:size] + b"*" for word in found if word not in names for size in STEMS if len(word) >= size}
+    return found | stems
 
 
 def _swaps(identities: tuple) -> dict[bytes, list[bytes]]:
@@ -74,14 +81,17 @@ def counterfactuals(words: set[bytes], swaps: dict[bytes, list[bytes]]) -> list[
     return [words - {name} | {other} for name in sorted(words & swaps.keys()) for other in swaps[name]]
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, text: str, max_train: int) -> DataFrame:
+def sample(
+    docs: DataFrame, labels: DataFrame, label: str, text: str, max_train: int, identities: tuple = IDENTITY_TERMS
+) -> DataFrame:
     """(label, words) of up to ``max_train`` labelled rows outside the held-out fold."""
     usable = labels.where(F.col(label).isin(0, 1) & ~held_out()).select("doc_id", F.col(label).cast("int").alias("y"))
     chosen = usable.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_train)
 
     @F.arrow_udf("array<binary>")
     def split(texts: pa.Array) -> pa.Array:
-        return pa.array([sorted(distinct_words(t)) for t in texts.to_pylist()], pa.list_(pa.binary()))
+        names = _swaps(identities)
+        return pa.array([sorted(features(t, names)) for t in texts.to_pylist()], pa.list_(pa.binary()))
 
     rows = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
     once = rows.groupBy(F.xxhash64("text").alias("x"), F.md5(F.coalesce("text", F.lit(""))).alias("m"), "y").agg(
@@ -110,15 +120,15 @@ def _sparse(sets: list, at: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def learn(texts: list[set[bytes]], y: np.ndarray, vocabulary: list[bytes], identities: tuple,
-          penalty: float = SWAP_PENALTY, ridge: float = RIDGE, rounds: int = 400) -> Model:
-    """Weights that minimise log loss + penalty * mean squared score change under swaps + ridge, by
-    full gradients with momentum scaled by coordinate."""
+          penalty: float = SWAP_PENALTY, sparsity: float = SPARSITY, rounds: int = 600) -> Model:
+    """Weights that minimise class-balanced log loss + penalty * mean squared score change under swaps +
+    sparsity * sum of absolute weights, by accelerated proximal gradients."""
     share = (y.sum() + 1) / (len(y) + 2)
     if not vocabulary:
-        return Model({}, float(np.log(share / (1 - share))))
+        return Model({}, float(np.log(share / (1 - share))), frozenset(_swaps(identities)))
     swaps = _swaps(identities)
     vocabulary = [*dict.fromkeys([*vocabulary, *swaps])]
-    at = {word: i for i, word in enumerate(vocabulary)}
+    at, size = {word: i for i, word in enumerate(vocabulary)}, len(vocabulary)
     row, column = _sparse(texts, at)
     before, after = [], []
     for words in texts:
@@ -126,29 +136,44 @@ def learn(texts: list[set[bytes]], y: np.ndarray, vocabulary: list[bytes], ident
             before.append(words & at.keys())
             after.append(other & at.keys())
     plus, minus = _sparse(after, at), _sparse(before, at)
-    theta = np.zeros(len(vocabulary) + 1)
-    theta[-1] = np.log(share / (1 - share))
-    mean, square = np.zeros_like(theta), np.zeros_like(theta)
-    for step in range(1, rounds + 1):
-        z = theta[-1] + np.bincount(row, theta[column], len(y))
-        error = (1 / (1 + np.exp(-z)) - y) / len(y)
-        slope = np.append(np.bincount(column, error[row], len(vocabulary)), error.sum())
-        slope[:-1] += 2 * ridge * theta[:-1]
-        if before:
-            change = np.bincount(plus[0], theta[plus[1]], len(before)) - np.bincount(minus[0], theta[minus[1]], len(before))
-            change *= 2 * penalty / len(before)
-            slope[:-1] += np.bincount(plus[1], change[plus[0]], len(vocabulary))
-            slope[:-1] -= np.bincount(minus[1], change[minus[0]], len(vocabulary))
-        mean = 0.9 * mean + 0.1 * slope
-        square = 0.99 * square + 0.01 * slope * slope
-        theta -= 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-10)
-    return Model({w: float(theta[i]) for w, i in at.items()}, float(theta[-1]))
+    weight = np.where(y > 0, 1 / (2 * y.sum()), 1 / (2 * (len(y) - y.sum())))
+
+    def forward(theta: np.ndarray) -> np.ndarray:
+        return theta[-1] + np.bincount(row, theta[column], len(y))
+
+    def backward(error: np.ndarray) -> np.ndarray:
+        return np.append(np.bincount(column, error[row], size), error.sum())
+
+    def swapped(theta: np.ndarray) -> np.ndarray:
+        """The gradient of the penalty."""
+        if not before:
+            return np.zeros_like(theta)
+        change = np.bincount(plus[0], theta[plus[1]], len(before)) - np.bincount(minus[0], theta[minus[1]], len(before))
+        change *= 2 * penalty / len(before)
+        slope = np.bincount(plus[1], change[plus[0]], size) - np.bincount(minus[1], change[minus[0]], size)
+        return np.append(slope, 0.0)
+
+    steep = np.ones(size + 1)
+    for _ in range(30):
+        steep = backward(weight * forward(steep)) / 4 + swapped(steep)
+        curvature = np.linalg.norm(steep)
+        steep /= curvature
+    theta = np.zeros(size + 1)
+    ahead, speed = theta, 1.0
+    for _ in range(rounds):
+        error = weight * (1 / (1 + np.exp(-np.clip(forward(ahead), -50, 50))) - y)
+        moved = ahead - (backward(error) + swapped(ahead)) / (1.1 * curvature)
+        limit = sparsity / (1.1 * curvature)
+        moved[:-1] = np.sign(moved[:-1]) * np.maximum(np.abs(moved[:-1]) - limit, 0)
+        faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
+        ahead, theta, speed = moved + (speed - 1) / faster * (moved - theta), moved, faster
+    return Model({w: float(theta[i]) for w, i in at.items() if theta[i]}, float(theta[-1]), frozenset(swaps))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", max_train: int = MAX_TRAIN,
         max_words: int = MAX_WORDS, min_texts: int = MIN_TEXTS, identities: tuple = IDENTITY_TERMS,
         penalty: float = SWAP_PENALTY) -> Model:
-    rows = sample(docs, labels, label, text, max_train)
+    rows = sample(docs, labels, label, text, max_train, identities)
     vocabulary = informative_words(rows, max_words, min_texts)
     wanted = {*vocabulary, *_swaps(identities)}
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -168,10 +193,11 @@ def score(text: str | Column, model: Model, spark) -> Column:
 
     @F.arrow_udf("double")
     def probability(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        weights, intercept = shared.value
+        weights, intercept, names = shared.value
         for texts in batches:
             totals = [
-                math.fsum([intercept, *(weights[w] for w in distinct_words(t) & weights.keys())]) for t in texts.to_pylist()]
+                math.fsum([intercept, *(weights[w] for w in features(t, names) & weights.keys())])
+                for t in texts.to_pylist()]
             yield pa.array(1 / (1 + np.exp(-np.clip(totals, -700, 700))), pa.float64())
 
     return probability(utf8(text))

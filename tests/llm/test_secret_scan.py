@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gridsight.llm import secret_scan as s
 
-ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS, HEX = re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")
 
 
@@ -37,7 +37,7 @@ def test_same_as_plain_search(spark, folder):
 
 
 def test_whole_rule_set_keeps_base_spans(spark, folder):
-    text = "x -----BEGIN RSA PRIVATE KEY----- token=abcdefgh1 ghp_" + "a" * 36
+    text = "x -----BEGIN RSA PRIVATE KEY----- token=abcdefgh1 ghp_" + "z" * 36
     s.scan_load(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), folder, "1")
     found = s.report(spark, folder, "1").select(s.listed("spans").alias("x")).first().x
     assert found == f"pem:2:33,assign:34:49,forge:50:{len(text)}"
