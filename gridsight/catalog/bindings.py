@@ -83,7 +83,7 @@ SELECT o_orderkey * 10 + l_linenumber AS ticket, CAST(o_custkey AS VARCHAR) AS a
   CAST(c_nationkey AS VARCHAR) AS ibc_code, n_name AS ibc_name,
   l_suppkey AS pmt, s_name AS pmt_name, s_nationkey AS feeder_id,
   'FDR-' || s_nationkey AS feeder_name, c_mktsegment AS star_customer,
-  CAST(date_diff('day', o_orderdate, l_shipdate) AS DOUBLE) * 1440 AS resolution_minutes
+  CAST(date_diff('day', o_orderdate, l_shipdate) * 86400 + l_linenumber * 7 AS DOUBLE) / 60 AS resolution_minutes
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN supplier ON l_suppkey = s_suppkey"""
 
@@ -108,7 +108,8 @@ def complaints(t: Tables) -> DataFrame:
         F.col("s_nationkey").alias("feeder_id"),
         F.concat(F.lit("FDR-"), F.col("s_nationkey")).alias("feeder_name"),
         F.col("c_mktsegment").alias("star_customer"),
-        (F.datediff("l_shipdate", "o_orderdate").cast("double") * 1440).alias("resolution_minutes"),
+        ((F.datediff("l_shipdate", "o_orderdate") * 86400 + F.col("l_linenumber") * 7).cast("double") / 60)
+        .alias("resolution_minutes"),
     )
 
 
@@ -185,5 +186,10 @@ def sql_total(column: str, digits: int = 2) -> str:
     return f"(CAST(sum({unit}) AS DOUBLE) / {float(10**digits)})"
 
 
+def sql_mean(column: str) -> str:
+    """A plain mean, rounded once."""
+    return f"round(avg({column}), 6)"
+
+
 def sql_average(column: str, digits: int = 2) -> str:
     return f"({sql_total(column, digits)} / count({column}))"

@@ -231,12 +231,20 @@ def _(t):
     return cleaning.zero_columns(t.customer.select("c_custkey"), ZEROS)
 
 
-@query("surrogate_key", """SELECT l_orderkey, l_linenumber, l_partkey,
-  md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) || '|'
-    || CAST(l_partkey AS VARCHAR)) AS row_key FROM lineitem""")
-def _(t):
-    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    return cleaning.surrogate_key(t.lineitem.select(*keys), keys)
+@query("surrogate_key", """SELECT l_orderkey, l_linenumber, part, supplier,
+  md5(concat_ws('|', length(CAST(l_orderkey AS VARCHAR)) || ':' || l_orderkey,
+    length(CAST(l_linenumber AS VARCHAR)) || ':' || l_linenumber,
+    coalesce(length(part) || ':' || part, '-'), coalesce(length(supplier) || ':' || supplier, '-'))) AS row_key
+FROM (SELECT l_orderkey, l_linenumber,
+  CASE l_linenumber % 4 WHEN 0 THEN l_partkey || '|' || l_suppkey WHEN 1 THEN '' WHEN 2 THEN CAST(l_partkey AS VARCHAR) END AS part,
+  CASE l_linenumber % 4 WHEN 1 THEN CAST(l_suppkey AS VARCHAR) WHEN 2 THEN '' END AS supplier FROM lineitem)""")
+def _(t):
+    """Parts of the key that are NULL, empty or hold the separator."""
+    line, text = F.col("l_linenumber") % 4, lambda c: F.col(c).cast("string")
+    part = F.when(line == 0, F.concat_ws("|", text("l_partkey"), text("l_suppkey"))).when(line == 1, "").when(line == 2, text("l_partkey"))
+    supplier = F.when(line == 1, text("l_suppkey")).when(line == 2, "")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", part.alias("part"), supplier.alias("supplier"))
+    return cleaning.surrogate_key(rows, rows.columns)
 
 
 @query("season_gate", with_views(["billing"],

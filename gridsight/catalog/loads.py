@@ -13,12 +13,11 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from gridsight.catalog import bindings
 from gridsight.catalog.bindings import VIEWS, Tables, sql_total, weekly_scores, with_views
 from gridsight.catalog.registry import query
-from gridsight.catalog.star import centre_sql, complaint_sql
-from gridsight.operators import dimensions as dims
-from gridsight.operators.joins import stored
+from gridsight.catalog.star import centre_sql, complaint_sql, outage_sql
+from gridsight.operators import dimensions as dims, summaries
 from gridsight.plans.billing import clean_billing
 from gridsight.plans.complaints import clean_complaints
-from gridsight.plans.monthly import billing_dims, load_months
+from gridsight.plans.monthly import billing_dims, load_complaints, load_months, load_outages
 from gridsight.plans.outages import clean_outages
 from gridsight.session import new_folder
 from gridsight.sources import extracts, tables
@@ -154,14 +153,20 @@ def _(t):
     return tables.as_of(tables.read_table(t.spark, path), 1997)
 
 
-@query("idempotent_append", YEARLY_SQL)
+@query("idempotent_append", f"""
+WITH keyed AS (SELECT *, CASE WHEN o_orderkey % 50 <> 3 THEN o_orderkey // 2 END AS key FROM ({YEARLY_SQL})),
+base AS (SELECT * FROM keyed WHERE load_id < 1999),
+late AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY o_orderkey) AS place FROM keyed WHERE load_id >= 1998)
+SELECT * FROM base UNION ALL SELECT * EXCLUDE (place) FROM late WHERE place = 1
+  AND NOT EXISTS (SELECT 1 FROM base WHERE base.key IS NOT DISTINCT FROM late.key)""")
 def _(t):
-    """The second load overlaps the first and arrives twice."""
+    """The second load overlaps the first, repeats keys, has NULL ones, and arrives twice."""
     path = new_folder(t.spark, "idempotent")
-    tables.write_append(_yearly(t).filter("load_id < 1999"), path)
-    late = _yearly(t).filter("load_id >= 1998")
-    tables.idempotent_append(late, path, ["o_orderkey"])
-    tables.idempotent_append(late, path, ["o_orderkey"])
+    key = F.when(F.col("o_orderkey") % 50 != 3, F.expr("o_orderkey div 2"))
+    rows = _yearly(t).withColumn("key", key)
+    tables.write_append(rows.filter("load_id < 1999"), path)
+    for _ in range(2):
+        tables.idempotent_append(rows.filter("load_id >= 1998"), path, ["key"], ["o_orderkey"])
     return tables.read_table(t.spark, path)
 
 
@@ -262,6 +267,7 @@ def raw_billing(t: Tables) -> DataFrame:
         F.when(F.col("region") == "ASIA", "Undefined").otherwise(F.col("region")).alias("Region"),
         text("pmt").alias("PMT"),
         F.coalesce(F.col("consumer_type"), F.lit("-")).alias("Consumer Type"),
+        F.col("consumer_name").alias("Customer Name"),
         text("document").alias("Premise Type"),
         F.date_format("issue_date", "d-MMM-yy").alias("Last Payment Date"),
         text("current_amount").alias("CurrentAmount"),
@@ -270,7 +276,7 @@ def raw_billing(t: Tables) -> DataFrame:
         text("irb_detection_amount").alias("IRBDetectionAmount"),
         text("irb_revised_units").alias("IRBRevisedUnits"),
         text("irb_detection_units").alias("IRBDetectionUnits"),
-        F.floor("sanctioned_load").cast("string").alias("Sanctioned Load"),
+        text("sanctioned_load").alias("Sanctioned Load"),
         text("connected_load").alias("Connected Load"),
         F.lit("0").alias("C 0-30"),
         F.lit("7").alias("Contract"),
@@ -288,8 +294,8 @@ def landed_billing(t: Tables) -> DataFrame:
 SELECT account, document, billing_month, year, month, ibc_code, ibc_name,
   CASE WHEN region <> 'ASIA' THEN region END AS region, pmt, consumer_type, issue_date AS payment_date,
   year AS payment_year, month AS payment_month, current_amount, current_units, irb_amount, irb_units,
-  floor(sanctioned_load) AS sanctioned_load, connected_load
-FROM billing WHERE status = 'F'""".replace("floor(sanctioned_load)", "CAST(floor(sanctioned_load) AS BIGINT)")))
+  sanctioned_load, CAST(connected_load AS DOUBLE) AS connected_load
+FROM billing WHERE status = 'F'"""))
 def _(t):
     """Monthly pipe-delimited files to the cleaned billing fact, in one pass over all months."""
     return landed_billing(t).select(
@@ -356,16 +362,15 @@ def _(t):
     return fact.withColumn("outage_id", F.col("outage_id").cast("bigint"))
 
 
-ACTIVE = VIEWS["billing"].replace(
-    "c_acctbal AS sanctioned_load", "floor(c_acctbal) AS sanctioned_load"
-) + " WHERE o_orderstatus = 'F' AND month(o_orderdate) BETWEEN 4 AND 9"
+ACTIVE = VIEWS["billing"] + " WHERE o_orderstatus = 'F'"
 
 
-@query("monthly_load", f"WITH billing AS ({ACTIVE}), complaints AS ({VIEWS['complaints']})\n" + centre_sql(
+@query("monthly_load", f"WITH billing AS ({ACTIVE} AND month(o_orderdate) BETWEEN 4 AND 9), complaints AS ({VIEWS['complaints']})\n" + centre_sql(
     "ibc_code", ["ibc_name"], complaint_sql("ibc_code, year, month", "ibc_name"), dims.COMPLAINT_COLUMNS))
 def _(t):
-    """From landed billing files to the centre dimension, through the whole monthly load."""
-    made = billing_dims(landed_billing(t), bindings.complaints(t), bindings.outages(t))
+    """From landed billing files to the centre dimension, through the whole monthly load; of the
+    months from April to September, as the season gate has it."""
+    made = billing_dims(landed_billing(t), bindings.complaints(t), bindings.outages(t), season=True)
     return made["ibc_crm_ageing_dim"].drop("region")
 
 
@@ -375,12 +380,134 @@ def _(t):
     """Months land in two loads that overlap by a year; the dimension equals that of one load."""
     rows = raw_billing(t).withColumnRenamed("yyyymm", "billing_month")
     base = new_folder(t.spark, "star")
-    complaints = stored(bindings.complaints(t), "complaints")
+    load_complaints(bindings.complaints(t), base)
+    load_outages(bindings.outages(t), base)
     for some in (F.col("billing_month") < "199900", F.col("billing_month") > "199800"):
-        paths = load_months(rows.filter(some), base, complaints, bindings.outages(t))
+        paths = load_months(rows.filter(some), base)
     return tables.read_table(t.spark, paths["ibc_crm_ageing_dim"]).drop("region", tables.LOAD)
 
 
+# The month that the second load of ``_loaded`` empties, and the source rows that have no month.
+EMPTIED, NO_MONTH = 199805, 97
+
+
+def _two_names(df: DataFrame, parity: str) -> DataFrame:
+    """Every centre under two names: odd rows have the second."""
+    second = F.when(F.col(parity) % 2 == 1, F.concat("ibc_name", F.lit(" II"))).otherwise(F.col("ibc_name"))
+    return df.withColumn("ibc_name", second)
+
+
+def _two_names_sql(view: str, parity: str) -> str:
+    return f"""SELECT * REPLACE (CASE WHEN {parity} % 2 = 1 THEN ibc_name || ' II' ELSE ibc_name END AS ibc_name)
+FROM ({VIEWS[view]})"""
+
+
+def _loaded(t: Tables) -> dict[str, str]:
+    """All tables after three loads: complaints and outages; every billing month, some rows without
+    one; and a correction after which a month has no active row left."""
+    base = new_folder(t.spark, "star")
+    load_complaints(_two_names(bindings.complaints(t), "ticket"), base)
+    load_outages(_two_names(bindings.outages(t), "outage_id"), base)
+    raw = raw_billing(t).withColumnRenamed("yyyymm", "billing_month").withColumns({
+        "IBCName": F.when(F.col("Premise Type").cast("bigint") % 2 == 1, F.concat("IBCName", F.lit(" II")))
+        .otherwise(F.col("IBCName")),
+        "billing_month": F.when(F.col("Premise Type").cast("bigint") % NO_MONTH != 0, F.col("billing_month")),
+    })
+    paths = load_months(raw, base, "all")
+    corrected = raw.filter(F.col("billing_month") == str(EMPTIED)).withColumn("Status", F.lit("INA"))
+    return paths | load_months(corrected, base, "corrected") | {"rejects": paths["rejects"]}
+
+
+LOADED_SQL = f"""WITH billing AS (SELECT * FROM ({_two_names_sql("billing", "document")})
+  WHERE status = 'F' AND document % {NO_MONTH} <> 0 AND year * 100 + month <> {EMPTIED}),
+complaints AS ({_two_names_sql("complaints", "ticket")}),
+outages AS ({_two_names_sql("outages", "outage_id")})
+"""
+# A centre name's code, as billing and the complaint summaries know it.
+CODED_SQL = """SELECT o.* FROM (SELECT outages.*, c.ibc_code FROM outages JOIN (
+  SELECT ibc_name, min(ibc_code) AS ibc_code FROM (
+    SELECT ibc_name, ibc_code FROM billing
+    UNION ALL SELECT min(ibc_name), ibc_code FROM complaints GROUP BY ibc_code, year, month) GROUP BY 1) c
+  ON outages.ibc_name = c.ibc_name) o"""
+
+
+def _of_load(t: Tables, name: str) -> DataFrame:
+    return tables.read_table(t.spark, _loaded(t)[name]).drop("region", tables.LOAD)
+
+
+@query("monthly_load_billing", LOADED_SQL + """SELECT account, document, billing_month, year, month, ibc_code, ibc_name,
+  current_amount, sanctioned_load FROM billing""")
+def _(t):
+    return _of_load(t, "billing").select(
+        "account", F.col("premise_type").cast("bigint").alias("document"), "billing_month", "year", "month",
+        "ibc_code", "ibc_name", "current_amount", "sanctioned_load")
+
+
+@query("monthly_load_rejects", f"""SELECT o_orderkey AS document, CAST(NULL AS VARCHAR) AS billing_month
+FROM orders WHERE o_orderkey % {NO_MONTH} = 0""")
+def _(t):
+    """Rows without a month, active or not, as they came."""
+    rejects = tables.read_table(t.spark, _loaded(t)["rejects"])
+    return rejects.select(F.col("`Premise Type`").cast("bigint").alias("document"), "billing_month")
+
+
+@query("monthly_load_consumer", LOADED_SQL + f"""SELECT b.account, b.year, b.month, b.document, b.billing_month,
+  b.ibc_name, b.current_amount, s.star_customer, s.complaints, s.avg_resolution_minutes
+FROM billing b JOIN ({complaint_sql("account, year, month", "account", "min(star_customer) AS star_customer, ")}) s
+ON b.account = s.account AND b.year = s.year AND b.month = s.month""")
+def _(t):
+    return _of_load(t, "consumer_dim").select(
+        "account", "year", "month", F.col("premise_type").cast("bigint").alias("document"), "billing_month",
+        "ibc_name", "current_amount", "star_customer", *dims.COMPLAINT_COLUMNS)
+
+
+@query("monthly_load_centre", LOADED_SQL + centre_sql(
+    "ibc_code", ["ibc_name"], complaint_sql("ibc_code, year, month", "ibc_name"), dims.COMPLAINT_COLUMNS))
+def _(t):
+    return _of_load(t, "ibc_crm_ageing_dim")
+
+
+@query("monthly_load_all", LOADED_SQL + f", coded AS ({CODED_SQL})\n" + centre_sql("ibc_code", ["ibc_name"], f"""SELECT c.*, o.* EXCLUDE (ibc_code, year, month)
+FROM ({complaint_sql("ibc_code, year, month", "ibc_name")}) c
+JOIN ({outage_sql("ibc_code, year, month").replace("FROM outages", "FROM coded")}) o
+ON c.ibc_code = o.ibc_code AND c.year = o.year AND c.month = o.month""",
+    dims.COMPLAINT_COLUMNS + dims.OUTAGE_COLUMNS))
+def _(t):
+    """Complaints and outages of a code, whatever its names."""
+    return _of_load(t, "ibc_all_dim")
+
+
+@query("monthly_load_pmt", LOADED_SQL + centre_sql("pmt", ["ibc_code", "ibc_name"],
+    complaint_sql("pmt, year, month", "ibc_name", "min(pmt_name) AS pmt_name, "),
+    ["pmt_name", *dims.COMPLAINT_COLUMNS]))
+def _(t):
+    return _of_load(t, "pmt_crm_ageing_dim")
+
+
+@query("monthly_load_oms", LOADED_SQL + centre_sql(
+    "ibc_name", ["ibc_code"], outage_sql("ibc_name, year, month"), dims.OUTAGE_COLUMNS))
+def _(t):
+    return _of_load(t, "ibc_oms_ageing_dim")
+
+
+@query("load_complaints", with_views(["complaints"], complaint_sql(
+    "ibc_code, year, month", "ibc_name", "min(ibc_name) AS ibc_name, ")))
+def _(t):
+    """Complaints land twice; the second load replaces the first, summaries too."""
+    base = new_folder(t.spark, "complaints")
+    load_complaints(bindings.complaints(t).filter("ticket % 2 = 0"), base)
+    paths = load_complaints(bindings.complaints(t), base)
+    return tables.read_table(t.spark, paths["crm_ibc_dim"]).drop(tables.LOAD)
+
+
+@query("load_outages", with_views(["outages"], outage_sql("ibc_name, year, month")))
+def _(t):
+    """The stored parts of outages, made into the summary of each centre and month."""
+    paths = load_outages(bindings.outages(t), new_folder(t.spark, "outages"))
+    parts = tables.read_table(t.spark, paths["oms_ibc_parts"])
+    return summaries.outage_summary_of_parts(parts, ["ibc_name", "year", "month"])
+
+
 # --- arrivals ---------------------------------------------------------------------------------
 
 EVENT_SQL = "SELECT event_id, user_id, event_type, value FROM events"

@@ -10,6 +10,7 @@ from gridsight.catalog.bindings import (
     complaints,
     outages,
     sql_average,
+    sql_mean,
     sql_total,
     with_views,
 )
@@ -22,7 +23,7 @@ MONTH = ["year", "month"]
 
 # --- SQL pieces -------------------------------------------------------------------------------
 
-COMPLAINT_SQL = f"count({{counted}}) AS complaints, {sql_average('resolution_minutes')} AS avg_resolution_minutes"
+COMPLAINT_SQL = f"count({{counted}}) AS complaints, {sql_mean('resolution_minutes')} AS avg_resolution_minutes"
 
 
 def complaint_sql(keys: str, counted: str, labels: str = "") -> str:
@@ -30,12 +31,12 @@ def complaint_sql(keys: str, counted: str, labels: str = "") -> str:
 
 
 def outage_sql(keys: str, punching: bool = False, labels: str = "") -> str:
-    delay = f", {sql_average('punching_delay')} AS avg_punching_delay" if punching else ""
+    delay = f", {sql_mean('punching_delay')} AS avg_punching_delay" if punching else ""
     on = " AND ".join(f"s.{k} = f.{k}" for k in keys.split(", "))
     shown = ", ".join(f"s.{k}" for k in keys.split(", "))
     return f"""SELECT {shown}, s.* EXCLUDE ({keys}), f.top_fault, f.top_fault_frequency
-FROM (SELECT {keys}, {labels}{sql_average('turnaround_minutes')} AS avg_turnaround_minutes,
-  {sql_average('duration_minutes')} AS avg_duration_minutes, count(outage_id) AS outages,
+FROM (SELECT {keys}, {labels}{sql_mean('turnaround_minutes')} AS avg_turnaround_minutes,
+  {sql_mean('duration_minutes')} AS avg_duration_minutes, count(outage_id) AS outages,
   CAST(sum(rain) AS BIGINT) AS rain_frequency{delay} FROM outages GROUP BY {keys}) s
 LEFT JOIN (SELECT {keys}, reason AS top_fault, n AS top_fault_frequency FROM (
   SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY n DESC, reason) AS place FROM (
@@ -179,6 +180,12 @@ def _centre_both(t: Tables) -> DataFrame:
     return dims.complaints_with_outages(_centre_faults(t), named, ["ibc_name", *MONTH])
 
 
+def _centre_both_by_code(t: Tables) -> DataFrame:
+    parts = summaries.outage_parts(outages(t), ["ibc_name", *MONTH])
+    codes = billing(t).select("ibc_name", "ibc_code").unionByName(complaints(t).select("ibc_name", "ibc_code"))
+    return dims.complaints_with_outages(dims.outages_by_code(parts, codes), _centre(t), ["ibc_code", *MONTH])
+
+
 BOTH_SQL = f"""SELECT o.*, c.ibc_code, c.complaints, c.avg_resolution_minutes
 FROM ({outage_sql("ibc_name, year, month")}) o JOIN ({complaint_sql(
     "ibc_name, year, month", "ibc_name", "min(ibc_code) AS ibc_code, ")}) c
@@ -211,7 +218,7 @@ def _(t):
 @query("join_fact_ibc_crm_oms", with_views(["billing", "complaints", "outages"], row_join_sql(
     BOTH_SQL, ["ibc_code", *MONTH], dims.COMPLAINT_COLUMNS + dims.OUTAGE_COLUMNS)))
 def _(t):
-    joined = dims.with_summary(billing(t), _centre_both(t).drop("ibc_name"), ["ibc_code", *MONTH])
+    joined = dims.with_summary(billing(t), _centre_both_by_code(t), ["ibc_code", *MONTH])
     return joined.select(*ROW, *dims.COMPLAINT_COLUMNS, *dims.OUTAGE_COLUMNS)
 
 
@@ -239,12 +246,12 @@ FROM (SELECT *, row_number() OVER (PARTITION BY account, year, month ORDER BY do
 ON b.account = s.account AND b.year = s.year AND b.month = s.month WHERE b.place = 1"""))
 def _(t):
     """An account may have several orders a month here, so the lowest document stands for it."""
-    return dims.consumer_dim(billing(t), _consumer(t), order="document")
+    return dims.consumer_dim(billing(t), _consumer(t), order="document", optional=dims.NOT_SUPPLIED)
 
 
 def centre_sql(key: str, labels: list[str], summary: str, columns: list[str]) -> str:
     shown = "".join(f", s.{c}" for c in columns)
-    return f"""SELECT b.*{shown} FROM ({totals_sql(f"{key}, year, month", labels)}) b
+    return f"""SELECT b.*{shown}, make_date(b.year, b.month, 1) AS billing_month FROM ({totals_sql(f"{key}, year, month", labels)}) b
 JOIN ({summary}) s ON b.{key} = s.{key} AND b.year = s.year AND b.month = s.month"""
 
 
@@ -258,7 +265,7 @@ def centre_dimension(t):
 @query("ibc_all_dim", with_views(["billing", "complaints", "outages"], centre_sql(
     "ibc_code", ["ibc_name", "region"], BOTH_SQL, dims.COMPLAINT_COLUMNS + dims.OUTAGE_COLUMNS)))
 def _(t):
-    return dims.centre_dim(billing(t), _centre_both(t).drop("ibc_name"))
+    return dims.centre_dim(billing(t), _centre_both_by_code(t))
 
 
 @query("pmt_crm_ageing_dim", with_views(["billing", "complaints"], centre_sql(
@@ -412,8 +419,9 @@ SELECT o_orderkey AS document, o_custkey AS account, CAST(o_orderdate AS DATE) +
   floor(o_totalprice / 100) AS units_billed, {_terms(facts.BENEFIT_TERMS)} AS benefit_adjustments,
   {_terms(facts.IMPORT_TERMS)} AS import_amount, floor(o_totalprice / 2) AS energy_charges,
   {_terms(facts.SURCHARGE_TERMS)} AS surcharge_amount,
-  md5(CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR) || '|'
-    || CAST(CAST(o_orderdate AS DATE) + 15 AS VARCHAR)) AS fact_key
+  md5(concat_ws('|', length(CAST(o_orderkey AS VARCHAR)) || ':' || o_orderkey,
+    length(CAST(o_custkey AS VARCHAR)) || ':' || o_custkey,
+    '10:' || CAST(CAST(o_orderdate AS DATE) + 15 AS VARCHAR))) AS fact_key
 FROM orders JOIN ({PAYMENT_SQL}) p ON o_custkey = p.account""")
 def _(t):
     return facts.billing_and_recovery(billing_documents(t), payments(t))
@@ -493,7 +501,8 @@ def _network(t: Tables) -> dict[str, DataFrame]:
         F.col("l_returnflag").alias("subject"),
         F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("unplanned"),
         F.when(F.col("l_quantity") > 25, "emergency").alias("emergency"),
-        (F.datediff("l_shipdate", "o_orderdate") * 1440).alias("resolution_minutes"),
+        ((F.datediff("l_shipdate", "o_orderdate") * 86400 + F.col("l_linenumber") * 7).cast("double") / 60)
+        .alias("resolution_minutes"),
     )
     return {
         "tickets": tickets,
@@ -536,13 +545,13 @@ def _(t):
 WITH tickets AS (SELECT l_orderkey AS ticket, l_suppkey AS feeder, l_partkey AS dts,
   l_returnflag AS subject, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS unplanned,
   CASE WHEN l_quantity > 25 THEN 'emergency' END AS emergency,
-  date_diff('day', o_orderdate, l_shipdate) * 1440 AS resolution_minutes
+  CAST(date_diff('day', o_orderdate, l_shipdate) * 86400 + l_linenumber * 7 AS DOUBLE) / 60 AS resolution_minutes
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 SELECT g.*, f.subject AS common_fault, f.n AS common_fault_frequency, p.device, p.energy_created,
   p.energy_transmitted
 FROM (SELECT feeder, dts, ticket, count(subject) AS faults, CAST(sum(unplanned) AS BIGINT) AS unplanned_faults,
   count(emergency) AS emergencies, count(ticket) AS tickets_processed,
-  CAST(sum(resolution_minutes) AS DOUBLE) / count(resolution_minutes) AS avg_resolution_minutes
+  round(avg(resolution_minutes), 6) AS avg_resolution_minutes
   FROM tickets GROUP BY 1, 2, 3) g
 JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feeder, dts, ticket ORDER BY n DESC, subject)
   AS place FROM (SELECT feeder, dts, ticket, subject, count(subject) AS n FROM tickets GROUP BY 1, 2, 3, 4))

@@ -1,9 +1,13 @@
 """Aggregate measures that can be computed in one step or merged from partial groups.
 
-``digits`` states how many decimals a measure carries. Such a measure is summed as whole minor
-units (a ``bigint``), so totals do not depend on the order in which tasks finish and still use
-the fast hash aggregate; overflow fails the job rather than wrapping. Without ``digits`` the sum
-is an ordinary double sum.
+``digits`` states how many decimals a measure carries, as money does. Such a measure is summed as
+whole minor units (a ``bigint``), so totals do not depend on the order in which tasks finish and
+still use the fast hash aggregate. A time in minutes has no number of decimals: ``units`` = 60000
+sums it as whole milliseconds, and ``places`` rounds the finished mean once. Overflow and NaN fail
+the job rather than wrapping. Without either the sum is an ordinary double sum.
+
+``aggregate_with_labels`` may be split: ``partial_groups`` can be stored, and ``merged`` finishes
+them under the same or coarser keys.
 """
 
 from __future__ import annotations
@@ -19,6 +23,22 @@ class Measure:
     kind: str  # sum | avg | count | min
     column: str
     digits: int | None = None
+    units: int | None = None
+    places: int | None = None
+
+    @property
+    def scale(self) -> int | None:
+        """Whole units to one of the measure's."""
+        return self.units or (None if self.digits is None else 10**self.digits)
+
+
+#: Milliseconds to a minute, and decimals of a mean of minutes.
+MINUTE, MINUTE_PLACES = 60_000, 6
+
+
+def mean_minutes(name: str, column: str) -> Measure:
+    """The mean of a time in minutes, exact to the millisecond of each row."""
+    return Measure(name, "avg", column, units=MINUTE, places=MINUTE_PLACES)
 
 
 def totals_and_averages(columns: dict[str, int | None]) -> list[Measure]:
@@ -33,8 +53,8 @@ def totals_and_averages(columns: dict[str, int | None]) -> list[Measure]:
 def _parts(m: Measure) -> dict[str, tuple[Column, Column]]:
     """Name -> (aggregate over rows, aggregate over partial groups)."""
     value = f"`{m.column}`"
-    if m.digits is not None and m.kind != "min":
-        value = f"CAST(rint({value} * {10**m.digits}) AS BIGINT)"
+    if m.scale and m.kind != "min":
+        value = f"CAST(rint({value} * {m.scale}) AS BIGINT)"
     total, rows, low = f"sum#{m.column}", f"rows#{m.column}", f"min#{m.column}"
     summed = {total: (F.expr(f"sum({value})"), F.expr(f"sum(`{total}`)"))}
     counted = {rows: (F.expr(f"count(`{m.column}`)"), F.expr(f"sum(`{rows}`)"))}
@@ -53,11 +73,12 @@ def _finish(m: Measure, part) -> Column:
     if m.kind == "min":
         return part(f"min#{m.column}")
     total = part(f"sum#{m.column}")
-    if m.digits is not None:
-        total = total.cast("double") / F.lit(10.0**m.digits)
+    if m.scale:
+        total = total.cast("double") / F.lit(float(m.scale))
     if m.kind == "sum":
         return total
-    return F.try_divide(total, part(f"rows#{m.column}"))
+    mean = F.try_divide(total, part(f"rows#{m.column}"))
+    return mean if m.places is None else F.round(mean, m.places)
 
 
 def aggregate(df: DataFrame, keys: list, measures: list[Measure]) -> DataFrame:
@@ -86,18 +107,33 @@ def aggregate_with_labels(
     self-join and no window over the rows, and a key with a third of all rows is reduced in every
     map task first.
     """
-    labels = labels or {}
-    text = [*labels.values()] + ([top[0]] if top else [])
+    text = [*(labels or {}).values()] + ([top[0]] if top else [])
+    groups = partial_groups(df, [*dict.fromkeys([*keys, *text])], measures, top and top[0])
+    return merged(groups, keys, measures, labels, top, regroup=len(text) > 1)
+
+
+def partial_groups(df: DataFrame, keys: list[str], measures: list[Measure], counted: str | None = None) -> DataFrame:
+    """Sums and counts per key and text, from which ``merged`` makes the measures; ``counted`` is the
+    column, one of the keys, whose most frequent value will be asked for."""
     parts = {k: v for m in measures for k, v in _parts(m).items()}
     first = [v[0].alias(k) for k, v in parts.items()]
-    if top:
-        first.append(F.count(F.col(top[0])).alias("top#rows"))
-    groups = df.groupBy(*dict.fromkeys([*keys, *text])).agg(*first)
+    if counted:
+        first.append(F.count(F.col(counted)).alias("top#rows"))
+    return df.groupBy(*keys).agg(*first)
+
 
-    if top and text[:-1]:
+def merged(
+    groups: DataFrame, keys: list[str], measures: list[Measure], labels: dict[str, str] | None = None,
+    top: tuple[str, str, str] | None = None, regroup: bool = True,
+) -> DataFrame:
+    """Measures, labels and the most frequent value per key, from partial groups of finer keys.
+    ``regroup=False`` spares a step where the groups are one for each key and value already."""
+    labels = labels or {}
+    parts = {k: v for m in measures for k, v in _parts(m).items()}
+    if top and regroup:
         # A key with two names would otherwise split the frequency of a value between them.
         groups = groups.groupBy(*keys, top[0]).agg(
-            *[F.min(c).alias(c) for c in dict.fromkeys(text[:-1])],
+            *[F.min(c).alias(c) for c in dict.fromkeys(labels.values())],
             *[v[1].alias(k) for k, v in parts.items()],
             F.sum("top#rows").alias("top#rows"),
         )

@@ -95,8 +95,13 @@ def zero_columns(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def surrogate_key(df: DataFrame, natural_key: list[str], name: str = "row_key") -> DataFrame:
-    """A key that is the same in every run: 128 bits, so that it stays unique at 10^12 rows."""
-    parts = [F.coalesce(quoted(c).cast("string"), F.lit("")) for c in natural_key]
+    """A key that is the same in every run: 128 bits, so that it stays unique at 10^12 rows.
+
+    Each part is written with its length, and NULL as ``-``, so that different natural keys never
+    give the same text.
+    """
+    texts = [quoted(c).cast("string") for c in natural_key]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     return df.withColumn(name, F.md5(F.concat_ws("|", *parts)))
 
 

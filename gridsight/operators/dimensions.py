@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gridsight.operators.joins import join_summary
-from gridsight.operators.summaries import billing_totals
+from gridsight.operators.summaries import billing_totals, outage_summary_of_parts
 
 COMPLAINT_COLUMNS = ["complaints", "avg_resolution_minutes"]
 OUTAGE_COLUMNS = [
@@ -30,6 +30,11 @@ CONSUMER_ATTRIBUTES = [
     "current_amount", "current_units",
 ]
 
+#: Attributes that some extracts, and the supplied tables, do not have.
+NOT_SUPPLIED = [
+    "business_partner", "postal_code", "billing_class", "phase", "oip", "premise_type", "bcm",
+]
+
 
 def with_summary(billing: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
     """Billing rows that have complaints or outages under the same keys, with those."""
@@ -47,14 +52,18 @@ def consumer_dim(
     summary: DataFrame,
     attributes: list[str] = CONSUMER_ATTRIBUTES,
     order: str | None = None,
+    optional: list[str] = (),
 ) -> DataFrame:
     """Billing attributes and complaints per account and month.
 
     An account has one billing row a month, so a plain join is enough; where that does not hold,
     ``order`` names the column whose least value chooses the row. Both sides are then hashed on
-    the same three keys, which the join reuses.
+    the same three keys, which the join reuses. Every attribute must be there but the ``optional``
+    ones, so that a renamed column does not vanish unseen.
     """
     keys = ["account", *MONTH]
+    if absent := [c for c in attributes if c not in billing.columns and c not in optional]:
+        raise ValueError(f"billing has no columns {absent}")
     present = [c for c in attributes if c in billing.columns]
     side = one_row_per_key(billing, keys, present, order) if order else billing.select(*keys, *present)
     return side.join(summary, keys, "inner")
@@ -69,13 +78,29 @@ def centre_dim(billing: DataFrame, summary: DataFrame, key: str = "ibc_code") ->
     if key != "ibc_code":
         labels = {"ibc_code": "ibc_code", "region": "region"}
     totals = billing_totals(billing, [key, *MONTH], labels)
-    return totals.join(summary, [key, *MONTH], "inner")
+    return with_billing_month(totals.join(summary, [key, *MONTH], "inner"))
 
 
 def transformer_dim(billing: DataFrame, summary: DataFrame) -> DataFrame:
     labels = {"ibc_code": "ibc_code", "ibc_name": "ibc_name", "region": "region"}
     totals = billing_totals(billing, ["pmt", *MONTH], labels)
-    return totals.join(summary, ["pmt", *MONTH], "inner")
+    return with_billing_month(totals.join(summary, ["pmt", *MONTH], "inner"))
+
+
+def with_billing_month(dim: DataFrame) -> DataFrame:
+    """The month's first day, the date axis of a dimension."""
+    return dim.withColumn("billing_month", F.make_date("year", "month", F.lit(1)))
+
+
+def outages_by_code(parts: DataFrame, codes: DataFrame) -> DataFrame:
+    """Outage summary per centre code and month, from parts per centre name.
+
+    ``codes`` has ibc_name and ibc_code, in any number of rows; a name stands for its least code. The
+    parts of all names of a code are added up, faults by their frequencies.
+    """
+    code = codes.dropna().groupBy("ibc_name").agg(F.min("ibc_code").alias("ibc_code"))
+    named = parts.dropna(subset=["ibc_name", *MONTH]).join(code, "ibc_name")
+    return outage_summary_of_parts(named, ["ibc_code", *MONTH])
 
 
 def complaints_beside_outages(outages: DataFrame, complaints: DataFrame, keys: list[str]) -> DataFrame:

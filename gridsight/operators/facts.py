@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridsight.functions.measures import Measure, aggregate, aggregate_with_labels
+from gridsight.functions.measures import Measure, aggregate, aggregate_with_labels, mean_minutes
 from gridsight.operators.cleaning import quoted, surrogate_key
 from gridsight.operators.joins import join_summary
 
@@ -110,7 +110,7 @@ def network_and_losses(
             Measure("unplanned_faults", "sum", "unplanned"),
             Measure("emergencies", "count", "emergency"),
             Measure("tickets_processed", "count", "ticket"),
-            Measure("avg_resolution_minutes", "avg", "resolution_minutes", 0),
+            mean_minutes("avg_resolution_minutes", "resolution_minutes"),
         ],
         None,
         ("subject", "common_fault", "common_fault_frequency"),

@@ -8,15 +8,18 @@ from gridsight.functions.measures import (
     Measure,
     aggregate,
     aggregate_with_labels,
+    mean_minutes,
+    merged,
+    partial_groups,
     totals_and_averages,
 )
 
-# Decimals carried by each billing measure: money has two, loads and units none.
+# Decimals carried by each billing measure: money and loads have two, units none.
 BILLING_MEASURES = {
     "current_amount": 2,
     "current_units": 0,
     "sanctioned_load": 2,
-    "connected_load": 0,
+    "connected_load": 2,
     "irb_amount": 2,
     "irb_units": 0,
 }
@@ -26,7 +29,7 @@ def complaint_measures(counted: str) -> list[Measure]:
     """Complaints counted by the rows where ``counted`` is present."""
     return [
         Measure("complaints", "count", counted),
-        Measure("avg_resolution_minutes", "avg", "resolution_minutes", 2),
+        mean_minutes("avg_resolution_minutes", "resolution_minutes"),
     ]
 
 
@@ -40,13 +43,13 @@ def complaint_summary(
 
 def outage_measures(punching: bool) -> list[Measure]:
     found = [
-        Measure("avg_turnaround_minutes", "avg", "turnaround_minutes", 2),
-        Measure("avg_duration_minutes", "avg", "duration_minutes", 2),
+        mean_minutes("avg_turnaround_minutes", "turnaround_minutes"),
+        mean_minutes("avg_duration_minutes", "duration_minutes"),
         Measure("outages", "count", "outage_id"),
         Measure("rain_frequency", "sum", "rain"),
     ]
     if punching:
-        found.append(Measure("avg_punching_delay", "avg", "punching_delay", 2))
+        found.append(mean_minutes("avg_punching_delay", "punching_delay"))
     return found
 
 
@@ -58,10 +61,23 @@ def outage_summary(
 ) -> DataFrame:
     """Outage measures with the most frequent reason, in one pass over the outages."""
     return aggregate_with_labels(
-        outages, keys, outage_measures(punching), labels, ("reason", "top_fault", "top_fault_frequency")
+        outages, keys, outage_measures(punching), labels, TOP_FAULT
     )
 
 
+TOP_FAULT = ("reason", "top_fault", "top_fault_frequency")
+
+
+def outage_parts(outages: DataFrame, keys: list[str]) -> DataFrame:
+    """What a summary of outages under these or coarser keys can be made of."""
+    return partial_groups(outages, [*keys, "reason"], outage_measures(False), "reason")
+
+
+def outage_summary_of_parts(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """The outage summary per key; frequencies of a fault add up over what a key is made of."""
+    return merged(parts, keys, outage_measures(False), None, TOP_FAULT)
+
+
 def most_frequent(df: DataFrame, keys: list[str], value: str, name: str, frequency: str) -> DataFrame:
     return aggregate_with_labels(df, keys, [], None, (value, name, frequency))
 

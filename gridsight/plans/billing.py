@@ -44,9 +44,8 @@ NAMES = {
 }
 
 DOUBLES = ["current_amount", "irb_revised_amount", "irb_detection_amount", "regular_amount",
-           "last_payment_amount"]
-WHOLE = ["pmt", "current_units", "irb_revised_units", "irb_detection_units", "regular_units",
-         "sanctioned_load", "connected_load"]
+           "last_payment_amount", "sanctioned_load", "connected_load"]
+WHOLE = ["pmt", "current_units", "irb_revised_units", "irb_detection_units", "regular_units"]
 
 
 def clean_billing(raw: DataFrame) -> DataFrame:

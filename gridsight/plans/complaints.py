@@ -24,6 +24,7 @@ COMMA_NUMBERS = ["UnitBilled", "Last Payment Amount"]
 
 # Extract column -> fact column for the columns the summaries use.
 NAMES = {
+    "CREATED_AT": "created_time",  # first, as it differs from the new name below in case alone
     "AccountContract": "account", "IBCName": "ibc_name", "IBCCode": "ibc_code", "Year": "year",
     "Month": "month", "PMT": "pmt", "PMT Name": "pmt_name", "Feeder ID": "feeder_id",
     "Feeder Name": "feeder_name", "StarCustomer": "star_customer", "CREATED_DATE": "created_at",

@@ -1,74 +1,155 @@
-"""The monthly load: from new billing rows to every table they feed."""
+"""The monthly loads: from new billing, complaint and outage rows to every table they feed.
+
+Complaints and outages are landed first; each load replaces its months in the fact and in the
+summaries that billing joins. A billing load then reads the summaries of its own months only. All
+tables are partitioned by month (``YYYYMM``). A month that a load names but leaves without rows
+becomes empty in every table, and rows without a month are stored apart, so nothing is lost and a
+load may be repeated.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
+
+from pyspark.sql import Column, DataFrame, functions as F
 
+from gridsight.functions import parsing
 from gridsight.operators import cleaning, dimensions as dims, summaries
 from gridsight.plans.billing import clean_billing
+from gridsight.session import new_folder
 from gridsight.sources import tables
 
 MONTH = ["year", "month"]
+MONTH_LOAD = "year * 100 + month"
 
 
 def complaint_dims(complaints: DataFrame) -> dict[str, DataFrame]:
-    """Summaries of the complaint fact, one per grain that another table joins on."""
-    labels = {"star_customer": "star_customer"}
+    """Summaries of the complaint fact, one per grain that billing joins on."""
     summary = summaries.complaint_summary
     return {
-        "consumer": summary(complaints, ["account", *MONTH], "account", labels),
-        "centre": cleaning.require_keys(
-            summary(complaints, ["ibc_code", *MONTH], "ibc_name"), ["ibc_code", *MONTH]
+        "crm_consumer_dim": summary(
+            complaints, ["account", *MONTH], "account", {"star_customer": "star_customer"}
         ),
-        "centre_name": cleaning.require_keys(
-            summary(complaints, ["ibc_name", *MONTH], "ibc_name", {"ibc_code": "ibc_code"}),
-            ["ibc_name", *MONTH],
+        "crm_ibc_dim": cleaning.require_keys(
+            summary(complaints, ["ibc_code", *MONTH], "ibc_name", {"ibc_name": "ibc_name"}),
+            ["ibc_code", *MONTH],
         ),
-        "transformer": summary(complaints, ["pmt", *MONTH], "ibc_name", {"pmt_name": "pmt_name"}),
+        "crm_pmt_dim": summary(complaints, ["pmt", *MONTH], "ibc_name", {"pmt_name": "pmt_name"}),
     }
 
 
-def billing_dims(billing: DataFrame, complaints: DataFrame, outages: DataFrame) -> dict[str, DataFrame]:
-    """The five cross-source dimensions for the billing rows given.
-
-    Complaint joins see only the months for which complaints exist; that is a filter on the data,
-    so rows of several months may come together. ``outages`` needs year and month.
-    """
-    season = cleaning.complaint_season(billing)
-    by = complaint_dims(complaints)
-    faults = summaries.outage_summary(outages, ["ibc_name", *MONTH])
-    faults = cleaning.require_keys(faults, MONTH)
-    both = dims.complaints_with_outages(faults, by["centre_name"], ["ibc_name", *MONTH])
-    # Two spellings under one code would double the centre; the first name's row stands for it.
-    both = dims.one_row_per_key(
-        both, ["ibc_code", *MONTH], dims.COMPLAINT_COLUMNS + dims.OUTAGE_COLUMNS, "ibc_name"
+def _dims(billing: DataFrame, crm: dict[str, DataFrame], parts: DataFrame, season: bool) -> dict[str, DataFrame]:
+    seen = cleaning.complaint_season(billing) if season else billing
+    centre = crm["crm_ibc_dim"]
+    # Outages know a centre by name only; its code comes from billing and complaints.
+    codes = billing.select("ibc_name", "ibc_code").unionByName(centre.select("ibc_name", "ibc_code"))
+    both = dims.complaints_with_outages(
+        dims.outages_by_code(parts, codes), centre.drop("ibc_name"), ["ibc_code", *MONTH]
     )
+    named = cleaning.require_keys(summaries.outage_summary_of_parts(parts, ["ibc_name", *MONTH]), MONTH)
     return {
-        "consumer_dim": dims.consumer_dim(season, by["consumer"]),
-        "ibc_crm_ageing_dim": dims.centre_dim(season, by["centre"]),
-        "ibc_all_dim": dims.centre_dim(season, both),
-        "pmt_crm_ageing_dim": dims.transformer_dim(season, by["transformer"]),
-        "ibc_oms_ageing_dim": dims.centre_dim(billing, faults, key="ibc_name"),
+        "consumer_dim": dims.consumer_dim(seen, crm["crm_consumer_dim"], optional=dims.NOT_SUPPLIED),
+        "ibc_crm_ageing_dim": dims.centre_dim(seen, centre.drop("ibc_name")),
+        "ibc_all_dim": dims.centre_dim(seen, both),
+        "pmt_crm_ageing_dim": dims.transformer_dim(seen, crm["crm_pmt_dim"]),
+        "ibc_oms_ageing_dim": dims.centre_dim(billing, named, key="ibc_name"),
     }
 
 
-def load_months(
-    raw: DataFrame, base: str, complaints: DataFrame, outages: DataFrame
+def billing_dims(
+    billing: DataFrame, complaints: DataFrame, outages: DataFrame, season: bool = False
+) -> dict[str, DataFrame]:
+    """The five cross-source dimensions for the billing rows given, of any months.
+
+    Complaint joins see only months for which complaints exist, as inner joins do; ``season=True``
+    further keeps April to September alone. ``outages`` needs year and month.
+    """
+    parts = summaries.outage_parts(outages, ["ibc_name", *MONTH])
+    return _dims(billing, complaint_dims(complaints), parts, season)
+
+
+def _replace(df: DataFrame, path: str, months: list[int]) -> str:
+    """Replace the months in a table, also those for which ``df`` has no row."""
+    return tables.replace_given(df.select("*", F.expr(MONTH_LOAD).alias(tables.LOAD)), path, months)
+
+
+def _stored(spark, path: str, schema, months: list[int]) -> DataFrame:
+    """A month-partitioned table, pruned to the months by a constant filter."""
+    return spark.read.schema(schema).parquet(path).filter(F.col(tables.LOAD).isin(months)).drop(tables.LOAD)
+
+
+def load_complaints(
+    complaints: DataFrame, base: str, months: list[int] | None = None, batch: str | None = None
 ) -> dict[str, str]:
+    """Land cleaned complaints and refresh the summaries of their months.
+
+    ``months`` (``YYYYMM``) names months to replace beside those of the rows, so that a month whose
+    rows are all gone becomes empty. Rows without a month go to ``rejects/complaints/<batch>``.
+    Returns the path of every table.
+    """
+    return _load_fact(complaints, base, "complaints", complaint_dims, months, batch)
+
+
+def load_outages(
+    outages: DataFrame, base: str, months: list[int] | None = None, batch: str | None = None
+) -> dict[str, str]:
+    """Land cleaned outages with year and month, and refresh the parts that summaries of their
+    months are made of: sums and counts per centre name, month and reason."""
+    parts = lambda rows: {"oms_ibc_parts": summaries.outage_parts(rows, ["ibc_name", *MONTH])}
+    return _load_fact(outages, base, "outages", parts, months, batch)
+
+
+def _months(rows: DataFrame, load: Column) -> tuple[list[int], bool]:
+    """The months that stored rows name, one line each, and whether some rows have none."""
+    found = [r[0] for r in rows.select(load).distinct().collect()]
+    return sorted(m for m in found if m is not None), None in found
+
+
+def _load_fact(fact, base, name, derived, months, batch) -> dict[str, str]:
+    spark, load = fact.sparkSession, F.expr(MONTH_LOAD)
+    paths = {name: f"{base}/{name}"}
+    folder = new_folder(spark, f"{name}-load")
+    staged = tables.read_table(spark, tables.write_replace(fact, folder))
+    named, lost = _months(staged, load)
+    known = sorted({*named, *(months or [])})
+    _replace(staged.filter(load.isNotNull()), paths[name], known)
+    if lost:
+        paths["rejects"] = f"{base}/rejects/{name}/{batch or uuid.uuid4().hex}"
+        tables.write_replace(staged.filter(load.isNull()), paths["rejects"])
+    schema = fact.select("*", load.alias(tables.LOAD)).schema
+    for table, rows in derived(_stored(spark, paths[name], schema, known)).items():
+        paths[table] = _replace(rows, f"{base}/{table}", known)
+    tables.drop_folders(spark, [folder])
+    return paths
+
+
+def load_months(raw: DataFrame, base: str, batch: str | None = None, season: bool = False) -> dict[str, str]:
     """Land raw billing rows in the fact under ``base`` and refresh the dimensions of their months.
 
-    ``raw`` may hold any months, late ones too. The fact and each dimension are partitioned by
-    month (``YYYYMM``), and the partitions of the months given are replaced, so that a load may be
-    repeated. The dimensions read the stored fact, pruned to these months, rather than cleaning
-    the extract once for each of them. Returns the path of every table.
+    ``raw`` may hold any months, late ones too. Its text is read once, into a table of the shared
+    folder from which the months, the fact and the rejects are taken and which is removed at the end.
+    Rows without a month are stored under ``rejects/billing/<batch>``. The dimensions read the stored
+    fact and the stored complaint and outage summaries, all pruned to these months. Returns the path
+    of every table.
     """
-    month = (F.col("year") * 100 + F.col("month")).alias(tables.LOAD)
-    fact = clean_billing(raw).select("*", month).filter(F.col(tables.LOAD).isNotNull())
-    paths = {"billing": tables.replace_loads(fact, f"{base}/billing")}
-    named = raw.select("billing_month").distinct().collect()  # one line per month
-    months = [int(r[0]) for r in named if r[0] and r[0].isdigit()]
-    stored = tables.read_table(raw.sparkSession, paths["billing"])
-    landed = stored.filter(F.col(tables.LOAD).isin(months)).drop(tables.LOAD)
-    for name, dim in billing_dims(landed, complaints, outages).items():
-        paths[name] = tables.replace_loads(dim.select("*", month), f"{base}/{name}")
+    spark, text = raw.sparkSession, cleaning.quoted("billing_month")
+    load = parsing.billing_year(text) * 100 + parsing.billing_month(text)
+    paths = {"billing": f"{base}/billing"}
+    folder = new_folder(spark, "billing-load")
+    staged = tables.read_table(spark, tables.write_replace(raw, folder))
+    months, lost = _months(staged, load)
+    fact = clean_billing(staged.filter(load.isNotNull()))
+    _replace(fact, paths["billing"], months)
+    if lost:
+        paths["rejects"] = f"{base}/rejects/billing/{batch or uuid.uuid4().hex}"
+        tables.write_replace(staged.filter(load.isNull()), paths["rejects"])
+    if months:
+        schema = fact.select("*", F.expr(MONTH_LOAD).alias(tables.LOAD)).schema
+        landed = _stored(spark, paths["billing"], schema, months)
+        summary = lambda name: tables.read_table(spark, f"{base}/{name}").filter(
+            F.col(tables.LOAD).isin(months)).drop(tables.LOAD)
+        crm = {name: summary(name) for name in ("crm_consumer_dim", "crm_ibc_dim", "crm_pmt_dim")}
+        for name, dim in _dims(landed, crm, summary("oms_ibc_parts"), season).items():
+            paths[name] = _replace(dim, f"{base}/{name}", months)
+    tables.drop_folders(spark, [folder])
     return paths

@@ -6,6 +6,7 @@ partitions, and a repeated write of the same load changes nothing.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -55,13 +56,43 @@ def replace_loads(df: DataFrame, path: str, partition_by: str = LOAD, gather: bo
     return path
 
 
-def idempotent_append(new: DataFrame, path: str, keys: list[str]) -> int:
-    """Append the rows whose keys the table does not hold; returns the number appended."""
-    spark = new.sparkSession
-    present = read_table(spark, path).select(*keys)
-    before = read_table(spark, path).count()
-    write_append(new.join(present, keys, "left_anti"), path)
-    return read_table(spark, path).count() - before
+def replace_given(df: DataFrame, path: str, given, partition_by: str = LOAD) -> str:
+    """``replace_loads`` for the whole-number loads ``given``; those without a row become empty.
+
+    A load that was not rewritten still has the files it had before, and its folder is removed.
+    """
+    spark = df.sparkSession
+    folders = {load: f"{path}/{partition_by}={load}" for load in given}
+    before = {load: _files(spark, folder) for load, folder in folders.items()}
+    replace_loads(df, path, partition_by)
+    drop_folders(spark, [f for load, f in folders.items() if _files(spark, f) == before[load]])
+    return path
+
+
+def idempotent_append(
+    new: DataFrame, path: str, keys: list[str], order: list[str] | None = None, partition_by: str = LOAD,
+    within: Column | None = None,
+) -> int:
+    """Append the rows whose keys the table does not hold; returns the number appended.
+
+    NULL keys equal one another. Of several new rows with one key the first by ``order`` (by all
+    columns, where none is given) is appended. ``within`` is a condition on the table that holds for
+    every row that a new key could repeat, such as a range of partitions; the keys of the rest are
+    not read. The rows to append are stored once, beside the table, and counted there.
+    """
+    table = read_table(new.sparkSession, path)
+    present = (table if within is None else table.filter(within)).select(*keys).distinct()
+    row, rank = F.struct(*new.columns), F.struct(*(order or new.columns))
+    first = new.groupBy(*keys).agg(F.min_by(row, rank).alias("row")).select("row.*")
+    same = reduce(lambda a, b: a & b, [first[k].eqNullSafe(present[k]) for k in keys])
+    fresh = first.join(present, same, "left_anti")
+    batch = f"{path.rstrip('/')}-batch-{uuid.uuid4().hex}"
+    try:
+        stored = read_table(new.sparkSession, write_replace(fresh, batch))
+        write_append(stored, path, partition_by)
+        return stored.count()
+    finally:
+        drop_folders(new.sparkSession, [batch])
 
 
 def _folder() -> Column:
@@ -69,11 +100,22 @@ def _folder() -> Column:
     return F.min(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)).alias("folder")
 
 
+def _path(spark: SparkSession, folder: str):
+    """A folder's path and file system; names that Spark read from files are percent-encoded."""
+    name = spark._jvm.org.apache.hadoop.fs.Path
+    at = name(spark._jvm.java.net.URI(folder)) if "%" in folder else name(folder)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    at, fs = _path(spark, folder)
+    return {f.getPath().getName() for f in fs.listStatus(at)} if fs.exists(at) else set()
+
+
 def drop_folders(spark: SparkSession, folders: list[str]) -> None:
     """Remove whole partitions by the folders that Spark read them from."""
     for folder in folders:
-        at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
-        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        at, fs = _path(spark, folder)
         if fs.exists(at) and not fs.delete(at, True):
             raise OSError(f"could not remove {folder}")
 

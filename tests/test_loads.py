@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from gridsight.plans.billing import clean_billing
 from gridsight.plans.complaints import clean_complaints
-from gridsight.plans.monthly import billing_dims, load_months
+from gridsight.plans.monthly import billing_dims, load_complaints, load_months, load_outages
 from gridsight.plans.outages import clean_outages
 from gridsight.session import new_folder
 from gridsight.sources import extracts, tables
@@ -71,6 +71,14 @@ def test_append_twice_is_append_once(spark, folder):
     assert tables.read_table(spark, path).count() == 50
 
 
+def test_append_with_missing_and_repeated_keys(spark, folder):
+    path = tables.write_append(loads(spark, 0, 5).withColumn("id", F.when(F.col("id") != 3, F.col("id"))), f"{folder}/t")
+    new = spark.createDataFrame([(None, 1, 0), (9, 2, 0), (9, 1, 1), (2, 0, 0)], "id bigint, kind int, load_id int")
+    assert tables.idempotent_append(new, path, ["id"], ["kind"]) == 1
+    assert tables.idempotent_append(new, path, ["id"], ["kind"], within=F.col("load_id") <= 1) == 0
+    assert rows(tables.read_table(spark, path).filter("id = 9")) == [(9, 1, 1)]
+
+
 def test_replacing_a_load_keeps_the_others(spark, folder):
     path = tables.write_append(loads(spark, 0, 30), f"{folder}/t")
     for _ in range(2):
@@ -175,14 +183,15 @@ def test_published_files_are_whole(spark, folder):
 
 BILLING = ["AccountContract", "Status", "IBC", "IBCName", "Region", "PMT", "Last Payment Date", "CurrentAmount",
            "CurrentUnits", "IRBRevisedAmount", "IRBDetectionAmount", "IRBRevisedUnits", "IRBDetectionUnits",
-           "Sanctioned Load", "Connected Load", "C 0-30", "Contract"]
+           "Sanctioned Load", "Connected Load", "C 0-30", "Contract", "Consumer Type", "Customer Name"]
 
 
 def raw_billing(spark):
     make = lambda **over: {"AccountContract": "1", "Status": "ACT", "IBC": "10", "IBCName": "F.B. Area", "Region": "R1",
         "PMT": "77", "Last Payment Date": "5-Mar-23", "CurrentAmount": "10.5", "CurrentUnits": "3",
         "IRBRevisedAmount": "1.5", "IRBDetectionAmount": "2.5", "IRBRevisedUnits": "1", "IRBDetectionUnits": "2",
-        "Sanctioned Load": "5", "Connected Load": "6", "C 0-30": "9", "Contract": "8", "billing_month": "202304"} | over
+        "Sanctioned Load": "7.5", "Connected Load": "6", "C 0-30": "9", "Contract": "8", "Consumer Type": "T",
+        "Customer Name": "N", "billing_month": "202304"} | over
     data = [make(), make(AccountContract="2", IRBRevisedAmount="."), make(AccountContract="3", Status="INA"),
             make(AccountContract="4", Status=None), make(AccountContract="5", Region="Undefined", billing_month="202310"),
             make(AccountContract="6", IBCName="-", PMT="Not found", **{"Last Payment Date": "05-Mar-23"})]
@@ -199,7 +208,7 @@ def test_billing_plan(spark):
         ("2", "R1", None, 3, 2023, 4, dt.date(2023, 4, 1), day),
         ("5", None, 4.0, 3, 2023, 10, dt.date(2023, 10, 1), day),
         ("6", "R1", 4.0, 3, 2023, 4, dt.date(2023, 4, 1), day)]
-    assert fact.filter("account = '6'").first().pmt is None
+    assert fact.filter("account = '6'").first().pmt is None and fact.first().sanctioned_load == 7.5
 
 
 COMPLAINTS = ["AccountContract", "ConsumerStatus", "IBCName", "IBCCode", "CREATED_DATE", "CREATED_AT", "Year", "Month", "PMT",
@@ -223,7 +232,7 @@ def test_complaint_plan(spark):
     assert fact.count() == 4 and "Key" not in fact.columns
     assert (first.month, first.pmt, first["O to I(minutes)"], first.UnitBilled) == (4, 77, 62.05, 1234.5)
     assert first["TargetTAT(minutes)"] is None and first.DueDate == dt.datetime(2023, 5, 1)
-    assert first.CREATED_AT == dt.datetime(2023, 4, 7, 10, 20, 30)
+    assert first.created_time == dt.datetime(2023, 4, 7, 10, 20, 30)
     assert fact.filter("account IS NULL").first().month is None
 
 
@@ -265,14 +274,58 @@ def test_monthly_load_from_raw_text(spark):
 
 def test_repeated_and_late_months(spark, folder):
     outages = clean_outages(raw_outages(spark)).withColumns({"year": F.year("created_at"), "month": F.month("created_at")})
-    complaints, raw = clean_complaints(raw_complaints(spark)), raw_billing(spark)
+    raw = raw_billing(spark)
+    load_complaints(clean_complaints(raw_complaints(spark)), folder)
+    load_outages(outages, folder)
     count = lambda paths, name: tables.read_table(spark, paths[name]).count()
-    paths = load_months(raw.filter("billing_month = '202310'"), folder, complaints, outages)
+    paths = load_months(raw.filter("billing_month = '202310'"), folder)
     assert count(paths, "billing") == 1
     for _ in range(2):
-        paths = load_months(raw.filter("billing_month = '202304'"), folder, complaints, outages)
+        paths = load_months(raw.filter("billing_month = '202304'"), folder)
         assert (count(paths, "billing"), count(paths, "consumer_dim"), count(paths, "ibc_oms_ageing_dim")) == (4, 1, 1)
     corrected = raw.filter("billing_month = '202304' AND AccountContract = '1'")
-    load_months(corrected, folder, complaints, outages)
+    load_months(corrected, folder)
     assert count(paths, "billing") == 2
     assert rows(tables.read_table(spark, paths["ibc_crm_ageing_dim"]), "load_id", "total_current_amount") == [(202304, 10.5)]
+    load_months(corrected.withColumn("Status", F.lit("INA")), folder)
+    for name in ("billing", "consumer_dim", "ibc_crm_ageing_dim", "ibc_all_dim", "pmt_crm_ageing_dim", "ibc_oms_ageing_dim"):
+        schema = "load_id int"
+        assert spark.read.schema(schema).parquet(paths[name]).filter("load_id = 202304").count() == 0, name
+
+
+def test_rows_without_a_month_are_kept_apart(spark, folder):
+    raw = raw_billing(spark)
+    load_complaints(clean_complaints(raw_complaints(spark)), folder)
+    load_outages(clean_outages(raw_outages(spark)).withColumns({"year": F.year("created_at"), "month": F.month("created_at")}), folder)
+    lost = raw.withColumn("billing_month", F.when(F.col("AccountContract") > "2", F.col("billing_month")).otherwise(F.lit(None)))
+    paths = load_months(lost, folder, "batch1")
+    assert tables.read_table(spark, paths["rejects"]).count() == 2 and tables.read_table(spark, paths["billing"]).count() == 2
+    assert tables.read_table(spark, f"{folder}/rejects/outages/*").count() == 1
+
+
+def test_load_reads_only_its_months(spark, folder):
+    from gridsight.plans import monthly
+
+    load_complaints(clean_complaints(raw_complaints(spark)), folder)
+    schema = tables.read_table(spark, f"{folder}/crm_ibc_dim").schema
+    plan = monthly._stored(spark, f"{folder}/crm_ibc_dim", schema, [202304])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "202304" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_centre_with_two_names_has_one_row(spark):
+    """Eight complaints and two outages of one code under two names: all are counted, once."""
+    complaints = spark.createDataFrame(
+        [(str(i), "10", "A" if i < 3 else "B", 2023, 10, 77, "T", "Y", 0.4) for i in range(8)],
+        "account string, ibc_code string, ibc_name string, year int, month int, pmt bigint, pmt_name string, star_customer string, resolution_minutes double")
+    outages = spark.createDataFrame(
+        [(1, "A", "tree", 10 / 60, 1.0, 0, 2023, 10), (2, "B", "tree", 10 / 60, 1.0, 0, 2023, 10), (3, "B", "wind", 10 / 60, 1.0, 1, 2023, 10)],
+        "outage_id bigint, ibc_name string, reason string, duration_minutes double, turnaround_minutes double, rain int, year int, month int")
+    billing = clean_billing(raw_billing(spark)).filter("account = '5'").withColumn("ibc_name", F.lit("A"))
+    billing = billing.unionByName(billing.withColumn("ibc_name", F.lit("B")))
+    made = billing_dims(billing, complaints, outages)
+    both = made["ibc_all_dim"].collect()
+    assert [(r.ibc_code, r.complaints, r.outages, r.top_fault, r.top_fault_frequency, r.avg_resolution_minutes, r.avg_duration_minutes) for r in both] == [
+        ("10", 8, 3, "tree", 2, 0.4, 0.166667)]
+    assert both[0].billing_month == dt.date(2023, 10, 1)
+    assert [(r.ibc_code, r.complaints) for r in made["ibc_crm_ageing_dim"].collect()] == [("10", 8)]
+    assert billing_dims(billing, complaints, outages, season=True)["ibc_all_dim"].count() == 0
