@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -31,7 +32,8 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    spark = local_session("bench", cpus, int(cpus) if cpus.isdigit() else 8)
+    shared = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="gridsight-bench-")}
+    spark = local_session("bench", cpus, int(cpus) if cpus.isdigit() else 8, shared)
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(10**6).selectExpr("sum(id)").collect()
     times = {}

@@ -615,7 +615,7 @@ def _(t):
     def load(batch: DataFrame) -> DataFrame:
         return clean_billing(batch.withColumn("billing_month", F.col("`Batch Month`")).drop("Batch Month"))
 
-    files = arrivals.arriving_files(t.spark, landing, columns)
+    files = arrivals.arriving_files(t.spark, landing, columns)  # all that have arrived, in one batch
     arrivals.finish(arrivals.load_arrivals(files, f"{landing}-table", f"{landing}-checkpoint", load))
     cents = F.rint(F.col("current_amount") * 100).cast("bigint")
     return (

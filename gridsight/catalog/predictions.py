@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gridsight.catalog.bindings import Tables, billing, sql_total, weekly_scores, with_views
-from gridsight.catalog.features import labelled, panel_of, service_rows
+from gridsight.catalog.features import labelled, panel_of, panel_sql, sequence_sql, service_rows
 from gridsight.catalog.registry import query
 from gridsight.functions.measures import Measure, aggregate
 from gridsight.operators import evaluation as ev, learning, panel
@@ -216,7 +216,7 @@ def _(t):
 
 
 @query("batch_scoring")
-def _(t):
+def batch_scoring(t):
     """One probability per feeder for each of three target months, from its latest history."""
     model, scaler, features, _ = _model(t)
     rows = panel_of(service_rows(t), "month").withColumn("month_number", F.month("period"))
@@ -225,3 +225,79 @@ def _(t):
         scaler.transform(rows), "feeder", "period", features, targets, 12
     )
     return learning.score_batch(model, latest)
+
+
+# --- what SQL can know of the models' results -------------------------------------------------
+
+CONSUMERS_SQL = f"""SELECT account, {sql_total('current_amount')} / count(current_amount) AS amount,
+  {sql_total('current_units', 0)} / count(current_units) AS units, CAST(count(document) AS DOUBLE) AS bills,
+  CASE WHEN CAST(account AS BIGINT) % 40 <> 7 THEN min(sanctioned_load) END AS sanctioned_load
+FROM billing GROUP BY account"""
+
+
+def _gappy_consumers(t: Tables) -> DataFrame:
+    """Consumers of whom some have no sanctioned load."""
+    missing = F.col("account").cast("bigint") % 40 == 7
+    return consumers(t).withColumn("sanctioned_load", F.when(~missing, F.col("sanctioned_load")))
+
+
+@query("kmeans_segments_facts", with_views(["billing"], f"SELECT *, TRUE AS placed FROM ({CONSUMERS_SQL})"))
+def _(t):
+    """Every consumer once; a segment from 0 to 2 for those with all measures, none for others."""
+    rows = _gappy_consumers(t)
+    assigned = learning.fit_segments(rows, SEGMENT_FEATURES).assign(rows)
+    placed = F.when(F.col("sanctioned_load").isNull(), F.col("segment").isNull()).otherwise(
+        F.col("segment").between(0, 2))
+    return assigned.select("account", *SEGMENT_FEATURES, placed.alias("placed"))
+
+
+@query("kmeans_centres_facts", "SELECT CAST(unnest([0, 1, 2]) AS INTEGER) AS segment, TRUE AS is_mean")
+def _(t):
+    """Each centre is the mean of its members' scaled measures."""
+    rows = _gappy_consumers(t)
+    fitted = learning.fit_segments(rows, SEGMENT_FEATURES)
+    members = fitted.assign(rows).filter("segment IS NOT NULL").select(
+        "segment", F.posexplode(learning.vector_to_array("features")).alias("place", "value"))
+    means = members.groupBy("segment", "place").agg(F.avg("value").alias("mean"))
+    centres = fitted.centres(t.spark).select("segment", F.posexplode("centre").alias("place", "value"))
+    return centres.join(means, ["segment", "place"]).groupBy("segment").agg(
+        F.every(F.abs(F.col("value") - F.col("mean")) < 0.01).alias("is_mean"))
+
+
+@query("silhouette_facts", with_views(["billing"],
+    f"SELECT count(sanctioned_load) AS consumers, TRUE AS in_range FROM ({CONSUMERS_SQL})"))
+def _(t):
+    rows = _gappy_consumers(t)
+    assigned = learning.fit_segments(rows, SEGMENT_FEATURES).assign(rows)
+    value = learning.silhouette(assigned)
+    return assigned.agg(F.count("segment").alias("consumers")).withColumn("in_range", F.lit(-1 <= value <= 1))
+
+
+def _in_range():
+    return F.col("predicted_probability").between(0, 1).alias("in_range")
+
+
+@query("fault_classifier_facts", f"""WITH {panel_sql('service', 'month')}
+SELECT feeder, last_period, label, TRUE AS in_range FROM (
+  SELECT feeder, period AS last_period, {sequence_sql(12)} AS s,
+    lead(target) OVER (PARTITION BY feeder ORDER BY period) AS label FROM labelled)
+WHERE len(s) = 12 AND label IS NOT NULL AND last_period >= DATE '{CUT}'""")
+def _(t):
+    """Every sequence after the training months is scored once."""
+    model, _, _, sequences = _model(t)
+    scored = learning.score_batch(model, sequences.filter(F.col("last_period") >= CUT))
+    return scored.select("feeder", "last_period", "label", _in_range())
+
+
+BATCH_TARGETS = ["2001-01-01", "2001-02-01", "2001-03-01"]
+
+
+@query("batch_scoring_facts", f"""WITH {panel_sql('service', 'month')},
+targets AS (SELECT CAST(unnest({BATCH_TARGETS}) AS DATE) AS target_period),
+history AS (SELECT feeder, target_period, period AS last_period, s, row_number() OVER (
+    PARTITION BY feeder, target_period ORDER BY period DESC) AS back
+  FROM (SELECT *, {sequence_sql(12)} AS s FROM panel) JOIN targets ON period < target_period)
+SELECT feeder, target_period, last_period, TRUE AS in_range FROM history WHERE back = 1 AND len(s) = 12""")
+def _(t):
+    """Every feeder with a history is scored once for each target month."""
+    return batch_scoring(t).select("feeder", "target_period", "last_period", _in_range())

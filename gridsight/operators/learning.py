@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -124,9 +125,11 @@ def index_key(df: DataFrame, column: str, name: str) -> DataFrame:
 class Segments:
     scaling: PipelineModel
     clusters: KMeansModel
+    measures: tuple[str, ...]
 
     def assign(self, df: DataFrame) -> DataFrame:
-        return self.clusters.transform(self.scaling.transform(df))
+        placed = self.clusters.transform(self.scaling.transform(df.filter(_present(self.measures))))
+        return placed.unionByName(df.filter(~_present(self.measures)), allowMissingColumns=True)
 
     def centres(self, spark) -> DataFrame:
         rows = [(i, [float(x) for x in c]) for i, c in enumerate(self.clusters.clusterCenters())]
@@ -134,19 +137,28 @@ class Segments:
 
 
 def fit_segments(df: DataFrame, features: list[str], k: int = 3, seed: int = 1) -> Segments:
-    """KMeans over standardised billing measures (not over an id, which has no distance)."""
+    """KMeans over standardised billing measures (not over an id, which has no distance), fitted on the
+    rows that have all of them; a row without one is kept by ``assign`` and has no segment."""
     scaling = Pipeline(
         stages=[
-            VectorAssembler(inputCols=features, outputCol="measures", handleInvalid="skip"),
+            VectorAssembler(inputCols=features, outputCol="measures", handleInvalid="error"),
             StandardScaler(inputCol="measures", outputCol="features", withMean=True),
         ]
-    ).fit(df)
-    clusters = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment")
-    return Segments(scaling, clusters.fit(scaling.transform(df)))
+    ).fit(df.filter(_present(features)))
+    clusters = KMeans(k=k, seed=seed, maxIter=100, featuresCol="features", predictionCol="segment")
+    return Segments(scaling, clusters.fit(scaling.transform(df.filter(_present(features)))), tuple(features))
+
+
+def _present(features) -> Column:
+    """Whether a row has every feature, as a number."""
+    return reduce(lambda a, b: a & b, [
+        F.col(c).isNotNull() & ~F.isnan(F.coalesce(F.col(c).cast("double"), F.lit(0.0))) for c in features])
 
 
 def silhouette(assigned: DataFrame) -> float:
-    return ClusteringEvaluator(featuresCol="features", predictionCol="segment").evaluate(assigned)
+    """Over the rows that have a segment."""
+    rows = assigned.filter(F.col("segment").isNotNull())
+    return ClusteringEvaluator(featuresCol="features", predictionCol="segment").evaluate(rows)
 
 
 def flat_features(sequences: DataFrame, column: str = "sequence") -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridsight.functions.measures import Measure, aggregate
+from gridsight.operators.joins import stored
 
 
 def period_start(at: str, unit: str) -> Column:
@@ -27,15 +28,17 @@ def feeder_panel(
 ) -> DataFrame:
     """One row per feeder and period, quiet periods included, with a 0/1 fault flag.
 
-    Periods run from the table's first to its last. The calendar is generated per feeder from the
-    two bounds, which come from a one-row subquery; nothing is cross joined.
+    Periods run from the table's first to its last. The source is read once: its sums per feeder and
+    period are stored, and bounds and feeders are taken from those. The calendar is generated per
+    feeder from the two bounds, which come from a one-row subquery; nothing is cross joined.
     """
     step = {"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month"}[unit]
     rows = df.withColumn("period", period_start(at, unit)).withColumn(
         "is_fault", F.when(fault, 1).otherwise(0)
     )
-    seen = aggregate(rows, [feeder, "period"], [*measures, Measure("faults", "sum", "is_fault")])
-    ends = rows.agg(F.min("period").alias("first"), F.max("period").alias("last"))
+    seen = stored(
+        aggregate(rows, [feeder, "period"], [*measures, Measure("faults", "sum", "is_fault")]), "panel")
+    ends = seen.agg(F.min("period").alias("first"), F.max("period").alias("last"))
     calendar = F.sequence(
         ends.select("first").scalar(), ends.select("last").scalar(), F.expr(step)
     )

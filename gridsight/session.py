@@ -29,6 +29,10 @@ def local_session(
     return builder.getOrCreate()
 
 
+#: Folders made by this process.
+_OWNED: set[str] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -47,5 +51,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A path under the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no earlier run has used.
+
+    All paths of an application lie in one folder, which the driver's Hadoop client removes when the
+    application ends; results that are to stay are written elsewhere.
+    """
+    application = f"{shared_dir(spark)}/gridsight-{spark.sparkContext.applicationId}"
+    if application not in _OWNED:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        at = jvm.org.apache.hadoop.fs.Path(application)
+        fs = at.getFileSystem(conf)
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _OWNED.add(application)
+    return f"{application}/{purpose}-{uuid.uuid4().hex}"

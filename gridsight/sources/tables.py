@@ -97,7 +97,7 @@ def idempotent_append(
 
 def _folder() -> Column:
     """The folder a row was read from; the same for all rows of a load."""
-    return F.min(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)).alias("folder")
+    return F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1).alias("folder")
 
 
 def _path(spark: SparkSession, folder: str):
@@ -124,15 +124,15 @@ def delete_where(spark: SparkSession, path: str, predicate: Column, partition_by
     """Delete matching rows; rows for which the predicate is NULL stay.
 
     Only partitions with a matching row are rewritten, and those without a survivor are removed.
-    What comes to the driver is one line per partition. Returns the rewritten or removed loads.
+    What comes to the driver is one line per partition. Returns the rewritten or removed loads. A task
+    that fails is repeated safely; if the job fails while it commits, run it again from a copy, since
+    the partitions it rewrites are those it reads.
     """
     hit = F.coalesce(predicate, F.lit(False))
     table = read_table(spark, path)
     lines = (
-        table.groupBy(partition_by)
-        .agg(
-            F.count_if(hit).alias("hits"), F.count_if(~hit).alias("kept"), _folder()
-        )
+        table.groupBy(partition_by, _folder())
+        .agg(F.count_if(hit).alias("hits"), F.count_if(~hit).alias("kept"))
         .filter("hits > 0")
         .collect()
     )
@@ -160,9 +160,12 @@ def as_of(table: DataFrame, load, partition_by: str = LOAD) -> DataFrame:
 
 
 def rollback_to(spark: SparkSession, path: str, load, partition_by: str = LOAD) -> list:
-    """Drop every load after ``load``; one line per dropped load comes to the driver."""
+    """Drop every load after ``load``; one line per dropped load comes to the driver.
+
+    No column is read: the loads and their folders come from the files' names.
+    """
     later = read_table(spark, path).filter(F.col(partition_by) > load)
-    lines = later.groupBy(partition_by).agg(_folder()).collect()
+    lines = later.select(partition_by, _folder()).distinct().collect()
     drop_folders(spark, [r["folder"] for r in lines])
     return sorted(r[partition_by] for r in lines)
 

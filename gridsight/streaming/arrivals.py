@@ -22,9 +22,13 @@ def arriving_files(
     columns: list[str],
     contains: str = "Ageing",
     sep: str = "|",
-    one_file_at_a_time: bool = True,
+    one_file_at_a_time: bool = False,
 ) -> DataFrame:
-    """New ``.csv`` files (any case) whose name contains a word, with file name and month."""
+    """New ``.csv`` files (any case) whose name contains a word, with file name and month.
+
+    A batch takes all files that have arrived, each as a load of its own; ``one_file_at_a_time`` makes
+    a batch of each.
+    """
     reader = (
         spark.readStream.schema(text_schema(columns))
         .option("sep", sep)

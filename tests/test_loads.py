@@ -134,7 +134,8 @@ def test_newer_rows(spark):
 
 
 def test_shared_folder_is_the_one_named(spark):
-    assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
+    assert new_folder(spark, "x").startswith(
+        f"{spark.conf.get('spark.checkpoint.dir')}/gridsight-{spark.sparkContext.applicationId}/x-")
 
 
 # --- arrivals ---------------------------------------------------------------------------------

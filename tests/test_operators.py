@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from gridsight.functions.measures import Measure, aggregate, aggregate_with_labels
+from gridsight.functions.measures import Measure, aggregate, aggregate_with_labels, mean_minutes
 from gridsight.operators import cleaning, dimensions as dims, evaluation as ev, facts, learning, panel, summaries
 
 
@@ -347,3 +347,32 @@ def test_segments(spark):
     assigned = fitted.assign(df)
     assert assigned.select("segment").distinct().count() == 3
     assert fitted.centres(spark).count() == 3 and -1 <= learning.silhouette(assigned) <= 1
+
+
+def test_consumers_without_a_measure_are_kept(spark):
+    df = spark.range(41).select("id", F.when(F.col("id") != 7, F.col("id") % 3 * 100.0).alias("a"), F.rand(2).alias("b"))
+    assigned = learning.fit_segments(df, ["a", "b"]).assign(df)
+    assert assigned.count() == 41 and [r.id for r in assigned.filter("segment IS NULL").collect()] == [7]
+
+
+def test_mean_minutes_are_those_of_the_rows(spark):
+    df = spark.createDataFrame([(1, 10 / 60), (1, 10 / 60), (2, 0.4), (2, 0.4), (2, None)], "k int, m double")
+    assert rows(aggregate(df, ["k"], [mean_minutes("avg_m", "m")])) == [(1, 0.166667), (2, 0.4)]
+
+
+def test_surrogate_keys_of_different_keys_differ(spark):
+    df = spark.createDataFrame([(None, "x"), ("", "x"), ("a|b", "c"), ("a", "b|c"), ("-", "x"), ("1:a", None)], "a string, b string")
+    assert cleaning.surrogate_key(df, ["a", "b"]).select("row_key").distinct().count() == 6
+
+
+def test_missing_consumer_attributes_fail(spark):
+    df = spark.createDataFrame([("1", 2023, 4)], "account string, year int, month int")
+    with pytest.raises(ValueError, match="consumer_name"):
+        dims.consumer_dim(df, df, optional=dims.NOT_SUPPLIED)
+
+
+def test_panel_reads_its_source_once(spark, folder):
+    spark.range(50).select(F.col("id").alias("f"), F.timestamp_seconds(F.col("id") * 86400).alias("at")).write.parquet(f"{folder}/src")
+    got = panel.feeder_panel(spark.read.parquet(f"{folder}/src"), "f", "at", "week", [Measure("n", "count", "f")], F.lit(True))
+    assert got.count() == 50 * 8 and f"{folder}/src" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert f"{folder}/src" not in got._jdf.queryExecution().executedPlan().toString()
