@@ -35,6 +35,14 @@ def utf8(text: str | Column) -> Column:
     return F.coalesce(column.cast("binary"), F.lit(b""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def kept(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a Parquet table of the shared folder, so that what follows neither computes them
     again nor depends on an executor that may be lost."""

@@ -9,7 +9,7 @@ of a hash is verified word for word.
 Cases: a NULL or wordless text has no words and no hits; a NULL or wordless item has no windows;
 repeated items count once by their id, and an item without an id counts as one with the id ``''``;
 repeated documents are judged one by one; an empty benchmark hits nothing. Columns of the documents are
-kept under their own names, whatever they are.
+kept under their own names, whatever they are, but for one named like the result, which is replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridsight.llm.common import WORD_BYTES, blocks, checkpointed, offsets, pieces, utf8, words_of
+from gridsight.llm.common import WORD_BYTES, blocks, checkpointed, offsets, pieces, unused, utf8, words_of
 
 #: Words to a window.
 WINDOW = 10
@@ -194,13 +194,13 @@ def n_hit(leaks: str = "leaks") -> Column:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """Only documents without a word of the benchmark's windows, in their own columns."""
-    into = "_leaks"
+    into = unused(docs, "_leaks")
     return mark_leaks(docs, benchmark, text, window, into=into).where(F.size(f"{into}.spans") == 0).drop(into)
 
 
 def cut_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """All documents, without the hit spans: from a span's first word to the end of its last."""
-    into = "_leaks"
+    into = unused(docs, "_leaks")
 
     @F.arrow_udf("binary")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:

@@ -7,7 +7,8 @@ winners are confirmed by the exact differences in wording between block and temp
 out or changed, and no change of a number or of what is forbidden or allowed.
 
 Cases: a NULL, empty or wordless text has no licences; texts are scanned whole; repeated documents are
-scanned one by one; an empty table gives no rows. A document's other columns are kept and never used.
+scanned one by one; an empty table gives no rows. A document's other columns are kept and never used; one
+named like the result is replaced.
 """
 
 from __future__ import annotations

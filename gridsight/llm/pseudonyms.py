@@ -10,7 +10,8 @@ Kinds: ``card`` (13-19 digits, Luhn), ``iban`` (mod 97), ``ssn`` (issued ranges)
 Separators, letter case and check digits keep their form. Anything that fails its check stays.
 
 Cases: a NULL text stays NULL, an empty one empty, both without values; repeated documents are treated
-alike; an empty table gives no rows. A document's other columns are kept and never used.
+alike; an empty table gives no rows. A document's other columns are kept and never used; one named like
+the result is replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsight.llm.common import utf8
+from gridsight.llm.common import unused, utf8
 
 ROUNDS = 10
 #: Values beyond which a permutation is not remembered.
@@ -250,7 +251,7 @@ def pseudonymised(docs: DataFrame, key: bytes, text: str = "text", into: str = "
                             "spans": [{"kind": k, "start": s, "end": e} for k, s, e in spans]})
             yield pa.array(out, _RESULT)
 
-    changed = "_changed"
+    changed = unused(docs, "_changed")
     return docs.withColumn(changed, replace(utf8(text))).withColumn(
         text, F.coalesce(F.col(f"{changed}.text").cast("string"), F.col(text))
     ).withColumn(into, F.col(f"{changed}.spans")).drop(changed)

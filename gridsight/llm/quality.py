@@ -9,7 +9,8 @@ against fixed thresholds.
 Cases: a NULL, empty or blank text has no words, fails the base rules and is not kept; labels that are
 NULL or not 0 or 1, and rows without an id, teach nothing; equal texts with equal labels count once;
 with one label only, or none, every text has the same probability; repeated documents are judged one by
-one; an empty table gives no rows. A document's other columns are kept and never used.
+one; an empty table gives no rows. A document's other columns are kept and never used; one named like
+the result is replaced.
 """
 
 from __future__ import annotations
@@ -197,7 +198,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, text: str, max_train:
     rows = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
     once = rows.groupBy(F.md5(F.coalesce("text", F.lit(""))).alias("m"), "y").agg(
         F.first("text").alias("text"), F.min("back").alias("back"))
-    return once.select("m", "y", "back", hashed(utf8("text")).alias("x")).select("m", "y", "back", "x.*")
+    # An id that many rows share would bring all their texts.
+    bounded = once.orderBy("m", "y").limit(max_train)
+    return bounded.select("m", "y", "back", hashed(utf8("text")).alias("x")).select("m", "y", "back", "x.*")
 
 
 def _descend(row, column, value, y, size: int, rounds: int, ridge: float) -> np.ndarray:

@@ -9,7 +9,7 @@ the broadcast weights (``MAX_WORDS`` and the identity terms at most).
 Cases: a NULL, empty or wordless text has the score of the intercept; labels that are NULL or not 0 or 1,
 and rows without an id, teach nothing; equal texts with equal labels count once; without both labels the
 score is the smoothed share of label 1; repeated documents are scored one by one; an empty table gives no
-rows. A document's other columns are kept and never used.
+rows. A document's other columns are kept and never used; one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -96,7 +96,9 @@ def sample(
     rows = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
     once = rows.groupBy(F.xxhash64("text").alias("x"), F.md5(F.coalesce("text", F.lit(""))).alias("m"), "y").agg(
         F.first("text").alias("text"))
-    return kept(once.select("y", split(utf8("text")).alias("words")), "sample")
+    # An id that many rows share would bring all their texts.
+    bounded = once.orderBy("x", "m", "y").limit(max_train)
+    return kept(bounded.select("y", split(utf8("text")).alias("words")), "sample")
 
 
 def informative_words(rows: DataFrame, max_words: int, min_texts: int) -> list[bytes]:

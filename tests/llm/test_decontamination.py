@@ -68,3 +68,10 @@ def test_long_text_in_parts():
     windows = d.WindowSet([b"t1 t2 t3"], ["7"])
     text = b" ".join([b"filler"] * 400_000 + [b"t1", b"t2", b"t3"] + [b"filler"] * 10)
     assert windows.scan([text, b"", b"t1 t2 t3"]) == [(400_013, [(400_000, 400_003)], ["7"]), (0, [], []), (3, [(0, 3)], ["7"])]
+
+
+def test_columns_of_like_names_stay(spark):
+    items = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "x a b c y", "p", "q"), (2, "z", "r", "s")], "doc_id bigint, text string, _leaks string, LEAKS string")
+    assert d.drop_contaminated(docs, items).collect() == docs.where("doc_id = 2").collect()
+    assert d.cut_contaminated(docs, items).columns == docs.columns
