@@ -39,21 +39,32 @@ _PATTERN = re.compile(
     rb"(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?!\.?\d)"
     rb"|(?P<date>\d{4}(?P<d1>[-/.])\d{1,2}(?P=d1)\d{1,2}|\d{1,2}(?P<d2>[-/.])\d{1,2}(?P=d2)\d{4})(?![-/]?\d)"
     rb"|(?P<ssn>\d{3}-\d{2}-\d{4})(?!-?\d)"
-    rb"|(?P<phone>\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]\d{1,4}|\d{2,4})(?:[ .-]?\d{2,4}){1,4}"
+    rb"|(?P<phone>\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    rb"|\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]\d{1,4}|\d{2,4})(?:[ .-]?\d{2,4}){1,4}"
     rb"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}(?P<d3>[ .-])\d{3}(?P=d3)\d{4})(?![-.]?\d)"
-    rb"|(?P<card>\d(?:[ -]?\d){12,18})(?![ -]?\d)"
+    rb"|(?P<card>\d{13,19}|\d{4}(?P<d4>[ -])\d{4}(?P=d4)\d{4}(?P=d4)\d{1,4}(?:(?P=d4)\d{1,3})?|\d{4}(?P<d5>[ -])\d{6}(?P=d5)\d{5})"
     rb"|(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30})"
     rb")(?![" + _EDGE + rb"])")
 _EMAIL = re.compile(
     rb"(?<![A-Za-z0-9._%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?"
     rb"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 _DIGIT = re.compile(rb"[0-9]")
+_FIRST = re.compile(rb"[+(]*[0-9A-Z]+")
 _LETTERS, _DIGITS = b"abcdefghijklmnopqrstuvwxyz", b"0123456789"
 
 _FIRST_DAY, _LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 _SSN_AREAS = [a for a in range(1, 900) if a != 666]
 
 
+def _shorter(kind: str, value: bytes) -> Iterator[bytes]:
+    """The value, and what is left of it as words at its end, which may be others', are taken off."""
+    yield value
+    if kind in ("phone", "iban", "card"):
+        while (cut := max(value.rfind(b" "), value.rfind(b"-"), value.rfind(b"."))) > 0:
+            value = value[:cut]
+            yield value
+
+
 class Permutation:
     """A keyed permutation of 0..size-1 without fixed points (for two values or more): a Feistel
     network, one step on, and the network back."""
@@ -193,8 +204,14 @@ class Pseudonyms:
         hits = []
         if b"@" in text:
             hits += [(m.start(), m.end(), "email", m[0]) for m in _EMAIL.finditer(text)]
-        if _DIGIT.search(text):
-            hits += [(m.start(), m.end(), m.lastgroup, m[0]) for m in _PATTERN.finditer(text)]
+        at = 0
+        while _DIGIT.search(text, at) and (m := _PATTERN.search(text, at)):
+            value = next((v for v in _shorter(m.lastgroup, m[0]) if self.of(m.lastgroup, v) is not None), None)
+            if value is None:
+                at = m.start() + len(_FIRST.match(m[0])[0])
+            else:
+                at = m.start() + len(value)
+                hits.append((m.start(), at, m.lastgroup, value))
         end = 0
         for start, stop, kind, value in sorted(hits):
             if start >= end and (new := self.of(kind, value)) is not None:

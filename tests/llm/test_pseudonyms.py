@@ -55,6 +55,16 @@ def test_invalid_values_stay(text):
     assert p.Pseudonyms(KEY).replaced(text.encode()) == (text.encode(), [])
 
 
+@pytest.mark.parametrize("text, kinds", [
+    ("4451718024887799 27.65.93.188 A", ["card", "ip"]), ("+1 (017) 555-7713 4111 1111 1111 1111", ["phone", "card"]),
+    ("DE89 3704 0044 0532 0130 00 THE 2024 END 10.0.0.1", ["iban", "ip"]), ("4111 1111 1111 1112 4111-1111-1111-1111", ["card"]),
+    ("+49 30 1234567 1.2.3.4 a@b.org 078-05-1120", ["phone", "ip", "email", "ssn"]),
+])
+def test_values_side_by_side(text, kinds):
+    new, spans = p.Pseudonyms(KEY).replaced(text.encode())
+    assert [s[0] for s in spans] == kinds and p.Pseudonyms(KEY, -1).replaced(new)[0] == text.encode()
+
+
 def test_dates_cover_the_calendar():
     names = p.Pseudonyms(KEY)
     days = [dt.date(1900, 1, 1) + dt.timedelta(i) for i in range(0, 73_049, 37)]
