@@ -402,7 +402,18 @@ def _two_names_sql(view: str, parity: str) -> str:
 FROM ({VIEWS[view]})"""
 
 
+_LOADED: dict[tuple[str, str], dict[str, str]] = {}
+
+
 def _loaded(t: Tables) -> dict[str, str]:
+    """The tables of ``_load_all``, made once per application and source folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _LOADED:
+        _LOADED[key] = _load_all(t)
+    return _LOADED[key]
+
+
+def _load_all(t: Tables) -> dict[str, str]:
     """All tables after three loads: complaints and outages; every billing month, some rows without
     one; and a correction after which a month has no active row left."""
     base = new_folder(t.spark, "star")
