@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from typing import NamedTuple
@@ -42,7 +43,7 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
-    "all-rights-reserved": "Copyright. All rights reserved.",
+    "all-rights-reserved": "All rights reserved.",
     "Apache-2.0-notice": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at "
@@ -79,12 +80,27 @@ TEMPLATES = {
 }
 #: Stems that mark candidate blocks; every template has one at least.
 STEMS = (b"licen", b"copyright", b"permission", b"warrant", b"redistribut", b"all rights")
-#: Least share of a block's compressed size that the template must save, and most words that may differ
-#: for each of the template's.
-MIN_REDUCTION, MAX_DIFFERENT = 0.35, 0.1
+#: Least share of a block's compressed size that the template must save; most words that may differ for
+#: each of the template's, and the number that may whatever the template's length.
+MIN_REDUCTION, MAX_DIFFERENT, LEAST_DIFFERENT = 0.35, 0.1, 1
+#: Templates of so few words may have words between theirs but none of theirs changed.
+FIXED_WORDS = 3
 #: Words whose change makes another licence of it.
 _DECISIVE = re.compile(r"\d|^(not|no|never|without|with|may|must|shall|except|only|nc|nd|sa|by|mit|bsd|apache|gnu|lesser|affero|mozilla|cc)$")
 
+#: Templates whose place takes in the copyright statement beside them, and the forms of that statement
+#: before and after: marks, years, holder. Its words are no differences.
+STATED = frozenset(("all-rights-reserved",))
+_MARK = rb"(?:(?i:\bcopyright\b)|\xc2\xa9|\([cC]\)|&copy;)"
+_MARKS = _MARK + rb"(?:[ \t]*" + _MARK + rb")*[ \t,:.]*"
+_STATED_BEFORE = re.compile(
+    _MARKS + rb"(?:(?:[0-9]{4}|(?i:by)\b|[A-Z\xc3-\xf4\"'<\[{])[^\n]*)?(?:\r?\n[ \t#*/;-]*)?\Z")
+_STATED_AFTER = re.compile(
+    rb"[ \t.,;|]*" + _MARKS + rb"[0-9]{4}(?:[ \t]*[-,][ \t]*[0-9]{4})*"
+    rb"(?:[ \t,]+(?:(?i:by)[ \t]+)?[A-Z\xc3-\xf4][^\s.,;]*(?:[ \t]+[A-Z&\xc3-\xf4][^\s.,;]*)*)?")
+#: Most words and bytes of a statement before.
+_STATED_WORDS, _STATED_BYTES = 16, 200
+
 _STEM = re.compile(b"|".join(STEMS))
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -104,6 +120,9 @@ class _Template:
         plain = text.encode().translate(_LOWER)
         self.name = name
         self.words = [w.decode() for w in _WORD.findall(plain)]
+        self.may_differ = max(int(MAX_DIFFERENT * len(self.words)), LEAST_DIFFERENT)
+        self.fixed = frozenset(self.words) if len(self.words) <= FIXED_WORDS else frozenset()
+        self.counts = Counter(self.words)
         self.stems: dict[bytes, list[int]] = {}
         starts = [m.start() for m in _WORD.finditer(plain)]
         for found in _STEM.finditer(plain):
@@ -152,41 +171,67 @@ class Scanner:
         for match in ranked:
             if all(match.end <= c.start or c.end <= match.start for c in chosen):
                 chosen.append(match)
-        return [
-            m._replace(start=_points(text[:places[m.start][0]]), end=_points(text[:places[m.end - 1][1]]))
-            for m in sorted(chosen, key=lambda m: m.start)
-        ]
+        out: list[Match] = []
+        chosen.sort(key=lambda m: m.start)
+        edges = [(places[m.start][0], places[m.end - 1][1]) for m in chosen]
+        done = 0
+        for nth, (match, (start, end)) in enumerate(zip(chosen, edges)):
+            if match.name in STATED:
+                start, end = _with_statement(text, start, end, done, edges[nth + 1][0] if nth + 1 < len(edges) else len(text))
+            out.append(match._replace(start=_points(text[:start]), end=_points(text[:end])))
+            done = end
+        return out
 
     def _judge(self, template: _Template, words: list[str], first: int, size: int) -> Match | None:
-        slack = size // 10
+        """The match, if its wording differs little enough and the template saves enough of it. Its edges
+        are the first and last words that agree with the template's, widened by what the template has
+        before and after them."""
+        slack = max(size // 10, LEAST_DIFFERENT)
         begin, end = max(first - slack, 0), min(first + size + slack, len(words))
-        reduction = template.reduction(" ".join(words[begin:end]).encode())
-        if reduction < MIN_REDUCTION:
-            return None
-        return self._confirm(template, words, begin, end, reduction)
-
-    def _confirm(self, template: _Template, words: list[str], begin: int, end: int, reduction: float) -> Match | None:
-        """The match, if its wording differs little enough; its edges are the first and last words that
-        agree with the template's, widened by what the template has before and after them."""
         block, mine = words[begin:end], template.words
+        if len(block) < size - template.may_differ or (template.counts - Counter(block)).total() > template.may_differ:
+            return None  # more of the template's words are missing than may differ
         steps = SequenceMatcher(None, mine, block, autojunk=False).get_opcodes()
         equal = [s for s in steps if s[0] == "equal"]
         if not equal:
             return None
         low = max(equal[0][3] - equal[0][1], 0)
         high = min(equal[-1][4] + len(mine) - equal[-1][2], len(block))
-        steps = SequenceMatcher(None, mine, block[low:high], autojunk=False).get_opcodes()
+        reduction = template.reduction(" ".join(block[low:high]).encode())
+        if reduction < MIN_REDUCTION:
+            return None
+        return self._confirm(template, block[low:high], begin + low, reduction)
+
+    def _confirm(self, template: _Template, block: list[str], begin: int, reduction: float) -> Match | None:
+        mine = template.words
         changes, count = [], 0
-        for kind, a, b, c, d in steps:
+        for kind, a, b, c, d in SequenceMatcher(None, mine, block, autojunk=False).get_opcodes():
             if kind != "equal":
-                old, new = mine[a:b], block[low + c:low + d]
-                if any(_DECISIVE.search(w) for w in old + new):
+                old, new = mine[a:b], block[c:d]
+                around = mine[a - 1:a + 1] if a == b and 0 < a < len(mine) else []
+                if any(_DECISIVE.search(w) for w in old + new) or not template.fixed.isdisjoint(old):
                     return None
+                if around and all(_DECISIVE.search(w) for w in around):
+                    return None  # a word inside a name: CC BY-XX 4.0
                 count += max(len(old), len(new))
                 changes.append(f"{' '.join(old)}>{' '.join(new)}")
-        if count > MAX_DIFFERENT * len(mine):
+        if count > template.may_differ:
             return None
-        return Match(template.name, begin + low, begin + high, round(reduction, 6), count, changes)
+        return Match(template.name, begin, begin + len(block), round(reduction, 6), count, changes)
+
+
+def _with_statement(text: bytes, start: int, end: int, least: int, most: int) -> tuple[int, int]:
+    """The place widened by the copyright statement that stands beside it, between two bounds."""
+    least = max(least, start - _STATED_BYTES)
+    at = least
+    while found := _STATED_BEFORE.search(text[:start], at):
+        if len(_WORD.findall(found[0].translate(_LOWER))) <= _STATED_WORDS:
+            start = found.start()
+            break
+        at = found.start() + 1
+    if (found := _STATED_AFTER.match(text, end, most)) is not None:
+        end = found.end()
+    return start, end
 
 
 def _last_at_most(starts: list[int], value: int) -> int:

@@ -31,6 +31,30 @@ def test_small_differences_are_listed(scanner):
     assert found[0].changes == ["free of charge>gratis", "software>program"]
 
 
+@pytest.mark.parametrize("before, notice, after", [
+    ("prose. ", "All rights reserved", "."), ("a word ", "all rights reserved", " follows"),
+    ("", "Copyright 2021 Acme. All rights reserved", "."), ("x\n", "Copyright (c) 2019-2021 Acme Inc.\n * All rights reserved", ".\ny"),
+    ("é ", "© 2020 Ácme, Ltd. All Rights Reserved", ""), ("", "All rights reserved © 2021 Acme Corp", " and so on"),
+    ("the copyright of it was sold. ", "All rights reserved", ""),
+])
+def test_rights_notice_with_its_copyright_statement(scanner, before, notice, after):
+    found = scanner.scan((before + notice + after).encode())
+    assert [(m.name, m.start, m.end, m.differences) for m in found] == [("all-rights-reserved", len(before), len(before) + len(notice), 0)]
+
+
+@pytest.mark.parametrize("text", ["all rights and obligations", "all rights not reserved", "all rights were sold", "All rights"])
+def test_other_rights_are_none(scanner, text):
+    assert scanner.scan(text.encode()) == []
+
+
+@pytest.mark.parametrize("text, name", [
+    ("Licensed under the MIT License", "MIT"), ("Distributed under the Apache License, Version 2.0", "Apache-2.0"),
+    ("Released under BSD 3-Clause License", "BSD-3-Clause"), ("Licensed under the CC BY 4.0 licence", "CC-BY-4.0"),
+])
+def test_short_templates_bear_a_difference(scanner, text, name):
+    assert [(m.name, m.differences) for m in scanner.scan(f"It is: {text}.".encode())] == [(name, 1)]
+
+
 def test_several_licences_and_line_breaks(scanner):
     text = "Released under\nthe   MIT License.\n\nprose " * 2 + "Licensed under the Apache License,\nVersion 2.0."
     assert [m.name for m in scanner.scan(text.encode())] == ["MIT", "MIT", "Apache-2.0"]
