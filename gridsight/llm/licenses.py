@@ -27,6 +27,49 @@ from pyspark.sql import functions as F
 
 from gridsight.llm.common import utf8
 
+def _free_notice(what: str, terms: str, version: str) -> str:
+    """The notice that the GNU licences ask for in a source file."""
+    mark = ":" if version == "3" else ";"
+    stop = "," if version == "3" else ";"
+    return (
+        f"This {what} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {terms} as "
+        f"published by the Free Software Foundation{stop} either version {version} of the License, or (at your option) any "
+        f"later version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        f"{terms} for more details.")
+
+
+def _gnu_opening(title: str, date: str, first: str) -> str:
+    return (
+        f"GNU {title} PUBLIC LICENSE Version 3, {date} Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> "
+        "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not "
+        f"allowed. {first}")
+
+
+def _bsd(marks: tuple[str, str, str], endorse: bool) -> str:
+    """The BSD text under the marks of its list; three clauses or two."""
+    one, two, three = (f"{m} " if m else "" for m in marks)
+    clause = (
+        f"{three}Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission. ") if endorse else ""
+    return (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        f"following conditions are met: {one}Redistributions of source code must retain the above copyright notice, this "
+        f"list of conditions and the following disclaimer. {two}Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+        f"provided with the distribution. {clause}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "
+        "\"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+        "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+        "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
+        "THE POSSIBILITY OF SUCH DAMAGE.")
+
+
+_GPL, _LGPL, _AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
+_NUMBERED, _MARKED = ("1.", "2.", "3."), ("*", "*", "*")
+
 #: Wording of common notices and licences.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -77,6 +120,76 @@ TEMPLATES = {
         "or (at your option) any later version. This program is distributed in the hope that it will be useful, "
         "but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
         "PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    "GPL-2.0-notice": _free_notice("program", _GPL, "2"),
+    "LGPL-2.0-notice": _free_notice("library", "Library " + _GPL, "2"),
+    "LGPL-2.1-notice": _free_notice("library", _LGPL, "2.1"),
+    "LGPL-3.0-notice": _free_notice("program", _LGPL, "3"),
+    "AGPL-3.0-notice": _free_notice("program", _AGPL, "3"),
+    "GPL-2.0-only-notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License version 2 as published by the Free Software Foundation."),
+    "MPL-2.0-notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0."),
+    "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-ND-4.0-notice": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-SA-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "CC-BY-NC-ND-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    "BSD-2-Clause-text": _bsd(_NUMBERED, False),
+    "BSD-2-Clause-text-marked": _bsd(_MARKED, False),
+    "BSD-3-Clause-text": _bsd(_NUMBERED, True),
+    "BSD-3-Clause-text-marked": _bsd(_MARKED, True),
+    "Apache-2.0-text": (
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION 1. Definitions. \"License\" shall mean the terms and conditions for use, "
+        "reproduction, and distribution as defined by Sections 1 through 9 of this document. \"Licensor\" shall mean the "
+        "copyright owner or entity authorized by the copyright owner that is granting the License."),
+    "MPL-2.0-text": (
+        "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal entity that "
+        "creates, contributes to the creation of, or owns Covered Software. 1.2. \"Contributor Version\" means the "
+        "combination of the Contributions of others (if any) used by a Contributor and that particular Contributor's "
+        "Contribution."),
+    "GPL-2.0-title": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "GPL-2.0-preamble": (
+        "The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU "
+        "General Public License is intended to guarantee your freedom to share and change free software--to make sure the "
+        "software is free for all its users. This General Public License applies to most of the Free Software Foundation's "
+        "software and to any other program whose authors commit to using it."),
+    "LGPL-2.1-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "LGPL-2.1-preamble": (
+        "The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU "
+        "General Public Licenses are intended to guarantee your freedom to share and change free software--to make sure the "
+        "software is free for all its users. This license, the Lesser General Public License, applies to some specially "
+        "designated software packages--typically libraries--of the Free Software Foundation and other authors who decide "
+        "to use it."),
+    "GPL-3.0-title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "LGPL-3.0-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "AGPL-3.0-title": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "GPL-3.0-text": _gnu_opening(
+        "GENERAL", "29 June 2007",
+        "Preamble The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    "LGPL-3.0-text": _gnu_opening(
+        "LESSER GENERAL", "29 June 2007",
+        "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the "
+        "GNU General Public License, supplemented by the additional permissions listed below."),
+    "AGPL-3.0-text": _gnu_opening(
+        "AFFERO GENERAL", "19 November 2007",
+        "Preamble The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, "
+        "specifically designed to ensure cooperation with the community in the case of network server software."),
+    "Zlib-text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions"),
+    "Unlicense-text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author "
+        "or authors of this software dedicate any and all copyright interest in the software to the public domain."),
 }
 #: Stems that mark candidate blocks; every template has one at least.
 STEMS = (b"licen", b"copyright", b"permission", b"warrant", b"redistribut", b"all rights")
@@ -86,7 +199,7 @@ MIN_REDUCTION, MAX_DIFFERENT, LEAST_DIFFERENT = 0.35, 0.1, 1
 #: Templates of so few words may have words between theirs but none of theirs changed.
 FIXED_WORDS = 3
 #: Words whose change makes another licence of it.
-_DECISIVE = re.compile(r"\d|^(not|no|never|without|with|may|must|shall|except|only|nc|nd|sa|by|mit|bsd|apache|gnu|lesser|affero|mozilla|cc)$")
+_DECISIVE = re.compile(r"\d|^(not|no|never|without|with|may|must|shall|except|only|nc|nd|sa|by|non|noncommercial|sharealike|noderivatives|mit|bsd|apache|gnu|lesser|affero|mozilla|cc)$")
 
 #: Templates whose place takes in the copyright statement beside them, and the forms of that statement
 #: before and after: marks, years, holder. Its words are no differences.

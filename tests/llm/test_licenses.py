@@ -55,6 +55,41 @@ def test_short_templates_bear_a_difference(scanner, text, name):
     assert [(m.name, m.differences) for m in scanner.scan(f"It is: {text}.".encode())] == [(name, 1)]
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+{0} Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+   disclaimer.
+{1} Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+   disclaimer in the documentation and/or other materials provided with the distribution.
+{2}THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.  IN NO
+EVENT SHALL THE REGENTS OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR
+CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR
+PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+POSSIBILITY OF SUCH DAMAGE.
+"""
+ENDORSE = """{} Neither the name of the University nor the names of its contributors may be used to endorse or promote products
+   derived from this software without specific prior written permission.
+"""
+
+
+@pytest.mark.parametrize("text, name", [
+    (BSD.format("1.", "2.", ""), "BSD-2-Clause-text"), (BSD.format("*", "*", ""), "BSD-2-Clause-text-marked"),
+    (BSD.format("1.", "2.", ENDORSE.format("3.")), "BSD-3-Clause-text"),
+    (BSD.format("*", "*", ENDORSE.format("*")), "BSD-3-Clause-text-marked"),
+    ("# " + l.TEMPLATES["LGPL-2.1-notice"].replace("library", "program").replace(". ", ".\n# "), "LGPL-2.1-notice"),
+    (l.TEMPLATES["GPL-2.0-notice"].replace("This program", "Foo"), "GPL-2.0-notice"),
+    (l.TEMPLATES["AGPL-3.0-notice"].replace("This program", "This module"), "AGPL-3.0-notice"),
+    (l.TEMPLATES["MPL-2.0-notice"].replace("http:", "https:"), "MPL-2.0-notice"),
+    (l.TEMPLATES["GPL-3.0-text"].replace("https:", "http:"), "GPL-3.0-text"),
+    (l.TEMPLATES["Apache-2.0-text"].replace("http:", "https:"), "Apache-2.0-text"),
+    ("This book is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "CC-BY-NC-4.0-notice"),
+])
+def test_standard_texts_with_usual_variations(scanner, text, name):
+    assert [m.name for m in scanner.scan(f"before it.\n{text}\nand after".encode())] == [name]
+
+
 def test_several_licences_and_line_breaks(scanner):
     text = "Released under\nthe   MIT License.\n\nprose " * 2 + "Licensed under the Apache License,\nVersion 2.0."
     assert [m.name for m in scanner.scan(text.encode())] == ["MIT", "MIT", "Apache-2.0"]
