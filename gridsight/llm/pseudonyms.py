@@ -7,7 +7,10 @@ who has the key can turn them back. The permutation is a Feistel network over th
 Kinds: ``card`` (13-19 digits, Luhn), ``iban`` (mod 97), ``ssn`` (issued ranges), ``ip`` (four octets),
 ``phone`` (8-15 digits in a written form), ``date`` (calendar days of 1900-2099, year first or last) and
 ``email`` (the part before the @ is permuted letter for letter and digit for digit; the domain stays).
-Separators, letter case and check digits keep their form. Anything that fails its check stays.
+Separators, letter case and check digits keep their form. Anything that fails its check stays, and so does
+a number that is part of a longer word: one beside a letter or digit, or after a letter or digit and one of
+``.``, ``-`` and ``+``. Punctuation, spaces and signs of any kind and letters of scripts without spaces end
+a word.
 
 Cases: a NULL text stays NULL, an empty one empty, both without values; repeated documents are treated
 alike; an empty table gives no rows. A document's other columns are kept and never used; one named like
@@ -19,6 +22,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import isqrt
@@ -33,9 +37,10 @@ ROUNDS = 10
 #: Values beyond which a permutation is not remembered.
 REMEMBERED = 1 << 16
 
-_EDGE = rb"0-9A-Za-z_\x80-\xff"
+_EDGE = rb"0-9A-Za-z_"
+#: What is beyond ASCII on either side is judged by ``_joined``.
 _PATTERN = re.compile(
-    rb"(?<![" + _EDGE + rb".+-])(?:"
+    rb"(?<![" + _EDGE + rb"])(?<![" + _EDGE + rb"][.+-])(?:"
     rb"(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?!\.?\d)"
     rb"|(?P<date>\d{4}(?P<d1>[-/.])\d{1,2}(?P=d1)\d{1,2}|\d{1,2}(?P<d2>[-/.])\d{1,2}(?P=d2)\d{4})(?![-/]?\d)"
     rb"|(?P<ssn>\d{3}-\d{2}-\d{4})(?!-?\d)"
@@ -65,6 +70,42 @@ def _shorter(kind: str, value: bytes) -> Iterator[bytes]:
             yield value
 
 
+#: Letters of scripts that put no spaces between words, or add endings to a number: Thai to Tibetan, Burmese,
+#: Hangul, Khmer, Chinese and Japanese, Yi, their compatibility forms; and the ordinal marks.
+_UNSPACED = (
+    (0xAA, 0xAA), (0xBA, 0xBA), (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1100, 0x11FF), (0x1780, 0x17FF), (0x2E80, 0xA4CF),
+    (0xA960, 0xA97F), (0xAC00, 0xD7FF), (0xF900, 0xFAFF), (0xFE30, 0xFE4F), (0xFF65, 0xFFDC), (0x20000, 0x3FFFF))
+
+
+def _joined(char: str) -> bool:
+    """Whether a character beyond ASCII makes a number beside it part of a word: digits do, and letters of
+    scripts that part words by spaces."""
+    kind = unicodedata.category(char)
+    if kind == "Nd":
+        return True
+    return kind in ("Lu", "Ll", "Lt", "Lo") and not any(low <= ord(char) <= high for low, high in _UNSPACED)
+
+
+def _joined_before(text: bytes, at: int) -> bool:
+    if at and text[at - 1] in b".+-":
+        at -= 1
+    while at and text[at - 1] >= 0x80:
+        start = at - 1
+        while start and text[start] & 0xC0 == 0x80 and at - start < 4:
+            start -= 1
+        char = text[start:at].decode("utf-8", "replace")[-1]
+        if unicodedata.category(char) not in ("Mn", "Mc"):
+            return _joined(char)
+        at = start  # marks belong to the letter before them
+        if at and text[at - 1:at].isalnum():
+            return True
+    return False
+
+
+def _joined_after(text: bytes, at: int) -> bool:
+    return text[at:at + 1] >= b"\x80" and _joined(text[at:at + 4].decode("utf-8", "replace")[0])
+
+
 class Permutation:
     """A keyed permutation of 0..size-1 without fixed points (for two values or more): a Feistel
     network, one step on, and the network back."""
@@ -206,7 +247,12 @@ class Pseudonyms:
             hits += [(m.start(), m.end(), "email", m[0]) for m in _EMAIL.finditer(text)]
         at = 0
         while _DIGIT.search(text, at) and (m := _PATTERN.search(text, at)):
-            value = next((v for v in _shorter(m.lastgroup, m[0]) if self.of(m.lastgroup, v) is not None), None)
+            value = None
+            if not _joined_before(text, m.start()):
+                whole = not _joined_after(text, m.end())
+                value = next((
+                    v for v in _shorter(m.lastgroup, m[0])
+                    if (whole or len(v) < len(m[0])) and self.of(m.lastgroup, v) is not None), None)
             if value is None:
                 at = m.start() + len(_FIRST.match(m[0])[0])
             else:

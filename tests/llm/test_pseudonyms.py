@@ -65,6 +65,26 @@ def test_values_side_by_side(text, kinds):
     assert [s[0] for s in spans] == kinds and p.Pseudonyms(KEY, -1).replaced(new)[0] == text.encode()
 
 
+@pytest.mark.parametrize("before, after", [
+    ("“", "”"), ("«", "»"), ("\u00a0", "\u00a0"), ("\u202f", "\u202f"), ("—", "—"), ("–", "…"), ("…", "°"), ("：", "。"), ("（", "）"),
+    ("地址", "的"), ("は", "です"), ("주소", "에서"), ("ที่อยู่", "ครับ"), ("nº", "²"), ("•", "™"), ("\U0001f4de", "\ufe0f"), ("...", "…"), ("--", ""),
+])
+@pytest.mark.parametrize("kind, value", [(k, v) for k, vs in VALUES.items() if k != "email" for v in vs])
+def test_neighbours_beyond_ascii(kind, value, before, after):
+    text = f"at {before}{value}{after} x"
+    new, spans = p.Pseudonyms(KEY).replaced(text.encode())
+    assert spans == [(kind, 3 + len(before), 3 + len(before) + len(value))]
+    assert p.Pseudonyms(KEY, -1).replaced(new)[0] == text.encode()
+
+
+@pytest.mark.parametrize("text", [
+    "é10.1.2.3", "10.1.2.3é", "ж10.1.2.3", "10.1.2.3α", "e\u030110.1.2.3", "４10.1.2.3", "10.1.2.3４", "ש10.1.2.3", "é.10.1.2.3", "é-10.1.2.3",
+    "v.10.1.2.3", "4111 1111 1111 1111é", "é+49 30 1234567", "ß2024-02-29",
+])
+def test_parts_of_words_stay(text):
+    assert p.Pseudonyms(KEY).replaced(text.encode()) == (text.encode(), [])
+
+
 def test_dates_cover_the_calendar():
     names = p.Pseudonyms(KEY)
     days = [dt.date(1900, 1, 1) + dt.timedelta(i) for i in range(0, 73_049, 37)]
