@@ -4,9 +4,10 @@ The page becomes a list of elements in page order. Menus, headers, footers, side
 forms, scripts, styles and reader comments are taken out by tag and by class, id and role. For every
 element left, characters per tag are weighed down by the part of characters and tags that are links; an
 element's density sum is that of its children. The element of the largest sum is the article's body. The
-least density on its path from the page's body is the threshold for what else belongs to the article:
-siblings along the path that reach it, and headings. Inside an ``article`` or ``main`` element the whole
-of that element is taken.
+least density on its path from the page's body is the threshold for what else belongs to the article (for
+elements without links, so is the least number of characters per tag on it): siblings along the path, and
+``article`` and ``main`` elements anywhere, that reach it, and headings along the path. The outermost
+``article`` or ``main`` on the path is added whole, as what is weak in it is still no listed part.
 
 Cases: a NULL or empty page gives an empty text, so does one without text outside what is taken out;
 unclosed and misnested tags are closed as browsers do; an unclosed comment or script takes the rest of
@@ -185,8 +186,17 @@ def _dropped(page: Page) -> list[bool]:
     return out
 
 
-def _densities(page: Page, out: list[bool]) -> tuple[list[float], list[float]]:
-    """Each element's composite text density and the sum over its children."""
+def _density(chars: int, tags: int, link_chars: int, link_tags: int, whole: float) -> float:
+    if not chars:
+        return 0.0
+    t, lc, lt = max(tags, 1), max(link_chars, 1), max(link_tags, 1)
+    base = math.log(chars / max(chars - link_chars, 1) * lc + whole * chars + math.e)
+    return chars / t * max(math.log(chars / lc * t / lt), 0.0) / math.log(base)
+
+
+def _densities(page: Page, out: list[bool]) -> tuple[list[float], list[float], list[float], list[float]]:
+    """Each element's composite text density and the sum over its children; its characters per tag, and the
+    same of an element without links or 0."""
     size = len(page.tags)
     chars, tags, link_chars, link_tags = [0] * size, [0] * size, [0] * size, [0] * size
     linked = [False] * size
@@ -209,20 +219,19 @@ def _densities(page: Page, out: list[bool]) -> tuple[list[float], list[float]]:
     whole = link_chars[0] / max(chars[0], 1)
     density, sums = [0.0] * size, [0.0] * size
     for node in range(size):
-        c, t = chars[node], max(tags[node], 1)
-        if c and not out[node]:
-            lc, lt = max(link_chars[node], 1), max(link_tags[node], 1)
-            base = math.log(c / max(c - link_chars[node], 1) * lc + whole * c + math.e)
-            density[node] = c / t * max(math.log(c / lc * t / lt), 0.0) / math.log(base)
+        if not out[node]:
+            density[node] = _density(chars[node], tags[node], link_chars[node], link_tags[node], whole)
     for node in range(1, size):
         sums[page.parents[node]] += density[node]
-    return density, sums
+    plain = [c / max(t, 1) for c, t in zip(chars, tags)]
+    free = [0.0 if lc or lt or out[n] or page.tags[n] == "a" else plain[n] for n, (lc, lt) in enumerate(zip(link_chars, link_tags))]
+    return density, sums, plain, free
 
 
 def _chosen(page: Page, out: list[bool]) -> list[bool]:
     """Whether each element belongs to the article."""
     tags, parents = page.tags, page.parents
-    density, sums = _densities(page, out)
+    density, sums, plain, free = _densities(page, out)
     leaf = [True] * len(tags)
     for node in range(1, len(tags)):
         leaf[parents[node]] = False
@@ -231,16 +240,26 @@ def _chosen(page: Page, out: list[bool]) -> list[bool]:
     while path[-1] > 0 and tags[path[-1]] != "body":
         path.append(parents[path[-1]])
     threshold = min(density[n] for n in path)
+    least = min(plain[n] for n in path)
+
+    def reaches(node: int) -> bool:
+        """A composite density grows with the tags inside, so an element without links, which has nothing
+        to be weighed down by, is held against the path's characters per tag too."""
+        return density[node] >= threshold or free[node] >= least > 0
+
     around = [n for n in path if tags[n] in _LANDMARKS]
     chosen = [False] * len(tags)
+    chosen[target] = True
+    above = set(path[1:])
+    for node in range(1, len(tags)):
+        if out[node] or node in above:
+            continue
+        if parents[node] in above:
+            chosen[node] |= reaches(node) or tags[node] in _HEADINGS
+        if tags[node] in _LANDMARKS:
+            chosen[node] |= density[node] > 0 and reaches(node)
     if around:
         chosen[around[-1]] = True
-    else:
-        chosen[target] = True
-        above = set(path[1:])
-        for node in range(1, len(tags)):
-            if parents[node] in above and node not in above and not out[node]:
-                chosen[node] |= density[node] >= threshold or tags[node] in _HEADINGS
     for node in range(1, len(tags)):
         chosen[node] |= chosen[parents[node]]
     return [c and not o for c, o in zip(chosen, out)]

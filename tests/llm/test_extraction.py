@@ -34,6 +34,31 @@ def test_every_section_of_an_article_without_landmark():
     assert got.count("Another one follows here now. Another") == 3 and "Link" not in got
 
 
+LONG = "Some sentence of this part that is long enough to count. " * 3
+
+
+@pytest.mark.parametrize("page, lines", [
+    ("<article><p>{0}a</p><p>{0}b</p><p>{0}c</p><p>{0}d</p></article><article><p>{0}e</p></article><article><p>{0}f</p></article>", "abcdef"),
+    ("<div><article><p>{0}a</p><p>{0}b</p></article></div><div><ul><li><a href=/x>Link</a></ul><article><p>{0}c</p></article></div>", "abc"),
+    ("<h1>{0}a</h1><article><p>{0}b</p><p>{0}c</p><p>{0}d</p><p>{0}e</p></article><p>{0}f</p>", "abcdef"),
+    ("<div><p>{0}a</p><p>{0}b</p></div><div><ul><li><a href=/x>Link</a><li><a href=/y>Next</a></ul><main><p>{0}c</p></main></div>", "abc"),
+])
+def test_parts_outside_the_landmark_of_the_densest_element(page, lines):
+    links = "<nav>" + "<a href=/x>Link text of a menu</a> " * 8 + "</nav>"
+    got = main_text(f"<body>{links}{page.format(LONG)}{links}</body>")
+    assert [x.removeprefix(LONG) for x in got.split("\n") if x.startswith(LONG)] == list(lines) and "menu" not in got
+
+
+def test_headline_before_the_landmark():
+    page = f"<nav>menu</nav><h1>Head</h1><article><p>{LONG}</p><p>{LONG}</p></article>"
+    assert main_text(page).split("\n") == ["Head", LONG.strip(), LONG.strip()]
+
+
+def test_weak_parts_of_a_landmark_stay():
+    got = main_text(f"<body><article><h1>T</h1><p>{LONG}</p><p>ab</p><p><a href=/x>see</a></p></article></body>")
+    assert got == f"T\n{LONG.strip()}\nab\nsee"
+
+
 def test_long_page():
     body = "".join(f"<p>Paragraph {i} of a long page.</p>" for i in range(20_000))
     lines = main_text(f"<nav>x</nav><article>{body}</article>").split("\n")
