@@ -6,7 +6,8 @@ element left, characters per tag are weighed down by the part of characters and
 element's density sum is that of its children. The element of the largest sum is the article's body. The
 least density on its path from the page's body is the threshold for what else belongs to the article (for
 elements without links, so is the least number of characters per tag on it): siblings along the path, and
-``article`` and ``main`` elements anywhere, that reach it, and headings along the path. The outermost
+``article`` and ``main`` elements anywhere, that reach it, and headings along the path. Text that stands
+directly in an element on the path is, with its inline elements, a sibling like others. The outermost
 ``article`` or ``main`` on the path is added whole, as what is weak in it is still no listed part.
 
 Cases: a NULL or empty page gives an empty text, so does one without text outside what is taken out;
@@ -20,6 +21,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -194,9 +196,22 @@ def _density(chars: int, tags: int, link_chars: int, link_tags: int, whole: floa
     return chars / t * max(math.log(chars / lc * t / lt), 0.0) / math.log(base)
 
 
-def _densities(page: Page, out: list[bool]) -> tuple[list[float], list[float], list[float], list[float]]:
-    """Each element's composite text density and the sum over its children; its characters per tag, and the
-    same of an element without links or 0."""
+class _Counts(NamedTuple):
+    """Of each element: characters and tags in it, and those of links."""
+
+    chars: list[int]
+    tags: list[int]
+    link_chars: list[int]
+    link_tags: list[int]
+    linked: list[bool]
+
+    @property
+    def whole(self) -> float:
+        return self.link_chars[0] / max(self.chars[0], 1)
+
+
+def _densities(page: Page, out: list[bool]) -> tuple[_Counts, list[float], list[float]]:
+    """Each element's counts, its composite text density and the sum over its children."""
     size = len(page.tags)
     chars, tags, link_chars, link_tags = [0] * size, [0] * size, [0] * size, [0] * size
     linked = [False] * size
@@ -216,22 +231,52 @@ def _densities(page: Page, out: list[bool]) -> tuple[list[float], list[float], l
         link_chars[up] += link_chars[node]
         tags[up] += tags[node] + 1
         link_tags[up] += link_tags[node] + (page.tags[node] == "a")
-    whole = link_chars[0] / max(chars[0], 1)
+    counts = _Counts(chars, tags, link_chars, link_tags, linked)
     density, sums = [0.0] * size, [0.0] * size
     for node in range(size):
         if not out[node]:
-            density[node] = _density(chars[node], tags[node], link_chars[node], link_tags[node], whole)
+            density[node] = _density(chars[node], tags[node], link_chars[node], link_tags[node], counts.whole)
     for node in range(1, size):
         sums[page.parents[node]] += density[node]
-    plain = [c / max(t, 1) for c, t in zip(chars, tags)]
-    free = [0.0 if lc or lt or out[n] or page.tags[n] == "a" else plain[n] for n, (lc, lt) in enumerate(zip(link_chars, link_tags))]
-    return density, sums, plain, free
+    return counts, density, sums
+
+
+def _runs(page: Page, out: list[bool], above: set[int], target: int) -> list[tuple[list[int], set[int]]]:
+    """The runs of text that stand directly in an element of the path, with the inline elements in between:
+    places among the events, and those elements. A run ends where a block begins or ends."""
+    tags, parents = page.tags, page.parents
+    blocks = [tag in _BLOCK for tag in tags]
+    for node in range(len(tags) - 1, 0, -1):
+        blocks[parents[node]] |= blocks[node]
+    top = [0] * len(tags)
+    for node in range(1, len(tags)):
+        top[node] = node if parents[node] in above else top[parents[node]]
+    runs, places, inline, of = [], [], set(), -1
+    for place, (node, text) in enumerate(page.events):
+        child = -1 if node in above else top[node]
+        if text is None or child >= 0 and blocks[child]:
+            if places:
+                runs.append((places, inline))
+            places, inline = [], set()
+        elif not out[node] and child != target:
+            parent = node if child < 0 else parents[child]
+            if places and parent != of:
+                runs.append((places, inline))
+                places, inline = [], set()
+            of = parent
+            places.append(place)
+            if child >= 0:
+                inline.add(child)
+    if places:
+        runs.append((places, inline))
+    return runs
 
 
-def _chosen(page: Page, out: list[bool]) -> list[bool]:
-    """Whether each element belongs to the article."""
+def _chosen(page: Page, out: list[bool]) -> tuple[list[bool], set[int]]:
+    """Whether each element belongs to the article, and the places among the events of texts that stand
+    directly in elements around it and do."""
     tags, parents = page.tags, page.parents
-    density, sums, plain, free = _densities(page, out)
+    counts, density, sums = _densities(page, out)
     leaf = [True] * len(tags)
     for node in range(1, len(tags)):
         leaf[parents[node]] = False
@@ -240,14 +285,18 @@ def _chosen(page: Page, out: list[bool]) -> list[bool]:
     while path[-1] > 0 and tags[path[-1]] != "body":
         path.append(parents[path[-1]])
     threshold = min(density[n] for n in path)
-    least = min(plain[n] for n in path)
+    least = min(counts.chars[n] / max(counts.tags[n], 1) for n in path)
 
-    def reaches(node: int) -> bool:
-        """A composite density grows with the tags inside, so an element without links, which has nothing
-        to be weighed down by, is held against the path's characters per tag too."""
-        return density[node] >= threshold or free[node] >= least > 0
+    def reaches(chars: int, inside: int, link_chars: int, link_tags: int) -> bool:
+        """A composite density grows with the tags inside, so a part without links, which has nothing to be
+        weighed down by, is held against the path's characters per tag too."""
+        return _density(chars, inside, link_chars, link_tags, counts.whole) >= threshold or (
+            not link_chars and not link_tags and chars >= least * max(inside, 1) > 0)
 
     around = [n for n in path if tags[n] in _LANDMARKS]
+    def of(node: int) -> tuple[int, int, int, int]:
+        return counts.chars[node], counts.tags[node], counts.link_chars[node], counts.link_tags[node]
+
     chosen = [False] * len(tags)
     chosen[target] = True
     above = set(path[1:])
@@ -255,27 +304,38 @@ def _chosen(page: Page, out: list[bool]) -> list[bool]:
         if out[node] or node in above:
             continue
         if parents[node] in above:
-            chosen[node] |= reaches(node) or tags[node] in _HEADINGS
+            chosen[node] |= reaches(*of(node)) or tags[node] in _HEADINGS
         if tags[node] in _LANDMARKS:
-            chosen[node] |= density[node] > 0 and reaches(node)
+            chosen[node] |= density[node] > 0 and reaches(*of(node))
     if around:
         chosen[around[-1]] = True
+    bare: set[int] = set()
+    for places, inline in _runs(page, out, above, target):
+        chars = link_chars = 0
+        for node, text in (page.events[p] for p in places):
+            count = len(" ".join(text.split()))
+            chars += count
+            link_chars += count if counts.linked[node] else 0
+        inside = sum(counts.tags[n] + 1 for n in inline)
+        link_tags = sum(counts.link_tags[n] + (tags[n] == "a") for n in inline)
+        if chars and reaches(chars, inside, link_chars, link_tags):
+            bare.update(places)
     for node in range(1, len(tags)):
         chosen[node] |= chosen[parents[node]]
-    return [c and not o for c, o in zip(chosen, out)]
+    return [c and not o for c, o in zip(chosen, out)], bare
 
 
 def main_text(source: str) -> str:
     """The article of a page: its blocks in order, one a line, white space as one space."""
     page = Page(source)
-    chosen = _chosen(page, _dropped(page))
+    chosen, bare = _chosen(page, _dropped(page))
     lines, line = [], []
-    for node, text in page.events:
+    for place, (node, text) in enumerate(page.events):
         if text is None:
             if line:
                 lines.append(" ".join("".join(line).split()))
                 line = []
-        elif chosen[node]:
+        elif chosen[node] or place in bare:
             line.append(text)
     if line:
         lines.append(" ".join("".join(line).split()))

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from gridsight.llm.extraction import extracted, main_text
@@ -49,6 +51,23 @@ def test_parts_outside_the_landmark_of_the_densest_element(page, lines):
     assert [x.removeprefix(LONG) for x in got.split("\n") if x.startswith(LONG)] == list(lines) and "menu" not in got
 
 
+@pytest.mark.parametrize("opening, closing", [
+    (LONG, LONG), (f"{LONG}<b>bold</b> and <i>more</i> {LONG}", f"In the end {LONG}"),
+    (f"{LONG}<br>second {LONG}", f"and <a href=/x>one link</a> in {LONG * 5}"),
+])
+def test_text_directly_around_the_densest_element(opening, closing):
+    paragraphs = f"<p>{LONG}</p>" * 4
+    got = main_text(f"<body><nav>menu</nav><div>{opening}<br><br><div>{paragraphs}</div>{closing}</div></body>")
+    plain = lambda x: " ".join(re.sub("<br>", " ", re.sub("</?[abi]\\b[^>]*>", "", x)).split())
+    assert got.split("\n") == [plain(opening), *[LONG.strip()] * 4, plain(closing)]
+
+
+def test_links_directly_around_the_densest_element_go():
+    links = "<a href=/x>Link text</a> | " * 8
+    got = main_text(f"<body>{links}<div><p>{LONG}</p><p>{LONG}</p></div>{links}</body>")
+    assert got.split("\n") == [LONG.strip()] * 2
+
+
 def test_headline_before_the_landmark():
     page = f"<nav>menu</nav><h1>Head</h1><article><p>{LONG}</p><p>{LONG}</p></article>"
     assert main_text(page).split("\n") == ["Head", LONG.strip(), LONG.strip()]
