@@ -126,13 +126,13 @@ query(op7_toxicity)
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = new_folder(spark, "ledger")
-    secret_scan.scan_load(table(spark, sf_dir, "documents"), ledger, "1")
+    secret_scan.scan_load(table(spark, sf_dir, "documents"), ledger, "1", rules=secret_scan.LINE_RULES)
     base = F.filter("spans", lambda s: s["nth"] < len(secret_scan.BASE_RULES))
 
     def count(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
-    return secret_scan.report(spark, ledger, "1").select(
+    return secret_scan.report(spark, ledger, "1", secret_scan.LINE_RULES).select(
         F.col("path").alias("doc_id"), count("assign"), count("access"), count("hex"),
         F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed("spans").alias("spans"))
 

@@ -40,11 +40,24 @@ BASE_RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", 1, r"[0-9a-f]{32,}"),
 )
-RULES = (
-    *BASE_RULES,
-    Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
+_FORGE = Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}")
+#: The rules as op4's SQL has them, where a private key is found by its BEGIN line alone.
+LINE_RULES = (*BASE_RULES, Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"), _FORGE)
+
+#: What parts the lines of a key: white space, also as written in strings, and the marks of quoted lines.
+_GAP = r"""(?:[\s>#*|"',;]|\\[rn])"""
+#: A private key from its BEGIN line to the END line of the same name, with no other BEGIN or END between;
+#: else to the end of the base64 run behind the BEGIN line and the key's own fields, of which the last
+#: line may be short; else the BEGIN line. Possessive, so that a long text needs no deep stack.
+_KEY = (
+    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?)-----"
+    r"(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END \1-----"
+    rf"|(?:{_GAP}*+(?:Proc-Type|DEK-Info|Version|Comment|Charset|MessageID|Hash): [^\n\\]*+(?=[\n\\]))*+"
+    rf"(?:{_GAP}{{0,16}}+[A-Za-z0-9+/]{{16,}}+={{0,2}}+)++"
+    rf"(?:{_GAP}{{1,16}}+(?:[A-Za-z0-9+/]{{1,15}}+={{1,2}}+|=[A-Za-z0-9+/]{{4}}(?![A-Za-z0-9+/=])))*+"
+    rf"(?:(?:\r?\n|\\n)[ \t>#*|]*+[A-Za-z0-9+/]{{1,15}}+(?=[ \t]*+(?:\r?\n|\\n|[\"']|\z)))?+)?+"
 )
+RULES = (*BASE_RULES, Rule("pem", 2, _KEY), _FORGE)
 
 _MARKS = "blob binary, rules array<string>, load string"
 _FINDINGS = "blob binary, rule string, start bigint, end bigint, load string"

@@ -67,6 +67,37 @@ def test_redact(spark, folder):
     assert got == [(1, "é [secret] and [secret] end", 27), (2, "clean", 5), (3, None, None), (4, "[secret]", 8)]
 
 
+LINES = "".join(f"{chr(65 + i) * 60}+/9{i}\n" for i in range(25))
+PEM = f"-----BEGIN RSA PRIVATE KEY-----\n{LINES}QUJDRA==\n-----END RSA PRIVATE KEY-----"
+PGP = f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n{LINES}abc\n=wXyZ\n-----END PGP PRIVATE KEY BLOCK-----"
+CUT = f"-----BEGIN EC PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB12\n\n{LINES}QUJDRA=="
+
+
+def test_redact_whole_keys(spark, folder):
+    cut = {
+        "é a {} b": [PEM, PGP, PEM.replace("\n", "\\n"), PEM.replace("\n", " "), PEM.replace("\n", "\n> "),
+                     CUT, "-----BEGIN PRIVATE KEY-----" + "Ab1/" * 300_000],
+        "x {}\nno key": [CUT.replace("QUJDRA==", "QUJDRA"), CUT.removesuffix("\nQUJDRA=="), CUT.replace("\n", "\r\n"),
+                         PEM.replace("END RSA", "END DSA").split("\n-----END")[0]],
+        "{} and token is no key": ["-----BEGIN PRIVATE KEY-----"],
+        "{} then {}": [PEM, CUT],
+    }
+    rows = [(f"{i}", form.replace("{}", key)) for form, keys in cut.items() for i, key in enumerate(keys)]
+    docs = spark.createDataFrame([(n, f, t) for n, (f, (_, t)) in enumerate(zip([f for f, k in cut.items() for _ in k], rows))], "doc_id int, form string, text string")
+    s.scan_load(docs.select("doc_id", "text"), folder, "1")
+    for r in s.redact(docs, folder).collect():
+        assert r.text == r.form.replace("{}", "[secret]")
+
+
+def test_line_rules_know_the_begin_line(spark, folder):
+    docs = spark.createDataFrame([(1, "x " + PEM)], "doc_id int, text string")
+    spans = lambda rules: next(iter(report(spark, folder, rules=rules)))[1]
+    s.scan_load(docs, folder, "1", rules=s.LINE_RULES)
+    assert spans(s.LINE_RULES) == ((2, 3, "pem", 33),)
+    s.scan_load(docs, folder, "1")
+    assert spans(s.RULES) == ((2, 3, "pem", 2 + len(PEM)),)
+
+
 def test_empty_and_native(spark, folder):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     s.scan_load(docs, folder, "1")
