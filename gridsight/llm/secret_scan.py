@@ -3,8 +3,12 @@
 Each version of each path is addressed by the SHA-256 of its text. The ledger folder holds three tables,
 one partition a load: ``paths`` (path, blob), ``findings`` (blob, rule, span) and ``marks`` (blob, the
 rule versions it has been scanned with). A load scans a blob once, whatever number of paths hold it, and
-only with the rule versions that no earlier load scanned it with; findings are joined back to all paths.
-Marks are written last and a load replaces its own partitions, so a failed load can be run again.
+only with the rule versions that it was never scanned with; findings are joined back to all paths.
+
+Findings and marks are only ever added to, whatever becomes of the paths of the load that added them: a
+blob's findings under a rule version depend on its text alone. Marks are written last, so what a failed load
+left unmarked is scanned again; findings that it had written are then there twice and count once. A load
+that is repeated replaces its own paths.
 
 Cases: a NULL text is the empty text and has no findings; paths may be NULL or repeat, and each row is
 reported; an empty table makes an empty load. Columns other than the path and the text are not stored.
@@ -111,9 +115,9 @@ def spans(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def scan_load(
     docs: DataFrame, ledger: str, load: str, path: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES
 ) -> None:
-    """Add a load of (path, text) versions to the ledger, scanning what no other load has scanned."""
+    """Add a load of (path, text) versions to the ledger, scanning what no load has scanned."""
     spark = docs.sparkSession
-    seen = _marks(spark, ledger).where(F.col("load") != load)
+    seen = _marks(spark, ledger)
     versions = docs.select(F.col(path).alias("path"), F.coalesce(text, F.lit("")).alias("text")).select("*", blob("text").alias("blob"))
     paths, marks, findings = (_folder(ledger, t, load) for t in ("paths", "marks", "findings"))
     versions.select("path", "blob").write.mode("overwrite").parquet(paths)
@@ -123,8 +127,8 @@ def scan_load(
     fresh = spark.read.parquet(paths).select("blob").distinct().join(known, "blob", "left").select("blob", todo.alias("rules"))
     unseen = fresh.where(F.size("rules") > 0)
     texts = versions.groupBy("blob").agg(F.first("text").alias("text"))
-    spans(texts.join(unseen, "blob"), rules).write.mode("overwrite").parquet(findings)
-    unseen.write.mode("overwrite").parquet(marks)
+    spans(texts.join(unseen, "blob"), rules).write.mode("append").parquet(findings)
+    unseen.write.mode("append").parquet(marks)
 
 
 def report(spark: SparkSession, ledger: str, load: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -133,7 +137,7 @@ def report(spark: SparkSession, ledger: str, load: str, rules: tuple[Rule, ...]
     order = F.create_map(*(F.lit(x) for i, r in enumerate(rules) for x in (r.name, i)))
     found = spark.read.schema(_FINDINGS).parquet(f"{ledger}/findings").where(F.col("rule").isin([r.name for r in rules]))
     span = F.struct("start", order[F.col("rule")].alias("nth"), F.substring_index("rule", "@", 1).alias("kind"), "end")
-    by_blob = found.groupBy("blob").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    by_blob = found.groupBy("blob").agg(F.sort_array(F.collect_set(span)).alias("spans"))
     by_blob.write.mode("overwrite").parquet(f"{ledger}/reports/load={load}")
     stored = spark.read.schema(by_blob.schema).parquet(f"{ledger}/reports/load={load}")
     none = F.array().cast(by_blob.schema["spans"].dataType)
@@ -154,7 +158,7 @@ def redact(
     overlapping spans by one. The column ``length``, if named, follows the changed texts."""
     spark = docs.sparkSession
     found = spark.read.schema(_FINDINGS).parquet(f"{ledger}/findings").where(F.col("rule").isin([r.name for r in rules]))
-    by_blob = found.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    by_blob = found.groupBy("blob").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
     by_blob.write.mode("overwrite").parquet(f"{ledger}/redactions")
     spans_of = spark.read.schema(by_blob.schema).parquet(f"{ledger}/redactions")
     body = F.col("_doc").getField(text)

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridsight.llm import secret_scan as s
@@ -67,6 +68,32 @@ def test_redact(spark, folder):
     assert got == [(1, "é [secret] and [secret] end", 27), (2, "clean", 5), (3, None, None), (4, "[secret]", 8)]
 
 
+def test_a_replaced_load_keeps_what_it_scanned(spark, folder):
+    load = lambda name, *rows: s.scan_load(spark.createDataFrame(rows, "doc_id bigint, text string"), folder, name)
+    load("1", (1, "token=abcdefgh"), (2, "clean"))
+    load("2", (5, "token=abcdefgh"))
+    load("1", (1, "corrected"), (2, "passwd=12345678"))
+    assert {p: len(x) for p, x in report(spark, folder, "2")} == {5: 1}
+    assert {p: len(x) for p, x in report(spark, folder, "1")} == {1: 0, 2: 1}
+    docs = spark.createDataFrame([(5, "token=abcdefgh")], "doc_id bigint, text string")
+    assert s.redact(docs, folder).first().text == "[secret]"
+
+
+def test_findings_of_a_failed_load_count_once(spark, folder, monkeypatch):
+    docs = spark.createDataFrame([(1, "token=abcdefgh"), (2, "passwd=12345678")], "doc_id bigint, text string")
+    s.scan_load(docs.where("doc_id = 1"), folder, "1")
+    real, failed = s._folder, []
+    monkeypatch.setattr(s, "_folder", lambda ledger, table, load: f"no-such-fs://x/{failed.append(1)}" if table == "marks" and load == "1" else real(ledger, table, load))
+    with pytest.raises(Exception):
+        s.scan_load(docs, folder, "1")
+    monkeypatch.undo()
+    assert failed
+    s.scan_load(docs.where("doc_id = 2"), folder, "2")
+    s.scan_load(docs, folder, "1")
+    for load, want in (("1", {1: 1, 2: 1}), ("2", {2: 1})):
+        assert {p: len(x) for p, x in report(spark, folder, load)} == want
+
+
 LINES = "".join(f"{chr(65 + i) * 60}+/9{i}\n" for i in range(25))
 PEM = f"-----BEGIN RSA PRIVATE KEY-----\n{LINES}QUJDRA==\n-----END RSA PRIVATE KEY-----"
 PGP = f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n{LINES}abc\n=wXyZ\n-----END PGP PRIVATE KEY BLOCK-----"
