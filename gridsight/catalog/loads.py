@@ -387,7 +387,7 @@ def _(t):
     return tables.read_table(t.spark, paths["ibc_crm_ageing_dim"]).drop("region", tables.LOAD)
 
 
-# The month that the second load of ``_loaded`` empties, and the source rows that have no month.
+# The month that the second load of ``_load_all`` empties, and the source rows that have no month.
 EMPTIED, NO_MONTH = 199805, 97
 
 
@@ -402,17 +402,6 @@ def _two_names_sql(view: str, parity: str) -> str:
 FROM ({VIEWS[view]})"""
 
 
-_LOADED: dict[tuple[str, str], dict[str, str]] = {}
-
-
-def _loaded(t: Tables) -> dict[str, str]:
-    """The tables of ``_load_all``, made once per application and source folder."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _LOADED:
-        _LOADED[key] = _load_all(t)
-    return _LOADED[key]
-
-
 def _load_all(t: Tables) -> dict[str, str]:
     """All tables after three loads: complaints and outages; every billing month, some rows without
     one; and a correction after which a month has no active row left."""
@@ -443,7 +432,7 @@ CODED_SQL = """SELECT o.* FROM (SELECT outages.*, c.ibc_code FROM outages JOIN (
 
 
 def _of_load(t: Tables, name: str) -> DataFrame:
-    return tables.read_table(t.spark, _loaded(t)[name]).drop("region", tables.LOAD)
+    return tables.read_table(t.spark, _load_all(t)[name]).drop("region", tables.LOAD)
 
 
 @query("monthly_load_billing", LOADED_SQL + """SELECT account, document, billing_month, year, month, ibc_code, ibc_name,
@@ -458,7 +447,7 @@ def _(t):
 FROM orders WHERE o_orderkey % {NO_MONTH} = 0""")
 def _(t):
     """Rows without a month, active or not, as they came."""
-    rejects = tables.read_table(t.spark, _loaded(t)["rejects"])
+    rejects = tables.read_table(t.spark, _load_all(t)["rejects"])
     return rejects.select(F.col("`Premise Type`").cast("bigint").alias("document"), "billing_month")
 
 

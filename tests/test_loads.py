@@ -330,3 +330,18 @@ def test_centre_with_two_names_has_one_row(spark):
     assert both[0].billing_month == dt.date(2023, 10, 1)
     assert [(r.ibc_code, r.complaints) for r in made["ibc_crm_ageing_dim"].collect()] == [("10", 8)]
     assert billing_dims(billing, complaints, outages, season=True)["ibc_all_dim"].count() == 0
+
+
+def test_each_loaded_query_makes_its_own_loads(spark, folder, monkeypatch):
+    from gridsight.catalog import QUERIES, loads
+
+    made = []
+
+    def load(t):
+        made.append(1)
+        spark.createDataFrame([(len(made), "x")], "`Premise Type` int, billing_month string").write.parquet(f"{folder}/{len(made)}")
+        return {"rejects": f"{folder}/{len(made)}"}
+
+    monkeypatch.setattr(loads, "_load_all", load)
+    seen = [QUERIES["monthly_load_rejects"](spark, "/root/testdata/sf0.001").first().document for _ in range(2)]
+    assert seen == [1, 2]
