@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsight.llm import decontamination, extraction, licenses, mixing, pseudonyms, quality, secret_scan, simhash, toxicity, warc
+from gridsight.llm import (
+    decontamination, extraction, licenses, mixing, pseudonyms, quality, secret_scan, simhash, spelling, toxicity, warc,
+)
 from gridsight.llm.common import table
 from gridsight.session import new_folder
 
@@ -235,3 +237,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op10_licenses)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def spelt(run):
+        """The run, or without one code point where its checksum in its document says so."""
+        check = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), run).cast("binary"))
+        place = (check % F.length(run)).cast("int")
+        cut = F.concat(F.substring(run, F.lit(1), place), F.substring(run, place + 2, F.length(run)))
+        return F.when(check % 31 == 0, cut).otherwise(run)
+
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), spelling=spelt)
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+query(op13_spelling)
