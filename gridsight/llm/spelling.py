@@ -107,10 +107,11 @@ def advance(states: DataFrame, level: DataFrame) -> DataFrame:
         ((letter == END) | (_at(F.col("at")) == END)).alias("done"))
 
 
-def _trie_pairs(words: DataFrame, longest: int) -> DataFrame | None:
+def _trie_pairs(words: DataFrame) -> DataFrame:
     """Pairs (word, near) found by the tries, level by level; a pair may come twice."""
     sides, frontier, found = _sides(words), None, None
-    for depth in range(sides.agg(F.min("start")).first()[0], longest + 1):
+    first, last = sides.agg(F.min("start"), F.max("size")).first()
+    for depth in range(first, last + 1):
         own = sides.where((F.col("start") <= depth) & (F.col("size") >= depth)).select(
             "back", "spelling", "size", F.lit(depth).alias("at"), F.lit(False).alias("edited"),
             F.substring("spelling", 1, depth).alias("node"))
@@ -156,7 +157,7 @@ def near_words(words: DataFrame, long: int = LONG) -> DataFrame:
     if longest is None:
         return words.withColumn("near", F.col("word"))
     short = words.where(F.length("word") <= long)
-    pairs = None if short.isEmpty() else _trie_pairs(short, min(longest, long))
+    pairs = None if short.isEmpty() else _trie_pairs(short)
     if longest >= long:
         rest = _long_pairs(words.where(F.length("word") >= long))
         pairs = rest if pairs is None else pairs.unionByName(rest)
