@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsight.llm import (
-    decontamination, extraction, licenses, mixing, pseudonyms, quality, secret_scan, simhash, spelling, toxicity, warc,
+    collocations, decontamination, extraction, licenses, mixing, pseudonyms, quality, secret_scan, simhash, spelling, toxicity, warc,
 )
 from gridsight.llm.common import table
 from gridsight.session import new_folder
@@ -239,6 +239,45 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 query(op10_licenses)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+query(op11_collocations, rf"""
+WITH p AS (
+    SELECT row_number() OVER () AS r, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+), f AS (
+    SELECT lang, k AS size, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM p, unnest(range(1, 6)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY ALL
+), total AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang
+), often AS (
+    SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 100
+), inside AS (
+    SELECT DISTINCT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, f
+    FROM often, unnest(range(2, size)) AS s(k), unnest(range(1, size - k + 2)) AS t(i)
+), c AS (
+    SELECT * FROM often AS o
+    WHERE NOT EXISTS (SELECT 1 FROM inside AS i WHERE i.lang = o.lang AND i.phrase = o.phrase AND 100 * i.f >= 100 * o.f)
+), cut AS (
+    SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, n, k,
+           1000::HUGEINT * c.f * n // (x.f::HUGEINT * y.f) AS score
+    FROM c JOIN total USING (lang), unnest(range(1, size)) AS s(k)
+    JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+    JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+), best AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM best QUALIFY rank <= 2000
+""")
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     def spelt(run):
         """The run, or without one code point where its checksum in its document says so."""
