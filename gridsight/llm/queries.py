@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsight.llm import (
-    collocations, decontamination, extraction, licenses, mixing, pseudonyms, quality, secret_scan, simhash, spelling, toxicity, warc,
+    collocations, decontamination, extraction, licenses, mixing, pseudonyms, quality, secret_scan, simhash, spelling, topk, toxicity, warc,
 )
 from gridsight.llm.common import table
 from gridsight.session import new_folder
@@ -278,6 +278,25 @@ FROM best QUALIFY rank <= 2000
 """)
 
 
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+query(op12_topk, """
+WITH v AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS w
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+""")
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     def spelt(run):
         """The run, or without one code point where its checksum in its document says so."""
