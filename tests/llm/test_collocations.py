@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from gridsight.llm import collocations
+from gridsight.llm import collocations, common
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -70,17 +70,20 @@ def test_split_stripes_small_blocks_and_full_bitmaps(spark, monkeypatch):
     docs = spark.createDataFrame([(t, g) for g, t in rows], "text string, lang string")
     monkeypatch.setattr(collocations, "HOT", 3)
     monkeypatch.setattr(collocations, "SLOTS", 64)
+    monkeypatch.setattr(collocations, "HELD", 20)
+    monkeypatch.setattr(collocations._blocks, "__defaults__", (50, 6))
     assert got(collocations.collocations(docs, least=3)) == plain(rows, 3, 2000)
 
 
-@pytest.mark.parametrize("block", [1, 7, 40])
-def test_blocks_lose_no_phrase(block):
+@pytest.mark.parametrize("block, most", [(1, 100), (7, 3), (40, 100)])
+def test_blocks_lose_no_phrase(block, most, monkeypatch):
     import pyarrow as pa
 
     rows = [("en", "a b c d e f g"), ("de", "a b c. d e f"), ("en", "a b c d e f g " * 30), ("en", "x"), ("de", " . ,, ")]
     batch = pa.RecordBatch.from_arrays([pa.array([g for g, _ in rows]), pa.array([t.encode() for _, t in rows])], names=["lang", "text"])
     found = Counter()
-    for lang, words, places, stop in collocations._blocks(iter([batch]), block):
+    monkeypatch.setattr(collocations, "pieces", lambda text: common.pieces(text, 9))
+    for lang, words, places, stop, _ in collocations._blocks(iter([batch]), block, most):
         for i, p in enumerate(places[:stop].tolist()):
             for size in range(1, 6):
                 phrase = places[i:i + size].tolist()
