@@ -17,10 +17,12 @@ from gridsight.catalog.star import centre_sql, complaint_sql, outage_sql
 from gridsight.operators import dimensions as dims, summaries
 from gridsight.plans.billing import clean_billing
 from gridsight.plans.complaints import clean_complaints
-from gridsight.plans.monthly import billing_dims, load_complaints, load_months, load_outages
+from gridsight.plans.monthly import (
+    billing_dims, feeder_outages, load_complaints, load_months, load_outages, undo_loads,
+)
 from gridsight.plans.outages import clean_outages
 from gridsight.session import new_folder
-from gridsight.sources import extracts, tables
+from gridsight.sources import extracts, journal, tables
 from gridsight.streaming import arrivals
 
 ORDER_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
@@ -423,12 +425,12 @@ LOADED_SQL = f"""WITH billing AS (SELECT * FROM ({_two_names_sql("billing", "doc
 complaints AS ({_two_names_sql("complaints", "ticket")}),
 outages AS ({_two_names_sql("outages", "outage_id")})
 """
-# A centre name's code, as billing and the complaint summaries know it.
-CODED_SQL = """SELECT o.* FROM (SELECT outages.*, c.ibc_code FROM outages JOIN (
-  SELECT ibc_name, min(ibc_code) AS ibc_code FROM (
-    SELECT ibc_name, ibc_code FROM billing
-    UNION ALL SELECT min(ibc_name), ibc_code FROM complaints GROUP BY ibc_code, year, month) GROUP BY 1) c
-  ON outages.ibc_name = c.ibc_name) o"""
+# A centre name's code in a month, as that month's billing and complaints know it.
+CODED_SQL = """SELECT outages.*, c.ibc_code FROM outages JOIN (
+  SELECT ibc_name, year, month, min(ibc_code) AS ibc_code FROM (
+    SELECT ibc_name, ibc_code, year, month FROM billing
+    UNION ALL SELECT ibc_name, ibc_code, year, month FROM complaints) GROUP BY 1, 2, 3) c
+  USING (ibc_name, year, month)"""
 
 
 def _of_load(t: Tables, name: str) -> DataFrame:
@@ -508,6 +510,101 @@ def _(t):
     return summaries.outage_summary_of_parts(parts, ["ibc_name", "year", "month"])
 
 
+def _daily(t: Tables, later: bool) -> str:
+    """The base after outages and complaints landed in loads of overlapping months, in the order asked for."""
+    base = new_folder(t.spark, "daily")
+    crm = lambda: load_complaints(bindings.complaints(t), base)
+    if not later:
+        crm()
+    load_outages(bindings.outages(t).filter("month < 8 AND outage_id % 2 = 0"), base)
+    for some in ("month < 8", "month > 6"):
+        load_outages(bindings.outages(t).filter(some), base)
+    if later:
+        crm()
+    return base
+
+
+def _daily_table(t: Tables, name: str, later: bool) -> DataFrame:
+    return tables.read_table(t.spark, f"{_daily(t, later)}/{name}").drop(tables.LOAD, "year", "month")
+
+
+@query("monthly_feeder_date", with_views(["outages"], outage_sql(
+    "feeder_id, date", True, "min(feeder_name) AS feeder_name, ")))
+def _(t):
+    """Outages by feeder and date, kept up by three loads that overlap."""
+    return _daily_table(t, "oms_feeder_date", False)
+
+
+@query("monthly_date_ibc", with_views(["complaints", "outages"], f"""
+SELECT date, ibc_name, o.* EXCLUDE (date, ibc_name), c.* EXCLUDE (date, ibc_name)
+FROM ({outage_sql("ibc_name, date", True)}) o
+FULL JOIN ({complaint_sql("date, ibc_name", "date")}) c USING (date, ibc_name)"""))
+def _(t):
+    """Complaints land first; each outage load refreshes the days of its months."""
+    base = _daily(t, False)
+    # Months of complaints alone are refreshed when complaints land after outages.
+    load_complaints(bindings.complaints(t), base)
+    return tables.read_table(t.spark, f"{base}/date_ibc_crm_oms").drop(tables.LOAD, "year", "month")
+
+
+@query("monthly_date_feeder", with_views(["complaints", "outages"], f"""
+SELECT date, feeder_id, o.* EXCLUDE (date, feeder_id), c.* EXCLUDE (date, feeder_id)
+FROM ({outage_sql("feeder_id, date", True, "min(feeder_name) AS feeder_name, ")}) o
+FULL JOIN ({complaint_sql("date, feeder_id", "feeder_id")}) c USING (date, feeder_id)"""))
+def _(t):
+    """Complaints land last and refresh the days of outages that are there."""
+    return _daily_table(t, "date_feeder_crm_oms", True)
+
+
+@query("monthly_feeder_total", with_views(["outages"], outage_sql("feeder_id, feeder_name", True)))
+def _(t):
+    """Outages per feeder over all months, added up from the stored parts."""
+    return feeder_outages(t.spark, _daily(t, False))
+
+
+@query("late_complaints", f"WITH billing AS ({ACTIVE}), complaints AS ({VIEWS['complaints']}), outages AS ({VIEWS['outages']}), coded AS ({CODED_SQL})\n" + centre_sql(
+    "ibc_code", ["ibc_name"], f"""SELECT c.*, o.* EXCLUDE (ibc_code, year, month)
+FROM ({complaint_sql("ibc_code, year, month", "ibc_name")}) c
+JOIN ({outage_sql("ibc_code, year, month").replace("FROM outages", "FROM coded")}) o
+ON c.ibc_code = o.ibc_code AND c.year = o.year AND c.month = o.month""",
+    dims.COMPLAINT_COLUMNS + dims.OUTAGE_COLUMNS))
+def _(t):
+    """Billing lands before anything else, then some complaints of a year, outages, and all complaints."""
+    base = new_folder(t.spark, "late")
+    load_months(raw_billing(t).withColumnRenamed("yyyymm", "billing_month"), base)
+    load_complaints(bindings.complaints(t).filter("year = 1998 AND ticket % 2 = 0"), base)
+    load_outages(bindings.outages(t), base)
+    load_complaints(bindings.complaints(t), base)
+    return tables.read_table(t.spark, f"{base}/ibc_all_dim").drop("region", tables.LOAD)
+
+
+@query("undone_loads", f"WITH billing AS ({ACTIVE}), complaints AS ({VIEWS['complaints']})\n" + centre_sql(
+    "ibc_code", ["ibc_name"], complaint_sql("ibc_code, year, month", "ibc_name"), dims.COMPLAINT_COLUMNS))
+def _(t):
+    """Two wrong loads, of billing and of complaints, are undone in all their tables at once."""
+    base = new_folder(t.spark, "undone")
+    load_complaints(bindings.complaints(t), base, batch="good")
+    rows = raw_billing(t).withColumnRenamed("yyyymm", "billing_month")
+    load_months(rows, base, "good")
+    load_months(rows.filter("billing_month LIKE '1998%' AND CurrentAmount LIKE '1%'"), base, "wrong")
+    load_complaints(bindings.complaints(t).filter("year > 1996 AND ticket % 3 = 0"), base, batch="wrong")
+    undo_loads(t.spark, base, "billing-good")
+    return tables.read_table(t.spark, f"{base}/ibc_crm_ageing_dim").drop("region", tables.LOAD)
+
+
+@query("load_journal", f"""SELECT 'complaints' AS kind, year * 100 + month AS month, 'published' AS state
+FROM (SELECT DISTINCT year, month FROM ({VIEWS['complaints']}))
+UNION ALL SELECT 'outages', year * 100 + month, 'undone' FROM (SELECT DISTINCT year, month FROM ({VIEWS['outages']}))""")
+def _(t):
+    """The months of the fact that each load replaced, and whether it still holds."""
+    base = new_folder(t.spark, "journal")
+    load_complaints(bindings.complaints(t), base, batch="one")
+    load_outages(bindings.outages(t), base, batch="two")
+    undo_loads(t.spark, base, "complaints-one")
+    return journal.history(t.spark, base).where(F.col("load").startswith(F.col("table"))).select(
+        F.col("table").alias("kind"), "month", "state")
+
+
 # --- arrivals ---------------------------------------------------------------------------------
 
 EVENT_SQL = "SELECT event_id, user_id, event_type, value FROM events"
@@ -623,3 +720,54 @@ def _(t):
         .groupBy("billing_month")
         .agg((F.sum(cents).cast("double") / 100).alias("current_amount"), F.count(F.lit(1)).alias("bills"))
     )
+
+
+def _whole(column: str):
+    return F.col(column).cast("bigint").cast("string")
+
+
+def _landed_kinds(t: Tables) -> str:
+    """A landing folder with outages first, then two files of billing, then complaints, as their extracts are."""
+    landing = f"{new_folder(t.spark, 'landing')}/in"
+    known = bindings.outages(t)
+    extracts.publish_extract(known.select(
+        _whole("outage_id").alias("outage_Id"), F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("Createdon"),
+        F.col("ibc_name").alias("IBC"), F.col("feeder_id").cast("string").alias("fdr_Id"),
+        F.col("feeder_name").alias("fdr_name"), F.coalesce("reason", F.lit("Undefined")).alias("initialoffreason"),
+        _whole("turnaround_minutes").alias("TAT"), F.coalesce(_whole("punching_delay"), F.lit("-")).alias("PunchingDelay"),
+        F.format_string("0:0:%d", F.col("turnaround_minutes").cast("bigint")).alias("duration"),
+        F.when(F.col("rain") == 1, "YES").otherwise("NO").alias("israintripping"), F.lit("1").alias("isemergency"),
+    ).coalesce(1), landing, "OMS_all", ",")
+    bills = raw_billing(t)
+    for month in ("199901", "199902"):
+        extracts.publish_extract(bills.filter(F.col("yyyymm") == month).drop("yyyymm").coalesce(1), landing, f"Ageing_{month}", "|")
+    crm = bindings.complaints(t)
+    extracts.publish_extract(crm.select(
+        F.col("account").alias("AccountContract"), F.lit("ACT").alias("ConsumerStatus"), F.col("ibc_name").alias("IBCName"),
+        F.col("ibc_code").alias("IBCCode"), F.date_format("date", "dd-MMM-yy").alias("CREATED_DATE"),
+        F.col("year").cast("string").alias("Year"), F.date_format("date", "MMM").alias("Month"),
+        F.col("pmt").cast("string").alias("PMT"), F.col("pmt_name").alias("PMT Name"),
+        F.col("feeder_id").cast("string").alias("Feeder ID"), F.col("feeder_name").alias("Feeder Name"),
+        F.col("star_customer").alias("StarCustomer"), (F.col("resolution_minutes") / 60).cast("string").alias("GroundTAT"),
+    ).coalesce(1), landing, "CRM_all", "|")
+    return landing
+
+
+@query("arrivals_to_star", f"""WITH billing AS ({ACTIVE} AND year(o_orderdate) = 1999 AND month(o_orderdate) < 3),
+complaints AS ({VIEWS['complaints']}),
+outages AS (SELECT * REPLACE (CAST(turnaround_minutes AS DOUBLE) / 60 AS duration_minutes) FROM ({VIEWS['outages']})),
+coded AS ({CODED_SQL})
+""" + centre_sql("ibc_code", ["ibc_name"], f"""SELECT c.*, o.* EXCLUDE (ibc_code, year, month)
+FROM ({complaint_sql("ibc_code, year, month", "ibc_name")}) c
+JOIN ({outage_sql("ibc_code, year, month").replace("FROM outages", "FROM coded")}) o
+ON c.ibc_code = o.ibc_code AND c.year = o.year AND c.month = o.month""",
+    dims.COMPLAINT_COLUMNS + dims.OUTAGE_COLUMNS))
+def _(t):
+    """Files of three kinds arrive out of order and each runs the monthly load; a lost checkpoint repeats
+    them all without effect."""
+    landing = _landed_kinds(t)
+    base = new_folder(t.spark, "star")
+    for checkpoint in ("first", "again"):
+        paths = arrivals.arriving_paths(t.spark, landing)
+        arrivals.finish(arrivals.run_arrivals(paths, base, f"{landing}-{checkpoint}"))
+    return tables.read_table(t.spark, f"{base}/ibc_all_dim").drop("region", tables.LOAD)

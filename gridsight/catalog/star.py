@@ -15,7 +15,7 @@ from gridsight.catalog.bindings import (
     with_views,
 )
 from gridsight.catalog.registry import query
-from gridsight.functions.measures import Measure
+from gridsight.functions.measures import Measure, merged, partial_groups
 from gridsight.operators import cleaning, dimensions as dims, facts, summaries
 from gridsight.operators.joins import join_summary, stored
 
@@ -180,10 +180,14 @@ def _centre_both(t: Tables) -> DataFrame:
     return dims.complaints_with_outages(_centre_faults(t), named, ["ibc_name", *MONTH])
 
 
-def _centre_both_by_code(t: Tables) -> DataFrame:
+def _centre_both_by_code(t: Tables, codes: DataFrame) -> DataFrame:
+    """Complaints and outages of each code; ``codes`` are those that billing has. Complaints are read once."""
     parts = summaries.outage_parts(outages(t), ["ibc_name", *MONTH])
-    codes = billing(t).select("ibc_name", "ibc_code").unionByName(complaints(t).select("ibc_name", "ibc_code"))
-    return dims.complaints_with_outages(dims.outages_by_code(parts, codes), _centre(t), ["ibc_code", *MONTH])
+    measures = summaries.complaint_measures("ibc_name")
+    crm = stored(partial_groups(complaints(t), ["ibc_code", "ibc_name", *MONTH], measures))
+    known = codes.unionByName(crm.select("ibc_name", "ibc_code", *MONTH))
+    centre = merged(crm, ["ibc_code", *MONTH], measures)
+    return dims.complaints_with_outages(dims.outages_by_code(parts, known), centre, ["ibc_code", *MONTH])
 
 
 BOTH_SQL = f"""SELECT o.*, c.ibc_code, c.complaints, c.avg_resolution_minutes
@@ -218,7 +222,8 @@ def _(t):
 @query("join_fact_ibc_crm_oms", with_views(["billing", "complaints", "outages"], row_join_sql(
     BOTH_SQL, ["ibc_code", *MONTH], dims.COMPLAINT_COLUMNS + dims.OUTAGE_COLUMNS)))
 def _(t):
-    joined = dims.with_summary(billing(t), _centre_both_by_code(t), ["ibc_code", *MONTH])
+    codes = billing(t).select("ibc_name", "ibc_code", *MONTH)
+    joined = dims.with_summary(billing(t), _centre_both_by_code(t, codes), ["ibc_code", *MONTH])
     return joined.select(*ROW, *dims.COMPLAINT_COLUMNS, *dims.OUTAGE_COLUMNS)
 
 
@@ -265,7 +270,10 @@ def centre_dimension(t):
 @query("ibc_all_dim", with_views(["billing", "complaints", "outages"], centre_sql(
     "ibc_code", ["ibc_name", "region"], BOTH_SQL, dims.COMPLAINT_COLUMNS + dims.OUTAGE_COLUMNS)))
 def _(t):
-    return dims.centre_dim(billing(t), _centre_both_by_code(t))
+    """Billing is read once: its partial groups hold the totals and the names of each code."""
+    parts = stored(dims.billing_parts(billing(t)))
+    codes = parts.select("ibc_name", "ibc_code", *MONTH)
+    return dims.centre_dim_of_parts(parts, _centre_both_by_code(t, codes))
 
 
 @query("pmt_crm_ageing_dim", with_views(["billing", "complaints"], centre_sql(

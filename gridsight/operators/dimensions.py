@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gridsight.functions.measures import merged, partial_groups, totals_and_averages
 from gridsight.operators.joins import join_summary
-from gridsight.operators.summaries import billing_totals, outage_summary_of_parts
+from gridsight.operators.summaries import BILLING_MEASURES, billing_totals, outage_summary_of_parts
 
 COMPLAINT_COLUMNS = ["complaints", "avg_resolution_minutes"]
 OUTAGE_COLUMNS = [
@@ -69,7 +70,14 @@ def consumer_dim(
     return side.join(summary, keys, "inner")
 
 
-def centre_dim(billing: DataFrame, summary: DataFrame, key: str = "ibc_code") -> DataFrame:
+def billing_parts(billing: DataFrame) -> DataFrame:
+    """Partial groups of billing per centre code, name, region and month, which both centre dimensions and
+    the names a code goes by are made of."""
+    keys = ["ibc_code", "ibc_name", "region", *MONTH]
+    return partial_groups(billing, keys, totals_and_averages(BILLING_MEASURES))
+
+
+def centre_dim_of_parts(parts: DataFrame, summary: DataFrame, key: str = "ibc_code") -> DataFrame:
     """Billing totals per centre and month with the summary's measures beside them.
 
     ``summary`` holds one row per centre and month and any of the complaint and outage columns.
@@ -77,10 +85,14 @@ def centre_dim(billing: DataFrame, summary: DataFrame, key: str = "ibc_code") ->
     labels = {"ibc_name": "ibc_name", "region": "region"}
     if key != "ibc_code":
         labels = {"ibc_code": "ibc_code", "region": "region"}
-    totals = billing_totals(billing, [key, *MONTH], labels)
+    totals = merged(parts, [key, *MONTH], totals_and_averages(BILLING_MEASURES), labels)
     return with_billing_month(totals.join(summary, [key, *MONTH], "inner"))
 
 
+def centre_dim(billing: DataFrame, summary: DataFrame, key: str = "ibc_code") -> DataFrame:
+    return centre_dim_of_parts(billing_parts(billing), summary, key)
+
+
 def transformer_dim(billing: DataFrame, summary: DataFrame) -> DataFrame:
     labels = {"ibc_code": "ibc_code", "ibc_name": "ibc_name", "region": "region"}
     totals = billing_totals(billing, ["pmt", *MONTH], labels)
@@ -95,11 +107,13 @@ def with_billing_month(dim: DataFrame) -> DataFrame:
 def outages_by_code(parts: DataFrame, codes: DataFrame) -> DataFrame:
     """Outage summary per centre code and month, from parts per centre name.
 
-    ``codes`` has ibc_name and ibc_code, in any number of rows; a name stands for its least code. The
+    ``codes`` has ibc_name, ibc_code, year and month, in any number of rows; a name stands for its least
+    code of the month, so the result of a month does not depend on which others are loaded with it. The
     parts of all names of a code are added up, faults by their frequencies.
     """
-    code = codes.dropna().groupBy("ibc_name").agg(F.min("ibc_code").alias("ibc_code"))
-    named = parts.dropna(subset=["ibc_name", *MONTH]).join(code, "ibc_name")
+    keys = ["ibc_name", *MONTH]
+    code = codes.dropna().groupBy(*keys).agg(F.min("ibc_code").alias("ibc_code"))
+    named = parts.dropna(subset=keys).join(code, keys)
     return outage_summary_of_parts(named, ["ibc_code", *MONTH])
 
 

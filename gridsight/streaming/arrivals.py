@@ -1,4 +1,5 @@
-"""Arriving extract files as a stream: each file is one load, loaded once.
+"""Arriving extract files as a stream: each file is one load, loaded once, into one table
+(``load_arrivals``) or through the monthly load into every table it feeds (``run_arrivals``).
 
 Producers must write a file elsewhere and rename it into the landing folder
 (``sources.extracts.publish_extract``); a file in the landing folder is taken to be complete.
@@ -6,13 +7,17 @@ Producers must write a file elsewhere and rename it into the landing folder
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridsight.functions import parsing
-from gridsight.sources import tables
+from gridsight.plans.complaints import clean_complaints
+from gridsight.plans.monthly import load_complaints, load_months, load_outages
+from gridsight.plans.outages import clean_outages
+from gridsight.sources import extracts, tables
 from gridsight.sources.extracts import text_schema
 
 
@@ -80,3 +85,60 @@ def finish(query: StreamingQuery, timeout_seconds: int = 600) -> None:
     if not wait_until_done(query, timeout_seconds):
         query.stop()
         raise TimeoutError(f"load still running after {timeout_seconds} s")
+
+
+#: Word in a file's name and separator of each kind of extract.
+KINDS = {"billing": ("Ageing", "|"), "complaints": ("CRM", "|"), "outages": ("OMS", ",")}
+
+
+def arriving_paths(spark: SparkSession, landing: str, files_per_batch: int = 100) -> DataFrame:
+    """New ``.csv`` files of any kind: path, length and time of each; no content is read."""
+    return (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(landing)
+        .select("path", "modificationTime", "length")
+    )
+
+
+def load_file(spark: SparkSession, path: str, base: str, batch: str, kinds: dict = KINDS, season: bool = False) -> dict[str, str]:
+    """Run the monthly load that a file's name asks for; none for a name of no known kind."""
+    name = path.rsplit("/", 1)[1]
+    kind, sep = next(((k, sep) for k, (word, sep) in kinds.items() if word in name), (None, None))
+    if kind == "billing":
+        return load_months(extracts.scan_billing(spark, path), base, batch, season)
+    if kind == "complaints":
+        return load_complaints(clean_complaints(extracts.scan_delimited(spark, path, sep=sep)), base, None, batch, season)
+    if kind == "outages":
+        outages = clean_outages(extracts.scan_delimited(spark, path, sep=sep))
+        dated = outages.withColumns({"year": F.year("created_at"), "month": F.month("created_at")})
+        return load_outages(dated, base, None, batch, season)
+    return {}
+
+
+def run_arrivals(
+    paths: DataFrame, base: str, checkpoint: str, kinds: dict = KINDS, season: bool = False, every: str | None = None
+) -> StreamingQuery:
+    """Run the monthly load for each file that arrives, in the order of their times.
+
+    A file is one load, named by its path, time and length in the journal of ``base``. A batch that is
+    repeated, or a checkpoint that is lost, therefore loads nothing twice; a load that stopped half-way is
+    finished first. Files of the three kinds may come in any order: each refreshes the dimensions of its
+    months. What comes to the driver is a line for each file of a batch (``files_per_batch``).
+    """
+
+    def load(batch: DataFrame, _batch_id: int) -> None:
+        order = ["modificationTime", "path"]
+        for line in batch.orderBy(*order).collect():
+            path = line["path"]
+            stamp = f"{path}|{line['modificationTime'].isoformat()}|{line['length']}"
+            name = path.rsplit("/", 1)[1].rsplit(".", 1)[0]
+            digest = hashlib.sha256(stamp.encode()).hexdigest()[:16]
+            load_file(batch.sparkSession, path, base, f"{name}-{digest}", kinds, season)
+
+    writer = paths.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    if every:
+        return writer.trigger(processingTime=every).start()
+    return writer.trigger(availableNow=True).start()

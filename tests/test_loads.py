@@ -11,10 +11,10 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from gridsight.plans.billing import clean_billing
 from gridsight.plans.complaints import clean_complaints
-from gridsight.plans.monthly import billing_dims, load_complaints, load_months, load_outages
+from gridsight.plans.monthly import billing_dims, load_complaints, load_months, load_outages, undo_loads
 from gridsight.plans.outages import clean_outages
 from gridsight.session import new_folder
-from gridsight.sources import extracts, tables
+from gridsight.sources import extracts, journal, tables
 from gridsight.streaming import arrivals
 
 
@@ -305,14 +305,134 @@ def test_rows_without_a_month_are_kept_apart(spark, folder):
 
 
 def test_load_reads_only_its_months(spark, folder):
-    from gridsight.plans import monthly
-
     load_complaints(clean_complaints(raw_complaints(spark)), folder)
-    schema = tables.read_table(spark, f"{folder}/crm_ibc_dim").schema
-    plan = monthly._stored(spark, f"{folder}/crm_ibc_dim", schema, [202304])._jdf.queryExecution().executedPlan().toString()
+    stored = journal.begin(spark, folder, "next").rows("crm_ibc_dim", [202304])
+    plan = stored._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "202304" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+DIMS = ("consumer_dim", "ibc_crm_ageing_dim", "ibc_all_dim", "pmt_crm_ageing_dim", "ibc_oms_ageing_dim")
+
+
+def dated_outages(spark):
+    return clean_outages(raw_outages(spark)).withColumns({"year": F.year("created_at"), "month": F.month("created_at")})
+
+
+def snapshot(spark, folder):
+    """Every row of every table under a base."""
+    return {name: rows(spark.read.parquet(f"{folder}/{name}")) for name in sorted(os.listdir(folder))
+            if not name.startswith("_") and name != "rejects" and any("=" in n for n in os.listdir(f"{folder}/{name}"))}
+
+
+def test_sources_in_any_order(spark, folder):
+    """Billing before complaints and outages, even before anything, ends in the same tables."""
+    load = {
+        "c": lambda base: load_complaints(clean_complaints(raw_complaints(spark)), base),
+        "o": lambda base: load_outages(dated_outages(spark), base),
+        "b": lambda base: load_months(raw_billing(spark), base),
+    }
+    found = {}
+    for order in ("cob", "bco"):
+        for kind in order:
+            load[kind](f"{folder}/{order}")
+        found[order] = snapshot(spark, f"{folder}/{order}")
+    assert found["cob"] == found["bco"] and set(DIMS) < set(found["cob"])
+    paths = load["b"](f"{folder}/alone")
+    assert set(DIMS) < set(paths) and snapshot(spark, f"{folder}/alone")["billing"] == found["cob"]["billing"]
+
+
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("moves", [1, 6])
+def test_stopped_load_is_finished_by_the_next(spark, folder, monkeypatch, moves):
+    """The driver stops after some months have changed places; the next load puts the others in place."""
+    for base in ("whole", "cut"):
+        load_complaints(clean_complaints(raw_complaints(spark)), f"{folder}/{base}", batch="c")
+        load_outages(dated_outages(spark), f"{folder}/{base}", batch="o")
+        load_months(raw_billing(spark).filter("AccountContract = '1'"), f"{folder}/{base}", "first")
+    before = snapshot(spark, f"{folder}/cut")
+    load_months(raw_billing(spark), f"{folder}/whole", "second")
+    move, left = journal._Files.move, [moves]
+
+    def stopping(self, old, new):
+        if "load_id=" in old:
+            if not left[0]:
+                raise Stop
+            left[0] -= 1
+        move(self, old, new)
+
+    monkeypatch.setattr(journal._Files, "move", stopping)
+    with pytest.raises(Stop):
+        load_months(raw_billing(spark), f"{folder}/cut", "second")
+    monkeypatch.undo()
+    assert {r.state for r in journal.history(spark, f"{folder}/cut").filter("load = 'billing-second'").collect()} == {"staged"}
+    assert journal.resume(spark, f"{folder}/cut") == ["billing-second"]
+    assert snapshot(spark, f"{folder}/cut") == snapshot(spark, f"{folder}/whole")
+    load_months(raw_billing(spark).limit(0), f"{folder}/cut", "second")  # in place: changes nothing
+    assert snapshot(spark, f"{folder}/cut") == snapshot(spark, f"{folder}/whole")
+    left[0] = moves
+    monkeypatch.setattr(journal._Files, "move", stopping)
+    with pytest.raises(Stop):
+        undo_loads(spark, f"{folder}/cut", "billing-first")
+    monkeypatch.undo()
+    journal.resume(spark, f"{folder}/cut")
+    assert snapshot(spark, f"{folder}/cut") == before
+    assert undo_loads(spark, f"{folder}/cut", None) == ["billing-first", "outages-o", "complaints-c"]
+    assert snapshot(spark, f"{folder}/cut") == {}
+
+
+def test_failed_load_changes_nothing(spark, folder):
+    load_complaints(clean_complaints(raw_complaints(spark)), folder, batch="c")
+    before = snapshot(spark, folder)
+    bad = clean_complaints(raw_complaints(spark)).withColumn("month", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        load_complaints(bad, folder, batch="bad")
+    assert snapshot(spark, folder) == before and journal.resume(spark, folder) == []
+    assert [load.name for load in journal.loads(spark, folder)] == ["complaints-c"]
+    journal.forget(spark, folder, "complaints-c")
+    assert snapshot(spark, folder) == before
+
+
+def test_a_name_may_change_its_code(spark, folder):
+    """Name N has code 20 in April and 10 in May: both months have their outages, however they are loaded."""
+    complaints = spark.createDataFrame(
+        [(str(i), code, "N", 2023, m, 77, "T", "Y", 1.0) for i, (m, code) in enumerate([(4, "20"), (5, "10")])],
+        "account string, ibc_code string, ibc_name string, year int, month int, pmt bigint, pmt_name string, star_customer string, resolution_minutes double")
+    outages = spark.createDataFrame(
+        [(m, "N", "tree", 1.0, 1.0, 0, 2023, m) for m in (4, 5)],
+        "outage_id bigint, ibc_name string, reason string, duration_minutes double, turnaround_minutes double, rain int, year int, month int")
+    one = raw_billing(spark).filter("AccountContract = '1'").withColumn("IBCName", F.lit("N"))
+    raw = one.withColumns({"IBC": F.lit("20")}).unionByName(
+        one.withColumns({"IBC": F.lit("10"), "billing_month": F.lit("202305")}))
+    load_complaints(complaints, folder)
+    load_outages(outages, folder)
+    load_months(raw, folder)
+    together = rows(tables.read_table(spark, f"{folder}/ibc_all_dim"))
+    for month in ("202305", "202304"):
+        load_months(raw.filter(F.col("billing_month") == month), folder)
+    assert rows(tables.read_table(spark, f"{folder}/ibc_all_dim")) == together
+    assert rows(tables.read_table(spark, f"{folder}/ibc_all_dim"), "ibc_code", "month", "outages") == [("10", 5, 1), ("20", 4, 1)]
+
+
+def test_files_of_three_kinds_run_the_load(spark, folder):
+    """A file replaced in the landing folder is a new load; other names run nothing."""
+    landing, base = f"{folder}/in", f"{folder}/star"
+
+    def run():
+        arrivals.finish(arrivals.run_arrivals(arrivals.arriving_paths(spark, landing), base, f"{folder}/checkpoint"), 300)
+
+    for df, name, sep in ((raw_billing(spark).filter("billing_month = '202304'").drop("billing_month"), "Ageing_202304", "|"),
+                          (raw_outages(spark), "OMS_x", ","), (raw_complaints(spark), "CRM_x", "|"), (raw_complaints(spark), "Other", "|")):
+        extracts.publish_extract(df.coalesce(1), landing, name, sep)
+    run()
+    assert rows(tables.read_table(spark, f"{base}/ibc_all_dim"), "ibc_code", "complaints", "outages") == [("10", 2, 3)]  # an empty turnaround reads as none
+    loaded = len(journal.loads(spark, base))
+    run()
+    assert loaded == 3 and len(journal.loads(spark, base)) == 3
+
+
 def test_centre_with_two_names_has_one_row(spark):
     """Eight complaints and two outages of one code under two names: all are counted, once."""
     complaints = spark.createDataFrame(
