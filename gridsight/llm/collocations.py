@@ -15,7 +15,7 @@ with ``HOT`` occurrences or more (a second bitmap) has its stripe dealt to ``SEG
 word, so a stripe in one task has fewer than ``HOT`` entries, or a share of a frequent one.
 
 Cases: a NULL or empty text has no words; a NULL lang is ``und``; a text is read whole in parts of
-``BLOCK`` words that overlap; repeated rows count again; equal scores go to the more frequent phrase, then
+``BLOCK`` words and more that overlap; repeated rows count again; equal scores go to the more frequent phrase, then
 to the first in byte order; an empty table gives no rows; other columns play no part.
 """
 
@@ -34,44 +34,43 @@ from gridsight.llm.common import kept, pieces
 #: Least occurrences of a phrase, most words of it, rows of a language's report.
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Bits of a bitmap (8 MB); occurrences of a prefix from which its stripe is dealt out, and to how many tasks.
-SLOTS, HOT, SEGMENTS = 1 << 26, 1 << 14, 64
-#: Words that a task counts at a time.
-BLOCK = 1 << 20
+SLOTS, HOT, SEGMENTS = 1 << 26, 1 << 18, 64
+#: Words that a task counts at a time; distinct words and pairs of a language whose counts it holds.
+BLOCK, WORDS, HELD = 1 << 18, 1 << 20, 1 << 21
 #: Stands for a break between pieces among a text's words.
-BREAK = b"\n"
+BREAK = b"."
 
 #: Lower case for A-Z; a break for each mark that ends a piece; a space for a tab.
-_PLAIN = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
+_PLAIN = bytes(b + 32 if 65 <= b <= 90 else BREAK[0] if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 #: A phrase's hash takes in its words' hashes one after the other, times this.
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _STRIPES = "lang string, prefix string, segment int, next array<string>, counts array<bigint>"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], block: int = BLOCK) -> Iterator[tuple[str, list[bytes], np.ndarray, int]]:
-    """(lang, distinct words, their places in the texts one after the other, stop); place 0 is a break.
-    Phrases that begin before ``stop`` are the block's: the last words of a piece that is cut begin the next block too."""
+def _blocks(
+    batches: Iterator[pa.RecordBatch], block: int = BLOCK, most: int = WORDS
+) -> Iterator[tuple[str, list[bytes], np.ndarray, int, bool]]:
+    """(lang, distinct words so far, their places in some of the texts, stop, done); place 0 is a break.
+    Phrases that begin before ``stop`` are the block's: the last words of a cut text begin the next block
+    too. After a block that is ``done`` (at the end, or beyond ``most`` words) places are numbered anew."""
     held: dict[str, tuple[dict[bytes, int], list[int]]] = {}
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for line in (text or b"").translate(_PLAIN).split(BREAK):
-                ids, places = held.setdefault(lang, ({BREAK: 0}, []))
-                begin = len(places)
-                for part in pieces(line):
-                    places += [ids.setdefault(w, len(ids)) for w in part.split(b" ") if w]
-                    if len(places) > block:
-                        words, stop = list(ids), max(len(places) - LONGEST + 1, begin)
-                        yield lang, words, np.array(places, np.int64), stop
-                        tail = [words[p] for p in places[stop:]]
-                        ids, places = held[lang] = {BREAK: 0}, []
-                        places += [ids.setdefault(w, len(ids)) for w in tail]
-                        begin = 0
-                places.append(0)
-        while sum(len(p) for _, p in held.values()) > block:
-            lang = max(held, key=lambda k: len(held[k][1]))
-            ids, places = held.pop(lang)
-            yield lang, list(ids), np.array(places, np.int64), len(places)
+            ids, places = held.setdefault(lang, ({BREAK: 0}, []))
+            for part in pieces((text or b"").translate(_PLAIN).replace(BREAK, b" " + BREAK + b" ")):
+                if len(places) > block:
+                    stop = len(places) - LONGEST + 1
+                    yield lang, list(ids), np.array(places, np.int64), stop, False
+                    del places[:stop]
+                places += [ids.setdefault(w, len(ids)) for w in part.split()]
+            places.append(0)
+            if len(places) > block or len(ids) > most:
+                yield lang, list(ids), np.array(places, np.int64), len(places), len(ids) > most
+                places.clear()
+                if len(ids) > most:
+                    del held[lang]
     for lang, (ids, places) in held.items():
-        yield lang, list(ids), np.array(places, np.int64), len(places)
+        yield lang, list(ids), np.array(places, np.int64), len(places), True
 
 
 def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
@@ -108,59 +107,104 @@ def _stripes(lang: str, prefixes: list[bytes], hot: np.ndarray, prefix: np.ndarr
         ], names=["lang", "prefix", "segment", "next", "counts"])
 
 
-def _counted(keys: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys as (prefix, following word), and their counts."""
-    found, counts = np.unique(keys, return_counts=True)
-    return found // base, found % base, counts
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys with the sums of their counts."""
+    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([c for _, c in parts]), len(keys)).astype(np.int64)
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The stripe of the empty prefix."""
-    for lang, words, places, stop in _blocks(batches):
+    sums: dict[str, np.ndarray] = {}
+    for lang, words, places, stop, done in _blocks(batches):
         counts = np.bincount(places[:stop], minlength=len(words))
+        before = sums.pop(lang, counts[:0])
+        counts[:len(before)] += before
+        if not done:
+            sums[lang] = counts
+            continue
         follow = np.flatnonzero(counts[1:]) + 1
         yield from _stripes(lang, [b""], np.array([True]), np.zeros(len(follow), np.int64), follow, counts[follow], words)
 
 
+def _known(hashes: dict[str, np.ndarray], lang: str, words: list[bytes], done: bool) -> np.ndarray:
+    """The words' hashes; only those of new words are computed."""
+    own = hashes.pop(lang, np.empty(0, np.uint64))
+    own = np.concatenate([own, _hashes(lang, words[len(own):])])
+    if not done:
+        hashes[lang] = own
+    return own
+
+
 def _pairs(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Stripes of one-word prefixes, of frequent words only."""
-    for lang, words, places, stop in _blocks(batches):
-        hashes = _hashes(lang, words)
-        known = _marked(frequent, hashes)
+    hashes, sums = {}, {}
+    for lang, words, places, stop, done in _blocks(batches):
+        own = _known(hashes, lang, words, done)
+        known = _marked(frequent, own)
         known[0] = False
         both = np.flatnonzero(known[places[:-1]] & known[places[1:]])
         both = both[both < stop]
-        one, two, counts = _counted(places[both] * len(words) + places[both + 1], len(words))
-        yield from _stripes(lang, words, _marked(hot, hashes), one, two, counts, words)
+        parts = [*sums.pop(lang, []), np.unique(places[both] << 32 | places[both + 1], return_counts=True)]
+        if len(parts) > 8 or done:
+            parts = [_summed(parts)]
+        if not done and len(parts[0][0]) < HELD:
+            sums[lang] = parts
+            continue
+        keys, counts = _summed(parts)
+        yield from _stripes(lang, words, _marked(hot, own), keys >> 32, keys & 0xFFFFFFFF, counts, words)
+
+
+def _runs(places: np.ndarray, frequent: np.ndarray, stop: int) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of a text in which frequent pairs follow one another, with breaks between them, and
+    whether a phrase that begins at a place is this block's."""
+    pair = np.r_[False, frequent, False]
+    chained = (pair[1:-1] & (pair[:-2] | pair[2:]))
+    inside = np.r_[chained, False] | np.r_[False, chained]
+    kept_at = np.flatnonzero(inside)
+    ends = np.flatnonzero(~np.r_[chained, False][kept_at]) + 1
+    return np.insert(places[kept_at], ends, 0), np.insert(kept_at < stop, ends, False)
 
 
 def _longer(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Stripes of prefixes of two words and more, of phrases whose pairs are all frequent."""
-    for lang, words, places, stop in _blocks(batches):
-        own = _hashes(lang, words)
-        found, at = np.unique(places[:-1] * len(words) + places[1:], return_inverse=True)
-        one, two = found // len(words), found % len(words)
-        hashes = own[one] * _STEP + own[two]
-        pair = np.r_[(_marked(frequent, hashes) & (one > 0) & (two > 0))[at], False]
-        # The phrase that begins at each place, as its number among those found, and whether there is one.
-        code, good, names = np.r_[at, 0], pair, {}
-        for size in range(3, LONGEST + 1):
-            reach = np.flatnonzero(good[: 2 - size] & pair[size - 2:])
-            reach = reach[reach < stop]
-            if not len(reach):
-                break
-            keys = code[reach] * len(words) + places[reach + size - 1]
-            prefix, following, counts = _counted(keys, len(words))
-            used, prefix = np.unique(prefix, return_inverse=True)
-            if size == 3:
-                names = {u: words[a] + b" " + words[b] for u, a, b in zip(used.tolist(), one[used].tolist(), two[used].tolist())}
-            texts, hashes = [names[u] for u in used.tolist()], hashes[used]
-            yield from _stripes(lang, texts, _marked(hot, hashes), prefix, following, counts, words)
-            names = {i: texts[p] + b" " + words[f] for i, (p, f) in enumerate(zip(prefix.tolist(), following.tolist()))}
-            hashes = hashes[prefix] * _STEP + own[following]
-            found = np.unique(keys)
-            code, good = np.zeros(len(places), np.int64), np.zeros(len(places), bool)
-            code[reach], good[reach] = np.searchsorted(found, keys), True
+    hashes, held = {}, {}
+    for lang, words, places, stop, done in _blocks(batches):
+        own = _known(hashes, lang, words, done)
+        marked = _marked(frequent, own[places[:-1]] * _STEP + own[places[1:]]) & (places[:-1] > 0) & (places[1:] > 0)
+        runs = [*held.pop(lang, []), _runs(places, marked, stop)]
+        if done or sum(len(r) for r, _ in runs) > BLOCK:
+            yield from _phrases(lang, words, own, hot, *(np.concatenate(x) for x in zip(*runs)))
+        else:
+            held[lang] = runs
+
+
+def _phrases(
+    lang: str, words: list[bytes], own: np.ndarray, hot: np.ndarray, places: np.ndarray, begins: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Stripes of prefixes of two words and more in runs of places."""
+    pair = np.r_[(places[:-1] > 0) & (places[1:] > 0), False][:len(places)]
+    found, at = np.unique(places[:-1] * len(words) + places[1:], return_inverse=True)
+    one, two = found // len(words), found % len(words)
+    hashes, names = own[one] * _STEP + own[two], {}
+    # The phrase that begins at each place, as its number among those found, and whether there is one.
+    code, good = np.r_[at, 0], pair & begins
+    for size in range(3, LONGEST + 1):
+        reach = np.flatnonzero(good[: 2 - size] & pair[size - 2:])
+        if not len(reach):
+            return
+        keys = code[reach] * len(words) + places[reach + size - 1]
+        found, counts = np.unique(keys, return_counts=True)
+        used, prefix = np.unique(found // len(words), return_inverse=True)
+        following = found % len(words)
+        if size == 3:
+            names = {u: words[a] + b" " + words[b] for u, a, b in zip(used.tolist(), one[used].tolist(), two[used].tolist())}
+        texts, hashes = [names[u] for u in used.tolist()], hashes[used]
+        yield from _stripes(lang, texts, _marked(hot, hashes), prefix, following, counts, words)
+        names = {i: texts[p] + b" " + words[f] for i, (p, f) in enumerate(zip(prefix.tolist(), following.tolist()))}
+        hashes = hashes[prefix] * _STEP + own[following]
+        code, good = np.zeros(len(places), np.int64), np.zeros(len(places), bool)
+        code[reach], good[reach] = np.searchsorted(found, keys), True
 
 
 def _merged(stripes: DataFrame, least: int) -> DataFrame:
