@@ -93,15 +93,16 @@ def edges(sides: DataFrame, depth: int) -> DataFrame:
 
 def advance(states: DataFrame, level: DataFrame) -> DataFrame:
     """The states one edge further down, among them those that found a near word (``done``)."""
-    at, letter, size = F.col("at"), F.col("letter"), F.col("size")
-    left = F.when(letter != _at(at), F.array_compact(F.array(
-        F.when(letter != END, at),
-        F.when((letter != END) & (at < size), at + 1),
-        F.when((at < size) & (letter == _at(at + 1)), at + 2))))
-    moves = F.when(F.col("edited"), F.when(letter == _at(at), F.array(at + 1))).otherwise(left)
+    at, letter, size, edited = F.col("at"), F.col("letter"), F.col("size"), F.col("edited")
     met = states.join(level, ["back", "node"]).select(*states.columns, F.inline("children"))
-    moved = met.select("back", "spelling", "size", "node", "letter", "after", F.explode(moves).alias("at"))
-    return moved.where((letter == END) | F.contains("after", _at(F.col("at")))).select(
+    met = met.where(edited == (letter == _at(at)))
+    further = lambda place: F.contains("after", _at(place))
+    moves = F.array(
+        F.when(edited & further(at + 1), at + 1).when(~edited & (letter != END) & further(at), at),
+        F.when(~edited & (letter != END) & (at < size) & further(at + 1), at + 1),
+        F.when(~edited & (at < size) & (letter == _at(at + 1)) & ((letter == END) | further(at + 2)), at + 2))
+    moved = met.select("back", "spelling", "size", "node", "letter", F.explode(moves).alias("at"))
+    return moved.where("at IS NOT NULL").select(
         "back", "spelling", "size", "at", F.lit(True).alias("edited"),
         F.when(letter == END, F.col("node")).otherwise(F.concat("node", "letter")).alias("node"),
         ((letter == END) | (_at(F.col("at")) == END)).alias("done"))
