@@ -1,19 +1,22 @@
 """HTML extraction by composite text density.
 
 The page becomes a list of elements in page order. Menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments are taken out by tag and by class, id and role. For every
+forms, scripts, styles and reader comments are taken out by tag and role. The head of a class name or id,
+and a form, is evidence only: the wrapper of the densest element stays whatever it is called, and so does a
+long part without many links that does not name comments. For every
 element left, characters per tag are weighed down by the part of characters and tags that are links; an
 element's density sum is that of its children. The element of the largest sum is the article's body. The
 least density on its path from the page's body is the threshold for what else belongs to the article (for
 elements without links, so is the least number of characters per tag on it): siblings along the path, and
 ``article`` and ``main`` elements anywhere, that reach it, and headings along the path. Text that stands
-directly in an element on the path is, with its inline elements, a sibling like others. The outermost
+directly in an element on the path is, with its inline elements, a sibling like others. A short block that is
+not mostly links stays between two kept siblings, and a paragraph beside a kept one. The outermost
 ``article`` or ``main`` on the path is added whole, as what is weak in it is still no listed part.
 
 Cases: a NULL or empty page gives an empty text, so does one without text outside what is taken out;
-unclosed and misnested tags are closed as browsers do; an unclosed comment or script takes the rest of
-the page; repeated pages are treated one by one; an empty table gives no rows. A page's other columns are
-kept and never used.
+unclosed and misnested tags are closed as browsers do; an unclosed comment, script or tag takes the rest of
+the page; a very long or broken page takes time in proportion to its length; repeated pages are treated one
+by one; an empty table gives no rows. A page's other columns are kept and never used.
 """
 
 from __future__ import annotations
@@ -29,8 +32,10 @@ from pyspark.sql import functions as F
 
 from gridsight.llm.common import utf8
 
-_TOKEN = re.compile(
-    r"""<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*+>|[^>]*>)|[!?/][^>]*>)""", re.S)
+_MARK = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|[!?/])")
+_QUOTE_OR_END = re.compile("[\"'>]")
+#: Numeric character references that no code point has, of any length, and leading zeros of others.
+_BIG_REFERENCE, _ZEROS = re.compile(r"&#0*[1-9][0-9]{7,};?"), re.compile(r"&#0+(?=[0-9])")
 _ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.I)
 _NAME = re.compile(r"[^\W_]+")
 
@@ -46,7 +51,7 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _LANDMARKS = frozenset(("article", "main"))
 #: Elements that are no part of an article.
 _DROP_TAGS = frozenset(
-    "nav footer aside form menu button select input option datalist dialog fieldset canvas svg object "
+    "nav footer aside menu button select input option datalist dialog fieldset canvas svg object "
     "embed audio video head map search".split())
 _DROP_ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar toolbar dialog alert alertdialog".split())
@@ -57,6 +62,14 @@ _DROP_NAMES = re.compile(
     r"rail|widget\w*|menu\w*|nav|navbar|navigation|breadcrumb\w*|masthead|topbar|footer\w*|colophon|copyright|"
     r"comment\w*|disqus|respond|replies|reply|share|sharing|social\w*|related\w*|recommend\w*|trending|pagination|"
     r"pager|toolbar|searchform|searchbox)")
+_COMMENT_NAMES = re.compile(r"comment\w*|disqus|respond|replies|reply")
+#: Words for boxes and places, behind the word that says what is in them.
+_BOXES = frozenset(
+    "area bar block body bottom box button buttons center class column container content group holder icon icons inner "
+    "item items left link links list main outer panel post posts region right row section slot text thread top unit "
+    "widget wrap wrapper zone".split())
+#: Characters that make an element long enough to doubt its name.
+_LITTLE = 1000
 _HEADER_NAMES = frozenset(("header", "pageheader", "siteheader"))
 #: What an opening tag closes, and the elements beyond which it does not look.
 _CLOSES = {
@@ -69,48 +82,76 @@ _STAY_OPEN = frozenset("html body".split())
 
 
 class Page:
-    """Elements in page order: tag, parent, names; and the text and block ends between them."""
+    """Elements in page order: tag, parent, names; and the text and block ends between them.
+
+    Reading takes time in proportion to the page, however broken: a walk for the end of a tag never goes twice
+    over what another walk found to have none, and open elements are looked up by name, not searched for.
+    """
 
     def __init__(self, source: str) -> None:
         self.tags, self.parents, self.names, self.roles = ["html"], [-1], [()], [""]
         self.events: list[tuple[int, str | None]] = []
-        self._stack = [0]
-        position = 0
-        while found := _TOKEN.search(source, position):
-            if found.start() > position:
-                self._text(source[position:found.start()])
-            position = found.end()
-            closing, tag, rest = found.group(1, 2, 3)
-            if not tag:
+        self._stack, self._open_at, self._open_blocks = [0], {}, []
+        self._source, self._endless = source, set()
+        position = start = 0
+        while found := _MARK.search(source, position):
+            if found.start() > start:
+                self._text(source[start:found.start()])
+            comment, closing, tag = found.groups()
+            start = position = self._end(found)
+            if comment or not tag or position > len(source):
                 continue
             tag = tag.lower()
             if closing:
                 self._close(tag)
                 continue
-            self._open(tag, rest)
+            self._open(tag, source[found.end():position])
             if tag in _RAW:
                 end = _RAW_END[tag].search(source, position)
-                position = end.start() if end else len(source)
-        if position < len(source):
-            self._text(source[position:])
+                start = position = end.start() if end else len(source)
+        if start < len(source):
+            self._text(source[start:])
+
+    def _end(self, found: re.Match) -> int:
+        """Where the markup ends: at the first ``>`` outside quotes or, if the quotes do not close, at the
+        first one; beyond the page where there is none."""
+        source, comment, tag = self._source, found.group(1), found.group(3)
+        if comment:
+            end = source.find("-->", found.end())
+            return end + 3 if end >= 0 else len(source) + 1
+        position, passed = found.end(), []
+        while tag and (mark := _QUOTE_OR_END.search(source, position)) and mark.start() not in self._endless:
+            if mark.group() == ">":
+                return mark.end()
+            passed.append(mark.start())
+            position = source.find(mark.group(), mark.end()) + 1
+            if not position:
+                break
+        self._endless.update(passed)
+        end = source.find(">", found.end())
+        return end + 1 if end >= 0 else len(source) + 1
 
     def _text(self, text: str) -> None:
+        if "&#" in text:
+            text = _ZEROS.sub("&#", _BIG_REFERENCE.sub("\ufffd", text))
         self.events.append((self._stack[-1], html.unescape(text)))
 
+    def _depth(self, tags: frozenset | set | tuple) -> int:
+        """The place on the stack of the innermost open element of these tags, or 0."""
+        return max((self._open_at[t][-1] for t in tags if self._open_at.get(t)), default=0)
+
     def _pop_to(self, depth: int) -> None:
         while len(self._stack) > depth:
             node = self._stack.pop()
+            self._open_at[self.tags[node]].pop()
             if self.tags[node] in _BLOCK:
+                self._open_blocks.pop()
                 self.events.append((node, None))
 
     def _close_open(self, tags: frozenset | set, limits: frozenset | set) -> None:
-        for depth in range(len(self._stack) - 1, 0, -1):
-            tag = self.tags[self._stack[depth]]
-            if tag in tags:
-                self._pop_to(depth)
-                return
-            if tag in limits:
-                return
+        depth = self._depth(tags)
+        if depth > self._depth(limits):
+            self._pop_to(depth)
 
     def _open(self, tag: str, rest: str) -> None:
         if tag in _BLOCK:
@@ -139,52 +180,109 @@ class Page:
         elif tag in _BLOCK:
             self.events.append((node, None))
         if tag not in _VOID and not rest.endswith("/>") or tag in _BLOCK and tag != "hr":
+            self._open_at.setdefault(tag, []).append(len(self._stack))
+            if tag in _BLOCK:
+                self._open_blocks.append(len(self._stack))
             self._stack.append(node)
 
     def _close(self, tag: str) -> None:
         if tag in _STAY_OPEN:
             return
-        for depth in range(len(self._stack) - 1, 0, -1):
-            open_tag = self.tags[self._stack[depth]]
-            if open_tag == tag:
-                self._pop_to(depth)
-                return
-            if open_tag in _BLOCK and tag not in _BLOCK:
-                return
-        if tag == "p":
+        depth = self._depth((tag,))
+        if depth and (tag in _BLOCK or not self._open_blocks or self._open_blocks[-1] <= depth):
+            self._pop_to(depth)
+        elif tag == "p":
             self.events.append((self._stack[-1], None))
 
 
+def _named(names: tuple[str, ...], inside: bool) -> str:
+    """What class names and ids say an element is: ``comments``, ``other`` parts outside an article, or nothing.
+    Only the head of a name counts, its last word before words for boxes and places."""
+    said = ""
+    for name in names:
+        words = _NAME.findall(name)
+        if not words or words[0] in ("has", "with", "no", "is"):
+            continue
+        head = len(words)
+        while head > 1 and (words[head - 1] in _BOXES or words[head - 1].isdigit()):
+            head -= 1
+        if _COMMENT_NAMES.fullmatch(words[head - 1]):
+            return "comments"
+        if _DROP_NAMES.fullmatch(words[head - 1]) or (
+                not inside and ("".join(words) in _HEADER_NAMES or words[head - 1] == "header")):
+            said = "other"
+    return said
+
+
 def _dropped(page: Page) -> list[bool]:
-    """Whether each element, or one around it, is no part of an article."""
-    tags, parents = page.tags, page.parents
-    holds = [False] * len(tags)
-    for node in range(len(tags) - 1, 0, -1):
+    """Whether each element, or one around it, is no part of an article.
+
+    Tags and roles decide. A name, or a ``form``, is evidence only: around the densest element and with more
+    text than there is outside such elements it stands for the article's own wrapper; elsewhere it counts if
+    the element has little text or mostly links, or names comments.
+    """
+    tags, parents, size = page.tags, page.parents, len(page.tags)
+    holds = [False] * size
+    for node in range(size - 1, 0, -1):
         if holds[node] or tags[node] in _LANDMARKS or page.roles[node] == "main":
             holds[parents[node]] = True
-    out, inside = [False] * len(tags), [False] * len(tags)
-    for node in range(1, len(tags)):
+    sure, inside, said = [False] * size, [False] * size, [""] * size
+    for node in range(1, size):
         tag, up = tags[node], parents[node]
         inside[node] = inside[up] or tag in _LANDMARKS
-        if out[up]:
-            out[node] = True
-        elif tag in _RAW or tag in _DROP_TAGS and not holds[node]:
-            out[node] = True
+        if sure[up] or tag in _RAW or tag in _DROP_TAGS and not holds[node]:
+            sure[node] = True
         elif tag == "body" or holds[node]:
             pass
-        elif page.roles[node] in _DROP_ROLES and not inside[node]:
-            out[node] = True
-        elif tag == "header" and not inside[node]:
+        elif not inside[node] and (page.roles[node] in _DROP_ROLES or tag == "header"):
+            sure[node] = True
+        else:
+            said[node] = _named(page.names[node], inside[node])
+            if tag in _LANDMARKS and said[node] != "comments":
+                said[node] = ""
+            elif tag == "form" and not said[node]:
+                said[node] = "form"
+    if not any(said):
+        return sure
+    # Of each element, the blocks with text.
+    block, parts = list(range(size)), [0] * size
+    for node in range(1, size):
+        if tags[node] not in _BLOCK:
+            block[node] = block[parents[node]]
+    for node, text in page.events:
+        if text and not sure[node] and not text.isspace():
+            parts[block[node]] = 1
+    for node in range(size - 1, 0, -1):
+        parts[parents[node]] += parts[node]
+    # No wrapper: comments, and what has one block. The densest element is sought elsewhere first.
+    doubtful = sure[:]
+    for node in range(1, size):
+        doubtful[node] |= doubtful[parents[node]] or said[node] == "comments" or bool(said[node]) and parts[node] < 2
+    counts, density, sums = _densities(page, doubtful)
+    if not counts.chars[0]:
+        counts, density, sums = _densities(page, sure)
+    path, node = set(), _densest(page, density, sums)
+    while node >= 0:
+        path.add(node)
+        node = parents[node]
+    every = _densities(page, sure)[0]
+    plain = [c - k for c, k in zip(every.chars, every.link_chars)]
+    # Of each element its text without links outside any such element in it.
+    own, lost = plain[:], [0] * size
+    for node in range(size - 1, 0, -1):
+        own[node] -= lost[node]
+        lost[parents[node]] += plain[node] if said[node] else lost[node]
+    outside = plain[0] - lost[0]
+    out = sure[:]
+    for node in range(1, size):
+        if out[node] or out[parents[node]]:
             out[node] = True
-        elif page.names[node] and (tag not in _LANDMARKS or any(n.startswith("comment") for n in page.names[node])):
-            for name in page.names[node]:
-                words = _NAME.findall(name)
-                if words and words[0] in ("has", "with", "no", "is"):
-                    continue
-                if any(_DROP_NAMES.fullmatch(w) for w in words) or (
-                        not inside[node] and ("".join(words) in _HEADER_NAMES or words[-1:] == ["header"])):
-                    out[node] = True
-                    break
+        elif said[node]:
+            wrapper = node in path and parts[node] > 1 and plain[node] > outside
+            if wrapper and (said[node] != "form" or plain[node] >= _LITTLE) and (said[node] != "comments" or not outside):
+                outside += own[node]
+            elif said[node] != "other" or plain[node] < max(_LITTLE, outside / 4) or every.link_chars[node] >= plain[node]:
+                out[node] = True
     return out
 
 
@@ -241,6 +339,13 @@ def _densities(page: Page, out: list[bool]) -> tuple[_Counts, list[float], list[
     return counts, density, sums
 
 
+def _densest(page: Page, density: list[float], sums: list[float]) -> int:
+    leaf = [True] * len(page.tags)
+    for up in page.parents[1:]:
+        leaf[up] = False
+    return max(range(len(page.tags)), key=lambda n: (density[n] if leaf[n] else sums[n], -n))
+
+
 def _runs(page: Page, out: list[bool], above: set[int], target: int) -> list[tuple[list[int], set[int]]]:
     """The runs of text that stand directly in an element of the path, with the inline elements in between:
     places among the events, and those elements. A run ends where a block begins or ends."""
@@ -277,10 +382,7 @@ def _chosen(page: Page, out: list[bool]) -> tuple[list[bool], set[int]]:
     directly in elements around it and do."""
     tags, parents = page.tags, page.parents
     counts, density, sums = _densities(page, out)
-    leaf = [True] * len(tags)
-    for node in range(1, len(tags)):
-        leaf[parents[node]] = False
-    target = max(range(len(tags)), key=lambda n: (density[n] if leaf[n] else sums[n], -n))
+    target = _densest(page, density, sums)
     path = [target]
     while path[-1] > 0 and tags[path[-1]] != "body":
         path.append(parents[path[-1]])
@@ -309,6 +411,7 @@ def _chosen(page: Page, out: list[bool]) -> tuple[list[bool], set[int]]:
             chosen[node] |= density[node] > 0 and reaches(*of(node))
     if around:
         chosen[around[-1]] = True
+    _add_weak_siblings(page, out, above, counts, chosen)
     bare: set[int] = set()
     for places, inline in _runs(page, out, above, target):
         chars = link_chars = 0
@@ -325,6 +428,23 @@ def _chosen(page: Page, out: list[bool]) -> tuple[list[bool], set[int]]:
     return [c and not o for c, o in zip(chosen, out)], bare
 
 
+def _add_weak_siblings(page: Page, out: list[bool], above: set[int], counts: _Counts, chosen: list[bool]) -> None:
+    """Adds the short blocks of an article: children of the path's elements, not mostly links, that stand
+    between two kept ones, and paragraphs beside a kept paragraph or one around the densest element."""
+    children: dict[int, list[int]] = {}
+    for node in range(1, len(page.tags)):
+        if page.parents[node] in above and not out[node]:
+            children.setdefault(page.parents[node], []).append(node)
+    for nodes in children.values():
+        kept = [i for i, n in enumerate(nodes) if chosen[n] or n in above]
+        if not kept:
+            continue
+        paragraphs = any(page.tags[nodes[i]] == "p" for i in kept)
+        for i, node in enumerate(nodes):
+            if node not in above and 2 * counts.link_chars[node] <= counts.chars[node]:
+                chosen[node] |= kept[0] < i < kept[-1] or paragraphs and page.tags[node] == "p"
+
+
 def main_text(source: str) -> str:
     """The article of a page: its blocks in order, one a line, white space as one space."""
     page = Page(source)

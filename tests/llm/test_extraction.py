@@ -1,9 +1,14 @@
+import math
+import os
+import random
 import re
+import time
 
 import pytest
 
-from gridsight.llm.extraction import extracted, main_text
+from gridsight.llm.extraction import Page, _densities, extracted, main_text
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ARTICLE = "<p>First paragraph of the story, long enough to count as text.</p><p>Second  &amp;\n last <b>para</b>graph, also long.</p>"
 TEXT = "First paragraph of the story, long enough to count as text.\nSecond & last paragraph, also long."
 
@@ -88,3 +93,117 @@ def test_column(spark):
     df = spark.createDataFrame([(1, f"<article>{ARTICLE}</article>", "x"), (1, None, None)], "page_id int, html string, text string")
     assert sorted(r[0] for r in df.select(extracted("html")).collect()) == sorted([TEXT, ""])
     assert df.limit(0).select(extracted("html")).count() == 0
+
+
+WRAPPERS = ["content-sidebar-wrap", "layout-2-sidebar", "share-price-report", "post overlay", "article-body promo",
+            "content rail-left", "widget-content", "copyright-law"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_an_article_does_not_vanish_because_of_its_class(name):
+    paragraphs = "".join(f"<p>{LONG}{i}</p>" for i in range(4))
+    page = f"<body><nav>menu</nav><div class='ad'>Buy this thing now.</div><div class='{name}'>{paragraphs}</div><footer>foot</footer></body>"
+    assert main_text(page).split("\n") == [f"{LONG}{i}" for i in range(4)]
+    short = f"<body><div class='ad'>Buy this long and dense thing now, or never again.</div><div class='{name}'><h1>Head</h1><p>Few words<br></p></div></body>"
+    assert main_text(short) == "Head\nFew words"
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_supplied_pages_with_another_element_for_the_article(spark, name):
+    for row in spark.read.parquet(f"{SF_DIR}/pages.parquet").select("html").toLocalIterator():
+        page = row.html or ""
+        assert main_text(page.replace("<article>", f"<div class='{name}'>").replace("</article>", "</div>")) == main_text(page)
+
+
+def test_named_parts_go_and_long_ones_beside_an_article_may_stay():
+    paragraphs = f"<p>{LONG}</p>" * 4
+    for name in ("sidebar-left", "cookie-notice-wrapper", "related-posts", "comment-list", "newsletter_box", "ad-container-2"):
+        page = f"<div>{paragraphs}</div><div class='{name}'><p>{LONG}x</p><p>More.</p></div>"
+        assert main_text(page).split("\n") == [LONG.strip()] * 4, name
+    comments = f"<div class=comments>{'<p>I say: ' + LONG + '</p>'}</div>" * 9
+    for name in ("post overlay", "sidebar-wrap"):
+        assert main_text(f"<div class='{name}'>{paragraphs}</div>{comments}").split("\n") == [LONG.strip()] * 4
+    assert main_text(f"<div>{paragraphs}<p class='alert-level-report'>{LONG}</p></div>").count("\n") == 4
+
+
+def test_a_form_around_the_page():
+    paragraphs = f"<p>{LONG}</p>" * 8
+    assert main_text(f"<form><nav>menu</nav><div>{paragraphs}</div></form>").split("\n") == [LONG.strip()] * 8
+    assert main_text(f"<div>{paragraphs}</div><form><p>Your name</p><p>Your mail</p></form>").split("\n") == [LONG.strip()] * 8
+
+
+def test_weak_blocks_between_kept_ones_stay():
+    page = f"<body><div><h1>T</h1><p><b>{LONG}<br></p><p>ab</p><p>{LONG}</p><p>cd</p></div><p><a href=/x>link</a></p></body>"
+    assert main_text(page).split("\n") == ["T", LONG.strip(), "ab", LONG.strip(), "cd"]
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, '<a "' * 250_000, '<a ">" "' * 120_000, "<div>" * 100_000, "<p><table><td>" + "<div>" * 100_000,
+    "<b>" * 50_000 + "</i>" * 100_000, "<div class=ad>z</div>" + "<b>x" * 50_000, "<!-- " * 200_000,
+    "&#" + "1" * 9000 + ";x &#" + "0" * 6000 + "65;",
+])
+def test_broken_pages_take_time_in_proportion(page):
+    start = time.process_time()
+    main_text(page)
+    assert time.process_time() - start < 10
+
+
+def test_markup_that_never_ends_is_no_text():
+    assert main_text(f"<p>{LONG}</p><a href='x") == LONG.strip()
+
+
+class Plain:
+    """The method by a tree and recursion, for well-formed pages without any part to be taken out."""
+
+    def __init__(self, tag):
+        self.tag, self.children = tag, []
+
+    def text(self, linked=None):
+        def of(node, link):
+            link = link or node.tag == "a"
+            for child in node.children:
+                if isinstance(child, str):
+                    yield len(" ".join(child.split())) if linked is None or link else 0
+                else:
+                    yield from of(child, link)
+        return sum(of(self, False))
+
+    def all(self):
+        return [x for c in self.children if not isinstance(c, str) for x in [c, *c.all()]]
+
+    def density(self, whole):
+        chars, links = self.text(), self.text(True)
+        if not chars:
+            return 0.0
+        tags, link_tags = max(len(self.all()), 1), max(sum(x.tag == "a" for x in self.all()), 1)
+        base = math.log(chars / max(chars - links, 1) * max(links, 1) + whole * chars + math.e)
+        return chars / tags * max(math.log(chars / max(links, 1) * tags / link_tags), 0) / math.log(base)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_density_sums_equal_a_recursive_version(seed):
+    chance = random.Random(seed)
+
+    def grow(tag, depth):
+        node = Plain(tag)
+        for _ in range(chance.randint(1, 4)):
+            if depth < 4 and tag in ("div", "section", "html") and chance.random() < 0.7:
+                node.children.append(grow(chance.choice(["div", "section", "p"]), depth + 1))
+            elif tag != "a" and chance.random() < 0.2:
+                node.children.append(grow("a", depth + 1))
+            elif not node.children or not isinstance(node.children[-1], str):
+                node.children.append("word " * chance.randint(1, 30))
+        return node
+
+    def write(node):
+        return "".join(c if isinstance(c, str) else f"<{c.tag}>{write(c)}</{c.tag}>" for c in node.children)
+
+    root = grow("html", 0)
+    page = Page(write(root))
+    counts, density, sums = _densities(page, [False] * len(page.tags))
+    nodes = [root, *root.all()]
+    whole = root.text(True) / max(root.text(), 1)
+    assert page.tags == [n.tag for n in nodes] and counts.chars == [n.text() for n in nodes]
+    for node, d, s in zip(nodes, density, sums):
+        assert d == pytest.approx(node.density(whole))
+        assert s == pytest.approx(sum(c.density(whole) for c in node.children if not isinstance(c, str)))
