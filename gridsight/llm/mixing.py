@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from gridsight.llm.common import kept, utf8
+from gridsight.llm.common import kept, unused, utf8
 
 #: Weights of the sources in code point order, repeated.
 WEIGHTS = (1, 2, 3)
@@ -145,7 +145,8 @@ def mixed_documents(
     docs: DataFrame, text: str = "text", weights: tuple = WEIGHTS, most: int = MAX_EPOCHS, seed: int = 0
 ) -> DataFrame:
     """The mix itself: a row for each use of a document, with the number of the ``epoch`` and, of a
-    document that crosses the budget, only its first words.
+    document that crosses the budget, only its first words. Where the documents have a column of that
+    name, the number's column is ``epoch_``.
 
     Of the mix only each source's cut is kept, one row a source: the key at which its budget ends. The
     documents are then read once more and decided where they lie; none is shuffled but those with a
@@ -180,4 +181,4 @@ def mixed_documents(
         .where("_part > 0")
         .select(F.col("_doc").withField(text, _first_words(body, F.col("_part"))).alias("_doc"),
                 (F.col("_epochs") + 1).alias("epoch")))
-    return complete.unionByName(crossing).select("_doc.*", "epoch")
+    return complete.unionByName(crossing).select("_doc.*", F.col("epoch").alias(unused(docs, "epoch")))

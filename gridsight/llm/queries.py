@@ -128,17 +128,19 @@ query(op7_toxicity)
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = new_folder(spark, "ledger")
-    secret_scan.scan_load(table(spark, sf_dir, "documents"), ledger, "1", rules=secret_scan.LINE_RULES)
+    secret_scan.scan_load(table(spark, sf_dir, "documents"), ledger, "1")
     base = F.filter("spans", lambda s: s["nth"] < len(secret_scan.BASE_RULES))
 
     def count(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
-    return secret_scan.report(spark, ledger, "1", secret_scan.LINE_RULES).select(
+    return secret_scan.report(spark, ledger, "1").select(
         F.col("path").alias("doc_id"), count("assign"), count("access"), count("hex"),
         F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed("spans").alias("spans"))
 
 
+#: As RULES, but for private keys, whose END line SQL cannot tie to its BEGIN line: it has the BEGIN line alone,
+#: which is the same on tables without keys. The tests hold whole keys against a search by hand.
 _KINDS = {
     "assign": """([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
     "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]{32,}",

@@ -8,10 +8,11 @@ only with the rule versions that it was never scanned with; findings are joined
 Findings and marks are only ever added to, whatever becomes of the paths of the load that added them: a
 blob's findings under a rule version depend on its text alone. Marks are written last, so what a failed load
 left unmarked is scanned again; findings that it had written are then there twice and count once. A load
-that is repeated replaces its own paths.
+that is repeated replaces its own paths. A report or redaction is stored in a folder of its own, so that it stays as
+it was when others follow.
 
 Cases: a NULL text is the empty text and has no findings; paths may be NULL or repeat, and each row is
-reported; an empty table makes an empty load. Columns other than the path and the text are not stored.
+reported; an empty table makes an empty load; a very long text is one blob and is matched whole. Columns other than the path and the text are not stored.
 """
 
 from __future__ import annotations
@@ -21,6 +22,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridsight.llm.common import kept
+
+#: Unseen blobs of a load that are broadcast, 32 bytes each, to leave out all other texts.
+MAX_BROADCAST = 500_000
+
 
 class Rule(NamedTuple):
     """A kind of secret: all leftmost matches of the pattern that do not overlap, of which those whose
@@ -45,7 +51,7 @@ BASE_RULES = (
     Rule("hex", 1, r"[0-9a-f]{32,}"),
 )
 _FORGE = Rule("forge", 1, r"gh[pousr]_[A-Za-z0-9]{36,}")
-#: The rules as op4's SQL has them, where a private key is found by its BEGIN line alone.
+#: The rules where a private key is found by its BEGIN line alone.
 LINE_RULES = (*BASE_RULES, Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"), _FORGE)
 
 #: What parts the lines of a key: white space, also as written in strings, and the marks of quoted lines.
@@ -125,21 +131,35 @@ def scan_load(
     every = F.array(*(F.lit(r.name) for r in rules))
     todo = F.array_except(every, F.coalesce("known", F.array().cast("array<string>")))
     fresh = spark.read.parquet(paths).select("blob").distinct().join(known, "blob", "left").select("blob", todo.alias("rules"))
-    unseen = fresh.where(F.size("rules") > 0)
-    texts = versions.groupBy("blob").agg(F.first("text").alias("text"))
-    spans(texts.join(unseen, "blob"), rules).write.mode("append").parquet(findings)
+    unseen = kept(fresh.where(F.size("rules") > 0), "unseen")
+    spans(unseen_texts(versions, unseen), rules).write.mode("append").parquet(findings)
     unseen.write.mode("append").parquet(marks)
 
 
+def unseen_texts(versions: DataFrame, unseen: DataFrame, most: int = MAX_BROADCAST) -> DataFrame:
+    """(blob, text, rules) of the unseen blobs. Where ``most`` or fewer are unseen, the other versions' texts go
+    before the shuffle; else each task sends one text of every blob it has."""
+    few = unseen.limit(most + 1).count() <= most
+    wanted = versions.join(F.broadcast(unseen.select("blob")), "blob", "left_semi") if few else versions
+    return wanted.groupBy("blob").agg(F.first("text").alias("text")).join(unseen, "blob")
+
+
+def _found(spark: SparkSession, ledger: str, rules: tuple[Rule, ...], load: str | None) -> DataFrame:
+    """Findings under the rules given: those of the load's blobs, whichever load found them, or all."""
+    found = spark.read.schema(_FINDINGS).parquet(f"{ledger}/findings").where(F.col("rule").isin([r.name for r in rules]))
+    if load is None:
+        return found
+    return found.join(spark.read.parquet(_folder(ledger, "paths", load)).select("blob"), "blob", "left_semi")
+
+
 def report(spark: SparkSession, ledger: str, load: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(path, blob, spans) of every path of a load; spans (start, nth, kind, end) of the rules given, by
     start and then rule order, from whichever load found them."""
     order = F.create_map(*(F.lit(x) for i, r in enumerate(rules) for x in (r.name, i)))
-    found = spark.read.schema(_FINDINGS).parquet(f"{ledger}/findings").where(F.col("rule").isin([r.name for r in rules]))
+    found = _found(spark, ledger, rules, load)
     span = F.struct("start", order[F.col("rule")].alias("nth"), F.substring_index("rule", "@", 1).alias("kind"), "end")
     by_blob = found.groupBy("blob").agg(F.sort_array(F.collect_set(span)).alias("spans"))
-    by_blob.write.mode("overwrite").parquet(f"{ledger}/reports/load={load}")
-    stored = spark.read.schema(by_blob.schema).parquet(f"{ledger}/reports/load={load}")
+    stored = kept(by_blob, "report")
     none = F.array().cast(by_blob.schema["spans"].dataType)
     return spark.read.parquet(_folder(ledger, "paths", load)).join(stored, "blob", "left").select(
         "path", "blob", F.coalesce("spans", none).alias("spans"))
@@ -152,18 +172,17 @@ def listed(found: Column | str) -> Column:
 
 def redact(
     docs: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...] = RULES, mark: str = "[secret]",
-    length: str | None = None,
+    length: str | None = None, load: str | None = None,
 ) -> DataFrame:
     """The documents with every span of their blob's findings, of any load, replaced by a mark;
-    overlapping spans by one. The column ``length``, if named, follows the changed texts."""
-    spark = docs.sparkSession
-    found = spark.read.schema(_FINDINGS).parquet(f"{ledger}/findings").where(F.col("rule").isin([r.name for r in rules]))
+    overlapping spans by one. The column ``length``, if named, follows the changed texts. ``load``, if
+    named, is one that holds all the documents: findings of other blobs are then left aside."""
+    found = _found(docs.sparkSession, ledger, rules, load)
     by_blob = found.groupBy("blob").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
-    by_blob.write.mode("overwrite").parquet(f"{ledger}/redactions")
-    spans_of = spark.read.schema(by_blob.schema).parquet(f"{ledger}/redactions")
+    spans_of = kept(by_blob, "redaction")
     body = F.col("_doc").getField(text)
     empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    kept = F.aggregate(
+    rest = F.aggregate(
         "spans", empty,
         lambda done, s: F.when(s["end"] <= done["at"], done).otherwise(F.struct(
             s["end"].alias("at"),
@@ -173,8 +192,8 @@ def redact(
         lambda done: F.concat(done["out"], F.substring(body, (done["at"] + 1).cast("int"), F.length(body))))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"))
     joined = rows.withColumn("blob", blob(body)).join(spans_of, "blob", "left")
-    changed = F.col("_doc").withField(text, kept)
+    changed = F.col("_doc").withField(text, rest)
     if length:
-        changed = changed.withField(length, F.length(kept).cast(docs.schema[length].dataType))
+        changed = changed.withField(length, F.length(rest).cast(docs.schema[length].dataType))
     return joined.select(
         F.when(F.col("spans").isNull(), F.col("_doc")).otherwise(changed).alias("_doc")).select("_doc.*")

@@ -208,12 +208,19 @@ def one_of_each(
     docs: DataFrame, text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
 ) -> DataFrame:
     """The documents without near-duplicates: of each component the row with the least doc_id, in its
-    own columns. Rows that repeat that id with another text give way to the one with the lesser text
-    hash, rows that repeat both to the least in all columns."""
-    name = F.struct(F.xxhash64("doc_id", text).alias("x"), F.xxhash64(text, "doc_id").alias("y"))
+    own columns, of any types. Rows that repeat that id with another text give way to the one with the lesser
+    text hash, rows that repeat both to the least when all columns are written as text."""
+    parts = [F.col("doc_id").isNull(), F.col("doc_id"), F.col(text).isNull(), F.col(text)]
+    name = F.struct(F.xxhash64(*parts).alias("x"), F.xxhash64(*reversed(parts)).alias("y"))
     rows = kept(docs.select("doc_id", name.alias("row"), fingerprint(text, shingle).alias("fp")), "fingerprints")
     first = rows.join(components(rows, distance), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = kept(first.groupBy("component").agg(F.min("row").alias("row")).select("row.x", "row.y"), "chosen")
+    counted = first.groupBy("component", "row").agg(F.count(F.lit(1)).alias("n"))
+    chosen = kept(counted.groupBy("component").agg(F.min(F.struct("row", "n")).alias("c")).select("c.row.x", "c.row.y", "c.n"), "chosen")
     named = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), name.alias("row")).select(
         "doc", F.col("row.x").alias("x"), F.col("row.y").alias("y"))
-    return named.join(chosen, ["x", "y"], "left_semi").groupBy("x", "y").agg(F.min("doc").alias("doc")).select("doc.*")
+    out = named.join(chosen.where("n = 1"), ["x", "y"], "left_semi").select("doc")
+    repeated = chosen.where("n > 1")
+    if not repeated.isEmpty():
+        again = named.join(repeated, ["x", "y"], "left_semi")
+        out = out.unionByName(again.groupBy("x", "y").agg(F.min_by("doc", F.col("doc").cast("string")).alias("doc")).select("doc"))
+    return out.select("doc.*")

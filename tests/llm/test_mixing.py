@@ -92,3 +92,11 @@ def test_small_tables(spark, data):
     df = spark.createDataFrame(data, SCHEMA)
     assert mixing.mix(df).count() == len(data)
     assert mixing.mixed_documents(df).count() == len([d for d in data if d[1]])
+
+
+def test_documents_with_an_epoch_of_their_own(spark, folder):
+    df = spark.createDataFrame([(1, "x y", "a", "old"), (2, "z " * 500_000, "b", "old")], "doc_id int, text string, source string, Epoch string")
+    mixed = mixing.mixed_documents(df)
+    mixed.write.parquet(f"{folder}/mix")
+    assert mixed.columns == ["doc_id", "text", "source", "Epoch", "epoch_"]
+    assert {(r.Epoch, r.epoch_ > 0) for r in spark.read.parquet(f"{folder}/mix").collect()} == {("old", True)}

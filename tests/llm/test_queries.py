@@ -60,3 +60,19 @@ def test_stages_on_empty_and_odd_tables(spark, folder):
             docs = corpus_pipeline.kept(stage(spark, docs, folder), name)
         assert {r.doc_id for r in docs.collect()} == ({2} if want else set())
     assert docs.first().text == "[secret] here" and docs.first().n_chars == 13
+
+
+def test_stages_with_further_columns(spark, folder):
+    """Columns named as the stages name their own, one of a type without an order."""
+    for table in ("labels", "benchmark"):
+        spark.read.parquet(f"{FOLDER}/{table}.parquet").write.parquet(f"{folder}/{table}.parquet")
+    extra = ["fp", "blob", "spans", "score", "toxic", "key", "component", "epoch", "_doc"]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{c} string" for c in extra) + ", row map<string, int>"
+    rows = [(i, t, "en", "s", 0, *extra, {"k": i % 2}) for i, t in enumerate(["token=abcdefgh here and there", "quite another text", "quite another text"])]
+    docs = spark.createDataFrame(rows + rows[1:2], schema)
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.kept(stage(spark, docs, folder), name)
+        assert docs.columns == columns + (["epoch_"] if name == "mixing" else []), name
+    assert {(r.doc_id, r.text, r.fp, r.row["k"]) for r in docs.collect()} == {
+        (0, "[secret] here and there", "fp", 0), (1, "quite another text", "fp", 1)}

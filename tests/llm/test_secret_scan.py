@@ -132,3 +132,55 @@ def test_empty_and_native(spark, folder):
     plan = s.spans(spark.createDataFrame([], "blob binary, text string, rules array<string>"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert s.report(spark, folder, "1").select(F.size("spans")).count() == 0
+
+
+def test_results_stay_when_others_follow(spark, folder):
+    docs = spark.createDataFrame([(1, "token=abcdefgh " + "ab" * 16), (2, "clean")], "doc_id bigint, text string")
+    s.scan_load(docs, folder, "1")
+    some = (s.BASE_RULES[0],)
+    reports = [s.report(spark, folder, "1", r) for r in (s.RULES, some)]
+    cuts = [s.redact(docs, folder, rules=s.RULES, load="1"), s.redact(docs, folder, rules=some), s.redact(docs.where("doc_id = 2"), folder)]
+    assert [sum(len(r.spans) for r in x.collect()) for x in reports] == [2, 1]
+    assert [sorted(r.text for r in x.collect()) for x in cuts] == [["[secret] [secret]", "clean"], ["[secret] " + "ab" * 16, "clean"], ["clean"]]
+
+
+def test_a_load_reports_its_own_blobs(spark, folder):
+    for load, rows in (("1", [(1, "token=abcdefgh"), (2, "secret=12345678")]), ("2", [(3, "token=abcdefgh"), (4, None)])):
+        s.scan_load(spark.createDataFrame(rows, "doc_id bigint, text string"), folder, load)
+    assert s._found(spark, folder, s.RULES, "2").count() == 1 and s._found(spark, folder, s.RULES, None).count() == 2
+    assert {p: len(x) for p, x in report(spark, folder, "2")} == {3: 1, 4: 0}
+
+
+def test_known_texts_are_left_before_the_shuffle(spark, folder):
+    rows = [(i, f"token=abcdefgh{i % 7}") for i in range(50)] + [(99, None)]
+    path = f"{folder}/docs"
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    versions = docs.select("text", s.blob("text").alias("blob"))
+    unseen = spark.createDataFrame([(bytes(r.blob), ["assign@1"]) for r in versions.where("doc_id < 2").collect()], "blob binary, rules array<string>")
+    texts = {m: s.unseen_texts(versions, unseen, m) for m in (2, 1)}
+    assert {m: sorted(r.text for r in x.collect()) for m, x in texts.items()} == {m: ["token=abcdefgh0", "token=abcdefgh1"] for m in (2, 1)}
+    plan = texts[2]._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi, BuildRight" in plan[plan.index("Exchange hashpartitioning(blob"):], "texts meet the unseen blobs before they move"
+
+
+def test_query_reports_whole_keys(spark, folder):
+    """The query against a search by hand for what its SQL cannot say, on keys that have their END line."""
+    from gridsight.llm.queries import QUERIES
+
+    rows = [(1, f"é {PEM} and token=abcdefgh1 {PGP}"), (2, PEM), (3, "no key"), (4, None), (5, PEM + PEM)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    want = {}
+    for doc, text in rows:
+        at, spans = 0, [(a, n, k, b) for a, n, k, b in base(text or "")]
+        while (start := (text or "").find("-----BEGIN ", at)) >= 0:
+            at = text.index("-----", text.index("-----END ", start) + 5) + 5
+            spans.append((start, 3, "pem", at))
+        want[doc] = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))
+    assert {r.doc_id: r.spans for r in QUERIES["op4_secret_scan"](spark, folder).collect()} == want
+
+
+def test_a_very_long_text(spark, folder):
+    text = "x" * 3_000_000 + " token=abcdefgh " + "é " * 500_000 + "ab" * 16
+    s.scan_load(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), folder, "1")
+    assert next(iter(report(spark, folder)))[1] == ((3_000_001, 0, "assign", 3_000_015), (len(text) - 32, 2, "hex", len(text)))

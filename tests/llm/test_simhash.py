@@ -95,6 +95,15 @@ def test_one_of_each_keeps_whole_rows(spark):
     assert got == sorted([(1, "A b c d", "r"), (8, "", "v"), (7, "something else here", "w"), (None, "only this", "z")], key=str)
 
 
+def test_one_of_each_with_any_columns_and_ids(spark):
+    rows = [("abc", None, {"k": 1}, {"k": 2}), (None, "abc", {"k": 1}, None), ("b", "x y z w", {"k": 2}, None),
+            ("b", "x y z w", {"k": 1}, None), ("b", "x y z w", {"k": 1}, None), ("c", "x y z w", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, fp map<string, int>, row map<string, int>")
+    got = sorted((r.doc_id or "", r.text, r.fp) for r in simhash.one_of_each(docs).collect())
+    assert got == [("", "abc", {"k": 1}), ("abc", None, {"k": 1}), ("b", "x y z w", {"k": 1})]
+    assert simhash.one_of_each(docs).columns == docs.columns
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     assert simhash.near_duplicates(docs).count() == 0
