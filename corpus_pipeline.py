@@ -4,6 +4,11 @@ Toxic documents go; of each group of near-duplicates one document stays; documen
 benchmark go; secrets are cut out of the texts; the sources are mixed to their target weights. A stage
 takes (spark, docs, sf_dir) and works on all that the one before it kept, which is written as Parquet and
 read again in between. All but the last return the columns of ``documents``.
+
+Cases: a NULL id or source is a value like others; NULL and empty texts are near-duplicates of one another and
+not used by the mix; of rows alike in all columns one stays; ties between copies go to the least id; very long
+texts are processed whole; an empty table gives no rows. Further columns of any name and type pass through
+every stage; where one is called ``epoch``, the mix's number is ``epoch_``.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Every finding of the ledger becomes a mark; a document's ``n_chars`` follows its text."""
     ledger = new_folder(spark, "ledger")
     secret_scan.scan_load(docs, ledger, "1")
-    return secret_scan.redact(docs, ledger, length="n_chars")
+    return secret_scan.redact(docs, ledger, length="n_chars", load="1")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
