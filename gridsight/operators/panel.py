@@ -1,17 +1,24 @@
 """Feeder time series: the period panel, labels, lags and input sequences for fault models.
 
-Panel windows run over one row per feeder and period, so a window partition is bounded by the
-calendar however many outages a feeder has. ``lag_features`` and ``has_future_*`` work on raw
-outage rows, where one feeder may hold a third of the table: they cut each feeder into time
-chunks, and carry over only what crosses a chunk's edge.
+Panels hold one row per feeder and period, so what is gathered of a feeder is bounded by the
+calendar however many outages it has. ``lag_features`` and ``has_future_*`` work on raw outage
+rows, where one feeder may hold a third of the table: the first two sort the rows into ranges and
+carry over the last rows of a range, the third aggregates each feeder's hours.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DataType, IntegerType, StructField, StructType
 
 from gridsight.functions.measures import Measure, aggregate
 from gridsight.operators.joins import stored
+from gridsight.session import shared_dir
 
 
 def period_start(at: str, unit: str) -> Column:
@@ -66,20 +73,33 @@ def _inputs(features: list[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in features])
 
 
+def _steps(panel: DataFrame, feeder: str, period: str, features: list[str], *more: str) -> DataFrame:
+    """A feeder's periods in order, each with its inputs, as one array: as long as the calendar."""
+    step = F.struct(F.col(period).alias("period"), _inputs(features).alias("inputs"), *more)
+    return panel.groupBy(feeder).agg(F.sort_array(F.collect_list(step)).alias("steps"))
+
+
+def _run(end: Column, length: int) -> Column:
+    """The inputs of the ``length`` periods up to the one at ``end``, counted from 1."""
+    return F.transform(F.slice("steps", end - (length - 1), F.lit(length)), lambda step: step["inputs"])
+
+
 def sliding_sequences(
     panel: DataFrame, feeder: str, period: str, features: list[str], target: str, length: int
 ) -> DataFrame:
-    """Each run of ``length`` periods of a feeder, labelled with the next row's target."""
-    order = Window.partitionBy(feeder).orderBy(period)
-    return (
-        panel.select(
-            feeder,
-            F.col(period).alias("last_period"),
-            F.collect_list(_inputs(features)).over(order.rowsBetween(1 - length, 0)).alias("sequence"),
-            F.lead(target).over(order).alias("label"),
-        )
-        .filter((F.size("sequence") == length) & F.col("label").isNotNull())
-    )
+    """Each run of ``length`` periods of a feeder, labelled with the next row's target.
+
+    The ordered periods are gathered once a feeder and runs are sliced from them by position.
+    """
+    gathered = _steps(panel, feeder, period, features, F.col(target).alias("target"))
+    ends = gathered.filter(F.size("steps") > length).select(
+        feeder, "steps", F.explode(F.sequence(F.lit(length), F.size("steps") - 1)).alias("end"))
+    return ends.select(
+        feeder,
+        F.element_at("steps", F.col("end"))["period"].alias("last_period"),
+        _run(F.col("end"), length).alias("sequence"),
+        F.element_at("steps", F.col("end") + 1)["target"].alias("label"),
+    ).filter(F.col("label").isNotNull())
 
 
 def dual_sequences(
@@ -107,23 +127,91 @@ def latest_sequences(
 ) -> DataFrame:
     """For every target period, each feeder's last ``length`` periods before it.
 
-    One window pass serves all targets: a row ends the history of a target when it lies before
-    the target and the feeder's next row does not. Feeders with a shorter history give no row.
+    The ordered periods are gathered once a feeder; a target's history ends at the last period
+    before it. Feeders with a shorter history give no row.
     """
-    order = Window.partitionBy(feeder).orderBy(period)
     wanted = F.array(*[F.lit(t).cast("date") for t in targets])
-    rows = panel.select(
+    before = F.filter("steps", lambda step: F.coalesce(step["period"] < F.col("target_period"), F.lit(True)))
+    ends = (
+        _steps(panel, feeder, period, features)
+        .select(feeder, "steps", F.explode(wanted).alias("target_period"))
+        .withColumn("end", F.size(before))
+        .filter(F.col("end") >= length)
+    )
+    return ends.select(
         feeder,
-        F.col(period).alias("last_period"),
-        F.lead(period).over(order).alias("next_period"),
-        F.collect_list(_inputs(features)).over(order.rowsBetween(1 - length, 0)).alias("sequence"),
-    ).filter(F.size("sequence") == length)
-    ends = F.filter(
-        wanted,
-        lambda t: (F.col("last_period") < t)
-        & (F.col("next_period").isNull() | (F.col("next_period") >= t)),
+        "target_period",
+        F.element_at("steps", F.col("end"))["period"].alias("last_period"),
+        _run(F.col("end"), length).alias("sequence"),
+    ).filter(F.col("last_period").isNotNull())
+
+
+def _after_rows(
+    df: DataFrame, feeder: str, order: list, value: Column, kind: DataType, names: dict[str, int]
+) -> DataFrame:
+    """``value`` of the row that lies ``names[name]`` rows before, where it is of the same feeder.
+
+    The rows are sorted by feeder and ``order`` into ranges, whatever a feeder's size, and
+    checkpointed, since a range computed anew could be cut elsewhere. Each range tells its last rows
+    (feeder and value, as many as the longest step); the last rows before a range are taken from these.
+    What reaches the driver is that: a step's length of values for each range. Then every range is
+    read once, in order, without another exchange.
+    """
+    shared_dir(df.sparkSession)
+    longest = max(names.values())
+    ranges = (
+        df.withColumns({"#feeder": F.col(feeder).cast("string"), "#value": value})
+        .orderBy(F.col(feeder), *order)
+        .withColumn("#range", F.spark_partition_id())
+        .checkpoint()
     )
-    return rows.select(feeder, F.explode(ends).alias("target_period"), "last_period", "sequence")
+    types = ranges.select("#feeder", "#value").schema
+    held = StructType([StructField("#range", IntegerType()), *types.fields])
+
+    def last_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = None
+        for batch in batches:
+            end = batch if end is None else _joined([end, batch])
+            end = end.slice(max(0, end.num_rows - longest))
+        if end is not None:
+            yield end
+
+    ends: dict[int, pa.RecordBatch] = {}
+    told = ranges.select("#range", "#feeder", "#value").mapInArrow(last_rows, held).orderBy("#range").toArrow()
+    before = told.slice(0, 0).select(["#feeder", "#value"])
+    for part in sorted(set(told.column("#range").to_pylist())):
+        ends[part] = before.combine_chunks()
+        own = told.filter(pc.equal(told.column("#range"), part)).select(["#feeder", "#value"])
+        before = pa.concat_tables([before, own])
+        before = before.slice(max(0, before.num_rows - longest))
+    carried = df.sparkSession.sparkContext.broadcast(ends)
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        past = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            if past is None:
+                past = carried.value[rows.column("#range")[0].as_py()]
+            own = rows.select(["#feeder", "#value"]).cast(past.schema)
+            seen = pa.concat_tables([past, own]).combine_chunks()
+            at = np.arange(past.num_rows, seen.num_rows)
+            feeders, values = seen.column("#feeder"), seen.column("#value")
+            out = rows.drop_columns(["#range", "#feeder", "#value"])
+            for name, back in names.items():
+                found = pa.array(at - back, mask=at < back)
+                same = pc.fill_null(pc.equal(feeders.take(found), own.column("#feeder")), False)
+                out = out.append_column(name, values.take(pc.if_else(same.combine_chunks(), found, None)))
+            past = seen.slice(max(0, seen.num_rows - longest))
+            yield from out.combine_chunks().to_batches()
+
+    added = [StructField(name, kind) for name in names]
+    return ranges.mapInArrow(follow, StructType([*df.schema.fields, *added]))
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
 def lag_features(
@@ -132,72 +220,28 @@ def lag_features(
     order: list[str],
     value: str,
     lags: int = 7,
-    chunk: Column | None = None,
     prefix: str | None = None,
 ) -> DataFrame:
     """``value`` of the feeder's 1..``lags`` previous rows, exact for feeders of any size.
 
-    Rows are ordered inside (feeder, chunk), a chunk being an hour of ``order[0]`` unless given.
-    A chunk's first rows also need the rows before it: every chunk contributes its last ``lags``
-    values, and a window over these small lists gives each chunk the values that precede it. The
-    list table is bounded by feeders x hours x lags. Rows without a feeder have no history.
+    ``order`` should leave no ties; NULLs come first, as in a window. The rows are exchanged once, into
+    sorted ranges (``_after_rows``), so one hour of one feeder, or all its rows without a time, may
+    hold any share of the table. Rows without a feeder have no history.
     """
     prefix = prefix or value
-    chunk = F.date_trunc("hour", F.col(order[0])) if chunk is None else chunk
-    inside = Window.partitionBy(feeder, "chunk").orderBy(*order)
-    backwards = Window.partitionBy(feeder, "chunk").orderBy(*[F.col(c).desc() for c in order])
-    rows = df.withColumn("chunk", chunk)
-
-    tails = (
-        rows.select(feeder, "chunk", *order, F.col(value).alias("v"))
-        .withColumn("back", F.row_number().over(backwards))
-        .filter(F.col("back") <= lags)
-        .groupBy(feeder, "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct("back", "v"))).alias("tail"))
-    )
-    earlier = Window.partitionBy(feeder).orderBy(F.col("chunk").desc()).rowsBetween(1, lags)
-    halo = tails.select(
-        feeder, "chunk", F.flatten(F.collect_list("tail").over(earlier)).alias("halo")
-    )
-    placed = rows.withColumns(
-        {"place": F.row_number().over(inside)}
-        | {f"in{k}": F.lag(value, k).over(inside) for k in range(1, lags + 1)}
-    )
-    joined = placed.join(halo, [feeder, "chunk"], "left")
-
-    def at(k: int) -> Column:
-        before = F.get("halo", F.lit(k) - F.col("place"))["v"]
-        found = F.when(F.col("place") > k, F.col(f"in{k}")).otherwise(before)
-        return F.when(F.col(feeder).isNotNull(), found).alias(f"{prefix}_lag_{k}")
+    names = {f"{prefix}_lag_{k}": k for k in range(1, lags + 1)}
+    return _after_rows(df, feeder, [F.col(c) for c in order], F.col(value), df.select(value).schema[0].dataType, names)
 
-    return joined.select(*df.columns, *[at(k) for k in range(1, lags + 1)])
 
-
-def has_future_rows(
-    df: DataFrame, feeder: str, order: list[str], ahead: int = 7, chunk: Column | None = None
-) -> DataFrame:
+def has_future_rows(df: DataFrame, feeder: str, order: list[str], ahead: int = 7) -> DataFrame:
     """1 where the feeder has at least ``ahead`` later rows.
 
-    Rows of later chunks are counted on the chunk table; ranks are needed inside a chunk only.
+    In falling order that is the same as an earlier row of the feeder ``ahead`` rows before. Rows
+    without a feeder have none.
     """
-    chunk = F.date_trunc("hour", F.col(order[0])) if chunk is None else chunk
-    rows = df.withColumn("chunk", chunk)
-    after = Window.partitionBy(feeder).orderBy("chunk").rowsBetween(1, Window.unboundedFollowing)
-    later = (
-        rows.groupBy(feeder, "chunk")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(feeder, "chunk", F.coalesce(F.sum("n").over(after), F.lit(0)).alias("later"))
-    )
-    backwards = Window.partitionBy(feeder, "chunk").orderBy(*[F.col(c).desc() for c in order])
-    ranked = rows.withColumn("back", F.row_number().over(backwards))
-    return (
-        ranked.join(later, [feeder, "chunk"], "left")
-        .withColumn(
-            "has_future",
-            F.coalesce(F.col("later") + F.col("back") - 1 >= ahead, F.lit(False)).cast("int"),
-        )
-        .drop("chunk", "back", "later")
-    )
+    falling = [F.col(c).desc() for c in order]
+    found = _after_rows(df, feeder, falling, F.lit(1), IntegerType(), {"has_future": ahead})
+    return found.fillna(0, ["has_future"])
 
 
 def has_future_days(

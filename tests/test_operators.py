@@ -164,6 +164,61 @@ def test_lags_cross_chunks(spark):
         pd.testing.assert_series_equal(have, want, check_names=False)
 
 
+@pytest.fixture
+def four_ranges(spark):
+    """No range is joined with its neighbour, however small."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def burst(spark):
+    """All rows of feeder a in one minute, half of them without a time; b after it, one row without a feeder."""
+    return spark.range(400).select(
+        F.when(F.col("id") == 399, None).when(F.col("id") % 40 == 0, "b").otherwise("a").alias("f"),
+        F.when(F.col("id") % 2 == 0, F.timestamp_seconds(F.col("id") % 60)).alias("at"), "id",
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("v"), "id")).alias("v"), F.array("id").alias("kept"))
+
+
+def test_a_burst_is_split_over_ranges(spark, four_ranges):
+    df = burst(spark)
+    got = panel.lag_features(df, "f", ["at", "id"], "v", 7)
+    plan = got._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    largest = max(got.groupBy(F.spark_partition_id()).count().toPandas()["count"])
+    assert largest < 200
+    order = "OVER (PARTITION BY f ORDER BY at, id)"
+    want = df.selectExpr("*", *[
+        f"CASE WHEN f IS NOT NULL THEN lag(v, {k}) {order} END AS v_lag_{k}" for k in range(1, 8)])
+    assert rows(got) == rows(want)
+
+
+def test_later_rows_of_a_burst(spark, four_ranges):
+    df = burst(spark)
+    want = df.selectExpr("*", """CAST(f IS NOT NULL AND lead(id, 90) OVER (PARTITION BY f ORDER BY at, id)
+      IS NOT NULL AS INT) AS has_future""")
+    assert rows(panel.has_future_rows(df, "f", ["at", "id"], 90)) == rows(want)
+
+
+def test_lags_reach_over_ranges_of_single_rows(spark, four_ranges):
+    df = spark.createDataFrame([("a", i, float(i)) for i in range(4)], "f string, at int, v double")
+    got = panel.lag_features(df, "f", ["at"], "v", 3)
+    assert rows(got, "at", "v_lag_1", "v_lag_3") == [(0, None, None), (1, 0.0, None), (2, 1.0, None), (3, 2.0, 0.0)]
+
+
+def test_lags_of_no_rows(spark):
+    none = spark.createDataFrame([], "f string, at int, v string")
+    got = panel.lag_features(none, "f", ["at"], "v", 2)
+    assert got.columns == ["f", "at", "v", "v_lag_1", "v_lag_2"] and got.count() == 0
+    assert panel.has_future_rows(none, "f", ["at"]).count() == 0
+
+
+def test_sequences_carry_no_arrays_through_a_window(spark):
+    got = panel.sliding_sequences(series(spark, {"a": [0, 1, 0, 1]}), "f", "p", ["x"], "flag", 2)
+    assert "Window" not in got._jdf.queryExecution().toString()
+    assert [(r.last_period, r.label) for r in got.orderBy("last_period").collect()] == [(1, 0), (2, 1)]
+
+
 def test_no_feeder_has_no_history(spark):
     df = spark.sql("SELECT CAST(NULL AS INT) AS f, timestamp_ntz'2024-01-01 00:00:00' AS at, id, 1.0D AS v FROM range(3)")
     got = panel.lag_features(df, "f", ["at", "id"], "v", 2)
