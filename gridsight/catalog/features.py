@@ -8,6 +8,8 @@ from gridsight.catalog.bindings import Tables, outages, with_views
 from gridsight.catalog.registry import query
 from gridsight.functions.measures import Measure
 from gridsight.operators import panel, learning
+from gridsight.operators.joins import stored
+from gridsight.session import new_folder
 
 MEASURES = [Measure("n", "count", "id"), Measure("amount", "sum", "amount", 0)]
 
@@ -193,6 +195,42 @@ def _(t):
     return learning.index_key(t.orders.select("o_orderkey", "o_custkey"), "o_custkey", "account_index")
 
 
+FIRST_YEARS = 1996
+
+
+def _fitted_sql(order: str) -> str:
+    """Codes of the accounts of the first years, then of the accounts that later years add."""
+    return f"""WITH seen AS (SELECT CAST(o_custkey AS VARCHAR) AS label,
+  count(*) FILTER (WHERE year(o_orderdate) < {FIRST_YEARS}) AS early, count(*) AS n FROM orders GROUP BY 1),
+known AS (SELECT label, row_number() OVER (ORDER BY {order.replace('n ', 'early ')}) - 1 AS code FROM seen WHERE early > 0),
+added AS (SELECT label, (SELECT count(*) FROM known) + row_number() OVER (ORDER BY {order}) - 1 AS code
+  FROM seen WHERE early = 0)
+SELECT o_orderkey, coalesce(known.code, -1) AS before, coalesce(known.code, added.code) AS account
+FROM orders LEFT JOIN known ON known.label = CAST(o_custkey AS VARCHAR)
+LEFT JOIN added ON added.label = CAST(o_custkey AS VARCHAR)"""
+
+
+def _fitted(t: Tables, by_count: bool) -> DataFrame:
+    """All orders, coded by the table fitted on the first years and by the same table once extended."""
+    rows = t.orders.select("o_orderkey", "o_orderdate", F.col("o_custkey").alias("account"))
+    path = new_folder(t.spark, "codes")
+    learning.extend_codes(rows.filter(F.year("o_orderdate") < FIRST_YEARS), ["account"], path, by_count)
+    before = learning.apply_codes(rows, ["account"], path).select("o_orderkey", F.col("account").alias("before"))
+    before = stored(before, "coded")
+    learning.extend_codes(rows, ["account"], path, by_count)
+    return learning.apply_codes(rows, ["account"], path).drop("o_orderdate").join(before, "o_orderkey")
+
+
+@query("encode_fitted", _fitted_sql("label"))
+def _(t):
+    return _fitted(t, by_count=False)
+
+
+@query("index_fitted", _fitted_sql("n DESC, label"))
+def _(t):
+    return _fitted(t, by_count=True)
+
+
 @query("ordered_split", f"""WITH {panel_sql('service', 'month')},
 counts AS (SELECT period, count(*) AS c FROM panel GROUP BY 1),
 cut AS (SELECT min(period) AS cutoff FROM (SELECT period, sum(c) OVER (ORDER BY period) AS upto,

@@ -22,7 +22,7 @@ from gridsight.plans.monthly import (
 )
 from gridsight.plans.outages import clean_outages
 from gridsight.session import new_folder
-from gridsight.sources import extracts, journal, tables
+from gridsight.sources import checks, extracts, journal, tables
 from gridsight.streaming import arrivals
 
 ORDER_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
@@ -97,6 +97,36 @@ def _(t):
       FROM billing_data JOIN consumer_data ON o_custkey = c_custkey GROUP BY c_mktsegment""")
 
 
+CHECKED_SQL = """SELECT *, amount IS NOT NULL AND amount > 0 AS has_amount, coalesce(status IN ('F', 'O'), FALSE) AS has_status,
+  account IS NOT NULL AS has_account FROM (SELECT CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END AS amount,
+    o_orderstatus AS status, CASE WHEN o_orderkey % 13 <> 0 THEN o_custkey END AS account FROM orders)"""
+RULES_SQL = {"amount": "has_amount", "status": "has_status", "account": "has_account"}
+
+
+@query("load_checks", "\nUNION ALL ".join(
+    f"""SELECT '{rule}' AS rule, count(*) AS rows, count(*) FILTER (WHERE NOT {good}) AS broken,
+  count(*) FILTER (WHERE NOT {good}) <= CAST({most} AS DOUBLE) * count(*) AS within_bound,
+  count(*) FILTER (WHERE NOT {good}) AS quarantined,
+  count(*) FILTER (WHERE has_amount AND has_status AND has_account) AS kept FROM ({CHECKED_SQL})"""
+    for (rule, good), most in zip(RULES_SQL.items(), (0.5, 0.001, 0.5))))
+def _(t):
+    """Text of which some is bad: what each rule counted while writing, beside what lies in the quarantine."""
+    key = F.col("o_orderkey")
+    rows = _text(t.orders.select(
+        F.when(key % 11 != 0, F.col("o_totalprice").cast("string")).otherwise("n/a").alias("amount"),
+        F.col("o_orderstatus").alias("status"),
+        F.when(key % 13 != 0, F.col("o_custkey").cast("string")).otherwise("?").alias("account")))
+    path = extracts.write_extract(rows, new_folder(t.spark, "checked"), "extract", "|")
+    scanned = extracts.scan_delimited(t.spark, path, rows.columns, "|")
+    typed = scanned.withColumns({"amount": F.col("amount").try_cast("double"), "account": F.col("account").try_cast("bigint")})
+    checked = checks.checked_write(typed, new_folder(t.spark, "kept"), [
+        checks.Rule("amount", F.col("amount") > 0, 0.5), checks.Rule("status", F.col("status").isin("F", "O"), 0.001),
+        checks.Rule("account", F.col("account").isNotNull(), 0.5)], refuse=False)
+    bad = checked.quarantined().select(F.explode(checks.BROKEN).alias("rule")).groupBy("rule").agg(F.count("*").alias("quarantined"))
+    kept = checked.kept().agg(F.count("*")).scalar()
+    return checked.report().drop("most").join(bad, "rule", "left").fillna(0, ["quarantined"]).withColumn("kept", kept)
+
+
 # --- tables -----------------------------------------------------------------------------------
 
 

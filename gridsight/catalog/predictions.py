@@ -227,6 +227,17 @@ def batch_scoring(t):
     return learning.score_batch(model, latest)
 
 
+@query("outside_model", """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 3 THEN CAST(
+  3 * l_quantity - 2 * l_linenumber + floor(l_extendedprice) / 4 + 7 AS DOUBLE) END AS score FROM lineitem""")
+def _(t):
+    """A stored model from outside Spark over every line; lines without a price have no score."""
+    rows = t.lineitem.select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"), F.col("l_linenumber").alias("line"),
+        F.when(F.col("l_linenumber") != 3, F.floor("l_extendedprice")).alias("price"))
+    path = learning.store_linear(t.spark, {"quantity": 3, "line": -2, "price": 0.25}, 7, new_folder(t.spark, "model"))
+    return learning.score_with(rows, ["price", "quantity", "line"], path).drop("quantity", "line", "price")
+
+
 # --- what SQL can know of the models' results -------------------------------------------------
 
 CONSUMERS_SQL = f"""SELECT account, {sql_total('current_amount')} / count(current_amount) AS amount,

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import DoubleType
 
 from gridsight.session import shared_dir
+from gridsight.sources import tables
 
 
 @dataclass(frozen=True)
@@ -109,6 +114,61 @@ def encode_categories(df: DataFrame, columns: list[str]) -> DataFrame:
     return out.select(*df.columns)
 
 
+CODES = "field string, label string, code bigint"
+
+
+def read_codes(spark: SparkSession, path: str) -> DataFrame:
+    """The code table at ``path``, empty before the first ``extend_codes``."""
+    if not tables.holds_files(spark, path):
+        return spark.createDataFrame([], CODES)
+    return spark.read.schema(CODES).parquet(path)
+
+
+def _labels(df: DataFrame, columns: list[str]) -> DataFrame:
+    entries = F.array(*[F.struct(F.lit(c).alias("field"), _label(c).alias("label")) for c in columns])
+    return df.select(F.explode(entries).alias("entry")).select("entry.*")
+
+
+def _label(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit("nan"))
+
+
+def extend_codes(df: DataFrame, columns: list[str], path: str, by_count: bool = False) -> str:
+    """Give the values that the code table at ``path`` lacks the next codes of their column.
+
+    The first call fits the table (codes from 0, in the order of the values, or by falling frequency with
+    ``by_count``). Later calls only append: a code once given stays, whatever table comes next. A call
+    repeated, or begun again after a loss, adds what is missing. One call runs at a time. Values are
+    found and sorted by Spark; one row a column reaches the driver.
+    """
+    spark = df.sparkSession
+    known = read_codes(spark, path)
+    counted = _labels(df, columns).groupBy("field", "label").agg(F.count(F.lit(1)).alias("n"))
+    new = counted.join(known, ["field", "label"], "left_anti")
+    order = ["field", F.col("n").desc(), "label"] if by_count else ["field", "label"]
+    placed = _positions(new, order, "place")
+    starts = placed.groupBy("field").agg(F.min("place").alias("first"))
+    used = known.groupBy("field").agg((F.max("code") + 1).alias("used"))
+    shifts = starts.join(used, "field", "left").select(
+        "field", (F.coalesce("used", F.lit(0)) - F.col("first")).alias("shift"))
+    coded = placed.join(F.broadcast(shifts), "field").select(
+        "field", "label", (F.col("place") + F.col("shift")).alias("code"))
+    coded.write.mode("append").parquet(path)
+    return path
+
+
+def apply_codes(df: DataFrame, columns: list[str], path: str, unseen: int = -1) -> DataFrame:
+    """Each column's values replaced by their codes; a value that the table lacks becomes ``unseen``."""
+    codes = read_codes(df.sparkSession, path).filter(F.col("field").isin(columns))
+    sizes = {r["field"]: r["size"] for r in codes.groupBy("field").agg(_bytes("label").alias("size")).collect()}
+    out = df.withColumns({c: _label(c) for c in columns})
+    for c in columns:
+        table = codes.filter(F.col("field") == c).select(F.col("label").alias(c), F.col("code").alias(f"{c}#code"))
+        out = _join_codes(out, table, c, sizes.get(c, 0)).withColumn(c, F.coalesce(f"{c}#code", F.lit(unseen).cast("bigint")))
+        out = out.drop(f"{c}#code")
+    return out.select(*df.columns)
+
+
 def index_key(df: DataFrame, column: str, name: str) -> DataFrame:
     """Index of each key by falling frequency, ties by the key's text, starting at 0.
 
@@ -180,3 +240,51 @@ def score_batch(model, sequences: DataFrame) -> DataFrame:
     scored = model.transform(flat_features(sequences))
     probability = F.get(vector_to_array("probability"), F.lit(1)).alias("predicted_probability")
     return scored.select(*[c for c in sequences.columns if c != "sequence"], probability)
+
+
+MODEL_BYTES = 256 << 20
+
+
+def store_linear(spark: SparkSession, weights: dict[str, float], intercept: float, path: str) -> str:
+    """A linear model as one JSON line a feature, to be scored by ``score_with`` and ``linear_model``."""
+    lines = [(name, float(w)) for name, w in weights.items()] + [(None, float(intercept))]
+    spark.createDataFrame(lines, "feature string, weight double").coalesce(1).write.json(path)
+    return path
+
+
+def linear_model(content: bytes, features: list[str]) -> Callable[[np.ndarray], np.ndarray]:
+    """The model that ``store_linear`` wrote, over features in the given order."""
+    lines = [json.loads(line) for line in content.decode().splitlines()]
+    weights = {line.get("feature"): line["weight"] for line in lines}
+    if set(weights) - {None} != set(features):
+        raise ValueError(f"the model takes {sorted(set(weights) - {None})}, not {sorted(features)}")
+    along, intercept = np.array([weights[f] for f in features]), weights[None]
+    return lambda rows: rows @ along + intercept
+
+
+def score_with(
+    df: DataFrame,
+    features: list[str],
+    path: str,
+    load: Callable[[bytes, list[str]], Callable[[np.ndarray], np.ndarray]] = linear_model,
+    name: str = "score",
+    batch: int = 4096,
+) -> DataFrame:
+    """``name``: the score of a stored model from outside Spark, NULL where a feature is missing.
+
+    ``load`` makes the model of the bytes stored at ``path``, once a Python worker; the model maps a
+    batch of rows (a matrix, one column a feature) to one number each. The bytes reach the
+    executors by broadcast, up to ``MODEL_BYTES``.
+    """
+    spark = df.sparkSession
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(path)
+    size, count = files.agg(F.sum("length"), F.count("*")).first()
+    if count != 1 or size > MODEL_BYTES:
+        raise ValueError(f"{path} holds {count} files of {size} bytes, not one model of {MODEL_BYTES} at most")
+    content = spark.sparkContext.broadcast(bytes(files.select("content").first()[0]))
+    names = list(features)
+    score = predict_batch_udf(
+        lambda: load(content.value, names), return_type=DoubleType(), batch_size=batch,
+        input_tensor_shapes=[[len(names)]])
+    inputs = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names])
+    return df.withColumn(name, F.when(_present(names), score(inputs)))

@@ -81,7 +81,7 @@ def _steps(panel: DataFrame, feeder: str, period: str, features: list[str], *mor
 
 def _run(end: Column, length: int) -> Column:
     """The inputs of the ``length`` periods up to the one at ``end``, counted from 1."""
-    return F.transform(F.slice("steps", end - (length - 1), F.lit(length)), lambda step: step["inputs"])
+    return F.slice("steps", end - (length - 1), F.lit(length))["inputs"]
 
 
 def sliding_sequences(

@@ -112,6 +112,11 @@ def _files(spark: SparkSession, folder: str) -> set[str]:
     return {f.getPath().getName() for f in fs.listStatus(at)} if fs.exists(at) else set()
 
 
+def holds_files(spark: SparkSession, folder: str) -> bool:
+    """Whether the folder exists and holds files that Spark would read."""
+    return any(not name.startswith(("_", ".")) for name in _files(spark, folder))
+
+
 def drop_folders(spark: SparkSession, folders: list[str]) -> None:
     """Remove whole partitions by the folders that Spark read them from."""
     for folder in folders:

@@ -14,7 +14,7 @@ from gridsight.plans.complaints import clean_complaints
 from gridsight.plans.monthly import billing_dims, load_complaints, load_months, load_outages, undo_loads
 from gridsight.plans.outages import clean_outages
 from gridsight.session import new_folder
-from gridsight.sources import extracts, journal, tables
+from gridsight.sources import checks, extracts, journal, tables
 from gridsight.streaming import arrivals
 
 
@@ -465,3 +465,42 @@ def test_each_loaded_query_makes_its_own_loads(spark, folder, monkeypatch):
     monkeypatch.setattr(loads, "_load_all", load)
     seen = [QUERIES["monthly_load_rejects"](spark, "/root/testdata/sf0.001").first().document for _ in range(2)]
     assert seen == [1, 2]
+
+
+# --- checked writes -----------------------------------------------------------------------------
+
+
+def checked_rows(spark, folder):
+    write(f"{folder}/in/a.csv", "a|b\n1|x\n-2|x\nbad|\n|y\n5|z\n")
+    scanned = extracts.scan_delimited(spark, f"{folder}/in", ["a", "b"], "|")
+    return scanned.withColumn("a", F.col("a").try_cast("int"))
+
+
+def test_broken_rows_are_set_apart_by_the_writing_job(spark, folder):
+    df = checked_rows(spark, folder)
+    rules = [checks.Rule("positive", F.col("a") > 0), checks.Rule("named", F.col("b").isNotNull())]
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("checked", "")
+    got = checks.checked_write(df, f"{folder}/out", rules)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs.getJobIdsForGroup("checked")) == 1  # the text is read once
+    assert rows(got.kept()) == [(1, "x"), (5, "z")]
+    assert rows(got.quarantined(), "a", "b", "broken_rules") == [
+        (None, None, ["positive", "named"]), (None, "y", ["positive"]), (-2, "x", ["positive"])]
+    assert rows(got.report()) == [("named", 5, 1, 1.0, True), ("positive", 5, 3, 1.0, True)]
+
+
+def test_a_load_beyond_its_bound_is_refused(spark, folder):
+    df = checked_rows(spark, folder)
+    at_bound = [checks.Rule("positive", F.col("a") > 0, 0.6)]
+    assert checks.checked_write(df, f"{folder}/at", at_bound).refused() == []
+    with pytest.raises(checks.TooManyBroken, match="positive"):
+        checks.checked_write(df, f"{folder}/over", [checks.Rule("positive", F.col("a") > 0, 0.59)])
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_checks_of_no_rows(spark, folder, known):
+    df = spark.createDataFrame([], "a int") if known else spark.range(5).selectExpr("CAST(id AS INT) AS a").filter("a > 9")
+    got = checks.checked_write(df, f"{folder}/out", [checks.Rule("r", F.col("a") > 0, 0.0)])
+    assert got.kept().count() == 0 and got.kept().columns == ["a"] and got.refused() == []
+    assert rows(got.report()) == [("r", 0, 0, 0.0, True)]

@@ -431,3 +431,38 @@ def test_panel_reads_its_source_once(spark, folder):
     got = panel.feeder_panel(spark.read.parquet(f"{folder}/src"), "f", "at", "week", [Measure("n", "count", "f")], F.lit(True))
     assert got.count() == 50 * 8 and f"{folder}/src" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert f"{folder}/src" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+# --- code tables and outside models -------------------------------------------------------------
+
+
+def test_codes_stay_when_new_values_come(spark, folder):
+    first = spark.createDataFrame([("b", 1), ("a", 1), (None, 2)], "k string, v int")
+    later = spark.createDataFrame([("aa", 1), ("b", 3), ("a", 2), ("aa", None)], "k string, v int")
+    path = f"{folder}/codes"
+    learning.extend_codes(first, ["k", "v"], path)
+    known = rows(learning.read_codes(spark, path))
+    assert known == [("k", "a", 0), ("k", "b", 1), ("k", "nan", 2), ("v", "1", 0), ("v", "2", 1)]
+    assert rows(learning.apply_codes(later, ["k", "v"], path)) == [(-1, -1), (-1, 0), (0, 1), (1, -1)]
+    learning.extend_codes(later, ["k", "v"], path)
+    learning.extend_codes(later, ["k", "v"], path)  # adds nothing
+    assert rows(learning.read_codes(spark, path)) == sorted([*known, ("k", "aa", 3), ("v", "3", 2), ("v", "nan", 3)])
+    assert rows(learning.apply_codes(first, ["k", "v"], path)) == [(0, 0), (1, 0), (2, 1)]
+
+
+def test_codes_by_count_and_of_no_rows(spark, folder):
+    df = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "k string")
+    path = f"{folder}/codes"
+    learning.extend_codes(df.limit(0), ["k"], path, by_count=True)
+    assert rows(learning.apply_codes(df, ["k"], path, unseen=-9)) == [(-9,)] * 4
+    learning.extend_codes(df, ["k"], path, by_count=True)
+    assert rows(learning.read_codes(spark, path), "label", "code") == [("a", 1), ("b", 0), ("c", 2)]
+
+
+def test_outside_model(spark, folder):
+    df = spark.createDataFrame([(1, 2.0, 3.0), (2, None, 1.0), (3, float("nan"), 1.0)], "id int, a double, b double")
+    path = learning.store_linear(spark, {"a": 0.5, "b": 2.0}, -1.0, f"{folder}/model")
+    assert rows(learning.score_with(df, ["b", "a"], path), "id", "score") == [(1, 6.0), (2, None), (3, None)]
+    assert learning.score_with(df.limit(0), ["b", "a"], path).count() == 0
+    with pytest.raises(Exception, match="takes"):
+        learning.score_with(df, ["a"], path).collect()
