@@ -9,6 +9,7 @@ from gridsight.catalog.features import labelled, panel_of, panel_sql, sequence_s
 from gridsight.catalog.registry import query
 from gridsight.functions.measures import Measure, aggregate
 from gridsight.operators import evaluation as ev, learning, panel
+from gridsight.operators.joins import stored
 from gridsight.session import new_folder
 from gridsight.sources import extracts
 
@@ -227,6 +228,58 @@ def batch_scoring(t):
     return learning.score_batch(model, latest)
 
 
+FOLDS = ["1999-07-01", "2000-01-01", "2000-07-01", "2001-01-01"]
+MODELS = {"regression": learning.fit_fault_classifier, "trees": learning.fit_boosted_trees}
+
+
+def _rules(held: DataFrame) -> DataFrame:
+    """What a model must beat: the last period's flag, and a fault in every period."""
+    folds = F.element_at(F.filter(F.array(*[
+        F.struct(F.lit(i).alias("fold"), F.lit(a).cast("date").alias("a"), F.lit(b).cast("date").alias("b"))
+        for i, (a, b) in enumerate(zip(FOLDS, FOLDS[1:]))]),
+        lambda f: (F.col("last_period") >= f["a"]) & (F.col("last_period") < f["b"])), 1)["fold"]
+    rows = held.filter((F.col("last_period") >= FOLDS[0]) & (F.col("last_period") < FOLDS[-1])).withColumn("fold", folds)
+    rules = F.array(
+        F.struct(F.lit("last_flag").alias("model"), F.element_at("sequence", -1)[2].alias("predicted_probability")),
+        F.struct(F.lit("always").alias("model"), F.lit(1.0).alias("predicted_probability")))
+    return rows.select("feeder", "last_period", "label", "fold", F.inline(rules))
+
+
+def _histories(t: Tables) -> DataFrame:
+    rows = labelled(t, "month").withColumn("month_number", F.month("period"))
+    features = ["n", "amount", "fault", "month_number"]
+    scaler = learning.MinMaxScale.fit(
+        rows.filter(F.col("period") < FOLDS[0]), ["n", "amount", "month_number"])
+    return stored(panel.sliding_sequences(
+        scaler.transform(rows), "feeder", "period", features, "target", 12), "sequences")
+
+
+@query("rolling_evaluation")
+def _(t):
+    """Two models and two simple rules over three half years, the last of them held out of the choice."""
+    sequences = _histories(t)
+    scored = stored(learning.rolling_scores(sequences, "last_period", FOLDS, MODELS).unionByName(_rules(sequences)), "scored")
+    return ev.choose_by_folds(scored, "predicted_probability", "label", len(FOLDS) - 2)
+
+
+@query("rolling_rules", f"""WITH {panel_sql('service', 'month')},
+ended AS (SELECT feeder, period AS last_period, fault, {sequence_sql(12)} AS s,
+  lead(target) OVER (PARTITION BY feeder ORDER BY period) AS label FROM labelled),
+held AS (SELECT *, CASE WHEN last_period < DATE '{FOLDS[1]}' THEN 0 WHEN last_period < DATE '{FOLDS[2]}' THEN 1 ELSE 2 END AS fold
+  FROM ended WHERE len(s) = 12 AND label IS NOT NULL AND last_period >= DATE '{FOLDS[0]}' AND last_period < DATE '{FOLDS[3]}'),
+told AS (SELECT 'last_flag' AS model, fold, fault AS p, label FROM held
+  UNION ALL SELECT 'always', fold, 1, label FROM held),
+counts AS (SELECT model, fold, count(*) FILTER (WHERE p = 1 AND label = 1) AS tp,
+  count(*) FILTER (WHERE p = 1 AND label = 0) AS fp, count(*) FILTER (WHERE p = 0 AND label = 1) AS fn FROM told GROUP BY 1, 2),
+means AS (SELECT model, avg(f1_score) FILTER (WHERE fold <> 2) AS mean_f1, max(f1_score) FILTER (WHERE fold = 2) AS held_out_f1
+  FROM ({scored_sql('SELECT * FROM counts', 'model, fold, ')}) GROUP BY 1)
+SELECT model, CAST(0.1 AS DOUBLE) AS threshold, mean_f1, held_out_f1,
+  row_number() OVER (ORDER BY mean_f1 DESC, model) = 1 AS chosen FROM means""")
+def _(t):
+    """The two rules alone, which SQL can follow."""
+    return ev.choose_by_folds(_rules(_histories(t)), "predicted_probability", "label", len(FOLDS) - 2)
+
+
 @query("outside_model", """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 3 THEN CAST(
   3 * l_quantity - 2 * l_linenumber + floor(l_extendedprice) / 4 + 7 AS DOUBLE) END AS score FROM lineitem""")
 def _(t):

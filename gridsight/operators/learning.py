@@ -9,7 +9,7 @@ from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -235,6 +235,33 @@ def fit_fault_classifier(sequences: DataFrame, label: str = "label", **settings)
     return model.fit(rows.select("features", label))
 
 
+def fit_boosted_trees(sequences: DataFrame, label: str = "label", **settings):
+    """The same probability from boosted trees, which see thresholds and pairs of features."""
+    settings = {"maxIter": 15, "maxDepth": 3, "seed": 1} | settings
+    model = GBTClassifier(featuresCol="features", labelCol=label, **settings)
+    rows = flat_features(sequences).withColumn(label, F.col(label).cast("double"))
+    return model.fit(rows.select("features", label))
+
+
+def rolling_scores(
+    sequences: DataFrame, at: str, cuts: list[str], fits: dict[str, Callable], gap_months: int = 2
+) -> DataFrame:
+    """Every model's score of the rows of each fold, fitted on what was known before it.
+
+    Fold ``i`` holds the sequences that end from ``cuts[i]`` to before ``cuts[i + 1]``. Its training rows
+    end ``gap_months`` earlier, so that their labels lie before the cut. ``fits`` maps a name to a function of the
+    training rows, which gives a model of Spark ML. A model is fitted once a fold.
+    """
+    parts = []
+    for fold, (start, end) in enumerate(zip(cuts, cuts[1:])):
+        known = sequences.filter(F.col(at) < F.add_months(F.lit(start).cast("date"), -gap_months))
+        held = sequences.filter((F.col(at) >= F.lit(start).cast("date")) & (F.col(at) < F.lit(end).cast("date")))
+        for name, fit in fits.items():
+            scored = score_batch(fit(known), held)
+            parts.append(scored.withColumns({"model": F.lit(name), "fold": F.lit(fold)}))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def score_batch(model, sequences: DataFrame) -> DataFrame:
     """One probability per input row, beside the ids the row came with."""
     scored = model.transform(flat_features(sequences))

@@ -8,7 +8,8 @@ import pytest
 from gridsight.catalog import ORACLE, QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-NO_SQL = {"kmeans_segments", "kmeans_centres", "silhouette", "fault_classifier", "batch_scoring"}
+NO_SQL = {"kmeans_segments", "kmeans_centres", "silhouette", "fault_classifier", "batch_scoring",
+          "rolling_evaluation"}
 
 
 @pytest.fixture(scope="module")

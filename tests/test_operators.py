@@ -466,3 +466,42 @@ def test_outside_model(spark, folder):
     assert learning.score_with(df.limit(0), ["b", "a"], path).count() == 0
     with pytest.raises(Exception, match="takes"):
         learning.score_with(df, ["a"], path).collect()
+
+
+def test_rolling_evaluation_finds_a_signal_and_holds_back_the_last_fold(spark):
+    rng = random.Random(11)
+    data = []
+    for feeder in range(25):
+        for month in range(1, 13):
+            x, flag = rng.random(), float(rng.random() < 0.4)
+            label = int(x > 0.6) if rng.random() < 0.9 else int(x <= 0.6)
+            data.append((feeder, f"2024-{month:02d}-01", [[rng.random(), 0.0], [x, flag]], label))
+    df = spark.createDataFrame(data, "feeder int, day string, sequence array<array<double>>, label int")
+    df = df.withColumn("day", F.col("day").cast("date"))
+    cuts, trained = ["2024-07-01", "2024-09-01", "2024-11-01"], []
+
+    def fit(known):
+        trained.append(str(known.agg(F.max("day")).first()[0]))
+        return learning.fit_fault_classifier(known)
+
+    scored = learning.rolling_scores(df, "day", cuts, {"regression": fit, "trees": learning.fit_boosted_trees})
+    assert trained == ["2024-04-01", "2024-06-01"]  # labels of later rows lie beyond the cut
+    assert rows(scored.groupBy("model", "fold").count()) == [
+        ("regression", 0, 50), ("regression", 1, 50), ("trees", 0, 50), ("trees", 1, 50)]
+    held = df.filter("day >= '2024-07-01' AND day < '2024-11-01'").withColumn("fold", F.when(F.month("day") < 9, 0).otherwise(1))
+    rules = F.array(
+        F.struct(F.lit("last_flag").alias("model"), F.col("sequence")[1][1].alias("predicted_probability")),
+        F.struct(F.lit("always").alias("model"), F.lit(1.0).alias("predicted_probability")))
+    simple = held.select("feeder", "day", "label", "fold", F.inline(rules))
+    got = ev.choose_by_folds(scored.unionByName(simple), "predicted_probability", "label", 1)
+    f1 = {r.model: r.held_out_f1 for r in got.collect()}
+    assert got.filter("chosen").first().model in ("regression", "trees")
+    assert min(f1["regression"], f1["trees"]) > 0.7 > max(f1["always"], f1["last_flag"])
+
+
+def test_the_held_out_fold_has_no_part_in_the_choice(spark):
+    lines = [("a", 0, 0.5, 1), ("a", 0, 0.3, 0), ("a", 1, 0.2, 1), ("b", 0, 0.9, 0), ("b", 0, 0.2, 1), ("b", 1, 0.9, 1)]
+    df = spark.createDataFrame(lines, "model string, fold int, p double, label int")
+    got = ev.choose_by_folds(df, "p", "label", 1)
+    assert [(r.model, r.threshold, round(r.mean_f1, 3), round(r.held_out_f1, 3), r.chosen) for r in got.orderBy("model").collect()] == [
+        ("a", 0.3, 1.0, 0.0, True), ("b", 0.1, 0.667, 1.0, False)]
