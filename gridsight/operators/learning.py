@@ -9,7 +9,7 @@ from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -17,7 +17,7 @@ from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_a
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DoubleType
 
-from gridsight.session import shared_dir
+from gridsight.session import new_folder, shared_dir
 from gridsight.sources import tables
 
 
@@ -232,7 +232,10 @@ def fit_fault_classifier(sequences: DataFrame, label: str = "label", **settings)
         featuresCol="features", labelCol=label, maxIter=settings.pop("maxIter", 25), **settings
     )
     rows = flat_features(sequences).withColumn(label, F.col(label).cast("double"))
-    return model.fit(rows.select("features", label))
+    # The training summary refers to the session, which tasks cannot take once rows were observed in it.
+    path = new_folder(sequences.sparkSession, "model")
+    model.fit(rows.select("features", label)).save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def fit_boosted_trees(sequences: DataFrame, label: str = "label", **settings):

@@ -5,7 +5,7 @@ import random
 import pandas as pd
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from gridsight.functions.measures import Measure, aggregate, aggregate_with_labels, mean_minutes
 from gridsight.operators import cleaning, dimensions as dims, evaluation as ev, facts, learning, panel, summaries
@@ -505,3 +505,12 @@ def test_the_held_out_fold_has_no_part_in_the_choice(spark):
     got = ev.choose_by_folds(df, "p", "label", 1)
     assert [(r.model, r.threshold, round(r.mean_f1, 3), round(r.held_out_f1, 3), r.chosen) for r in got.orderBy("model").collect()] == [
         ("a", 0.3, 1.0, 0.0, True), ("b", 0.1, 0.667, 1.0, False)]
+
+
+def test_scoring_in_a_session_that_has_observed_rows(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    df = spark.createDataFrame([(i, [[float(i % 2)]], i % 2) for i in range(20)], "id int, sequence array<array<double>>, label int")
+    got = learning.score_batch(learning.fit_fault_classifier(df), df)
+    assert got.filter("(predicted_probability > 0.5) = (label = 1)").count() == 20
