@@ -88,10 +88,11 @@ def _(t):
     return labelled(t, "day")
 
 
-def steps_text(column: str):
-    """A sequence of (n, amount) as ``n:amount,n:amount,...``, to compare it with SQL."""
-    step = lambda s: F.concat_ws(":", s[0].cast("bigint").cast("string"), s[1].cast("bigint").cast("string"))
-    return F.array_join(F.transform(column, step), ",")
+def steps_text(column: str, length: int):
+    """A sequence of (n, amount) as ``n:amount,n:amount,...``, to compare it with SQL. The steps are named one
+    by one, since a lambda is interpreted, and takes a copy of each row that Spark had not to make so far."""
+    part = lambda at, of: F.col(column)[at][of].cast("bigint").cast("string")
+    return F.concat_ws(",", *[F.concat_ws(":", part(at, 0), part(at, 1)) for at in range(length)])
 
 
 def sequence_sql(length: int) -> str:
@@ -110,7 +111,7 @@ WHERE len(s) = {length} AND label IS NOT NULL""")
         rows = panel.sliding_sequences(
             labelled(t, unit), "feeder", "period", ["n", "amount"], "target", length
         )
-        return rows.select("feeder", "last_period", steps_text("sequence").alias("steps"), "label")
+        return rows.select("feeder", "last_period", steps_text("sequence", length).alias("steps"), "label")
 
 
 _sequence_query("sliding_sequences", "service", "month", 12)
@@ -127,8 +128,8 @@ def _(t):
         labelled(t, "week"), "feeder", "period", ["n", "amount"], "target", 5, 45
     )
     return rows.select(
-        "feeder", "last_period", steps_text("short_sequence").alias("short_steps"),
-        steps_text("long_sequence").alias("long_steps"), "label",
+        "feeder", "last_period", steps_text("short_sequence", 5).alias("short_steps"),
+        steps_text("long_sequence", 45).alias("long_steps"), "label",
     )
 
 
@@ -146,7 +147,7 @@ def _(t):
     rows = panel.latest_sequences(
         panel_of(service_rows(t), "week"), "feeder", "period", ["n", "amount"], TARGETS, 12
     )
-    return rows.select("feeder", "target_period", "last_period", steps_text("sequence").alias("steps"))
+    return rows.select("feeder", "target_period", "last_period", steps_text("sequence", 12).alias("steps"))
 
 
 @query("lag_features", "SELECT event_id, user_id, " + ", ".join(

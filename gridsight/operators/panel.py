@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DataType, IntegerType, StructField, StructType
 
 from gridsight.functions.measures import Measure, aggregate
-from gridsight.operators.joins import stored
+from gridsight.operators.joins import stored, tasks_for
 from gridsight.session import shared_dir
 
 
@@ -38,6 +38,9 @@ def feeder_panel(
     Periods run from the table's first to its last. The source is read once: its sums per feeder and
     period are stored, and bounds and feeders are taken from those. The calendar is generated per
     feeder from the two bounds, which come from a one-row subquery; nothing is cross joined.
+
+    A feeder's rows lie together, in as many partitions as the panel's rows ask for: a row is a few bytes,
+    so partitions sized by bytes would give the sequences made of them to a task or two.
     """
     step = {"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month"}[unit]
     rows = df.withColumn("period", period_start(at, unit)).withColumn(
@@ -51,8 +54,12 @@ def feeder_panel(
     )
     spine = seen.select(feeder).distinct().select(feeder, F.explode(calendar).alias("period"))
     counted = ["faults"] + [m.name for m in measures if m.kind in ("count", "sum")]
+    periods = F.coalesce(F.size(F.sequence(F.min("period"), F.max("period"), F.expr(step))), F.lit(0))
+    tasks = tasks_for(seen.agg(F.approx_count_distinct(feeder) * periods).first()[0])
+    dealt = [side.repartition(tasks, feeder, "period") for side in (spine, seen)]
     return (
-        spine.join(seen, [feeder, "period"], "left")
+        dealt[0].join(dealt[1], [feeder, "period"], "left")
+        .repartition(tasks, feeder)
         .fillna(0, counted)
         .withColumn("fault", (F.col("faults") > 0).cast("int"))
         .drop("faults")

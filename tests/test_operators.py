@@ -7,8 +7,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import Observation, functions as F
 
+from gridsight.catalog import QUERIES, bindings, star
 from gridsight.functions.measures import Measure, aggregate, aggregate_with_labels, mean_minutes
-from gridsight.operators import cleaning, dimensions as dims, evaluation as ev, facts, learning, panel, summaries
+from gridsight.operators import cleaning, dimensions as dims, evaluation as ev, facts, joins, learning, panel, summaries
 
 
 # --- aggregates -------------------------------------------------------------------------------
@@ -219,6 +220,16 @@ def test_sequences_carry_no_arrays_through_a_window(spark):
     assert [(r.last_period, r.label) for r in got.orderBy("last_period").collect()] == [(1, 0), (2, 1)]
 
 
+def test_a_panel_has_tasks_by_its_rows(spark, monkeypatch):
+    """40 feeders by 30 days, however few bytes they are."""
+    monkeypatch.setattr(joins, "TASK_ROWS", 100)
+    df = spark.sql("SELECT CAST(id % 40 AS INT) AS f, date_add(DATE'2024-01-01', CAST(id % 30 AS INT)) AS at, 1L AS v FROM range(1200)")
+    got = panel.feeder_panel(df, "f", "at", "day", [Measure("n", "count", "v")], F.lit(False))
+    assert got.rdd.getNumPartitions() >= 10 and got.count() == 1200
+    none = panel.feeder_panel(df.limit(0), "f", "at", "day", [Measure("n", "count", "v")], F.lit(False))
+    assert none.count() == 0
+
+
 def test_no_feeder_has_no_history(spark):
     df = spark.sql("SELECT CAST(NULL AS INT) AS f, timestamp_ntz'2024-01-01 00:00:00' AS at, id, 1.0D AS v FROM range(3)")
     got = panel.lag_features(df, "f", ["at", "id"], "v", 2)
