@@ -230,6 +230,18 @@ def test_a_panel_has_tasks_by_its_rows(spark, monkeypatch):
     assert none.count() == 0
 
 
+def test_tickets_have_tasks_by_their_lines(spark, folder, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 10)
+    for name, columns in (
+        ("lineitem", "id AS l_orderkey, id AS l_partkey, id AS l_suppkey, 1 AS l_linenumber, 30D AS l_quantity, 'R' AS l_returnflag, 'F' AS l_linestatus, DATE'2024-01-02' AS l_shipdate"),
+        ("orders", "id AS o_orderkey, DATE'2024-01-01' AS o_orderdate"), ("supplier", "id AS s_suppkey, id AS s_nationkey"),
+        ("part", "id AS p_partkey"), ("customer", "id AS c_nationkey, 1D AS c_acctbal"),
+    ):
+        spark.sql(f"SELECT {columns} FROM range(40)").write.parquet(f"{folder}/{name}.parquet")
+    assert star._network(bindings.Tables(spark, folder))["tickets"].rdd.getNumPartitions() >= 4
+    assert QUERIES["fact_network_and_losses"](spark, folder).count() == 40
+
+
 def test_no_feeder_has_no_history(spark):
     df = spark.sql("SELECT CAST(NULL AS INT) AS f, timestamp_ntz'2024-01-01 00:00:00' AS at, id, 1.0D AS v FROM range(3)")
     got = panel.lag_features(df, "f", ["at", "id"], "v", 2)
