@@ -112,3 +112,25 @@ def publish_extract(df: DataFrame, landing: str, name: str, sep: str = "|") -> l
             raise OSError(f"could not publish {target}")
         names.append(target)
     return names
+
+
+def publish_folder(df: DataFrame, landing: str, name: str, sep: str = "|") -> str:
+    """Write one extract as the folder ``<name>.csv`` of many files, made by as many tasks, beside the landing
+    folder, and rename it into it as a whole."""
+    spark = df.sparkSession
+    staging, target = f"{landing.rstrip('/')}-staging/{name}.csv", f"{landing.rstrip('/')}/{name}.csv"
+    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(staging)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(landing).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(landing))
+    if fs.exists(path(target)) or not fs.rename(path(staging), path(target)):
+        raise OSError(f"could not publish {target}")
+    return target
+
+
+def files_of(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """Name, time and length of a folder's files, by name, without those that Spark does not read."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    lines = [(f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in found]
+    return sorted(line for line in lines if not line[0].startswith(("_", ".")))

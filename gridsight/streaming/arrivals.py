@@ -92,14 +92,19 @@ KINDS = {"billing": ("Ageing", "|"), "complaints": ("CRM", "|"), "outages": ("OM
 
 
 def arriving_paths(spark: SparkSession, landing: str, files_per_batch: int = 100) -> DataFrame:
-    """New ``.csv`` files of any kind: path, length and time of each; no content is read."""
+    """New ``.csv`` files of any kind: path, length and time of each; no content is read.
+
+    A folder named ``.csv`` is one ``extract`` of several files (``sources.extracts.publish_folder``).
+    """
+    inside, folder = F.element_at(F.split("path", "/"), -2), F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    whole = inside.rlike(r"[.][cC][sS][vV]$") & (inside != landing.rstrip("/").rsplit("/", 1)[-1])
     return (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("maxFilesPerTrigger", files_per_batch)
-        .load(landing)
-        .select("path", "modificationTime", "length")
+        .load(f"{landing.rstrip('/')}/*.[cC][sS][vV]")
+        .select("path", "modificationTime", "length", F.when(whole, folder).alias("extract"))
     )
 
 
@@ -123,17 +128,23 @@ def run_arrivals(
 ) -> StreamingQuery:
     """Run the monthly load for each file that arrives, in the order of their times.
 
-    A file is one load, named by its path, time and length in the journal of ``base``. A batch that is
+    A file is one load, named by its path, time and length in the journal of ``base``; so is a folder named
+    ``.csv``, which arrived as a whole, by those of all its files, whatever batch names them. A batch that is
     repeated, or a checkpoint that is lost, therefore loads nothing twice; a load that stopped half-way is
     finished first. Files of the three kinds may come in any order: each refreshes the dimensions of its
     months. What comes to the driver is a line for each file of a batch (``files_per_batch``).
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        order = ["modificationTime", "path"]
+        order, folders = ["modificationTime", "path"], set()
         for line in batch.orderBy(*order).collect():
             path = line["path"]
             stamp = f"{path}|{line['modificationTime'].isoformat()}|{line['length']}"
+            if folder := line.asDict().get("extract"):
+                if folder in folders:
+                    continue
+                folders.add(folder)
+                path, stamp = folder, f"{folder}|{extracts.files_of(batch.sparkSession, folder)}"
             name = path.rsplit("/", 1)[1].rsplit(".", 1)[0]
             digest = hashlib.sha256(stamp.encode()).hexdigest()[:16]
             load_file(batch.sparkSession, path, base, f"{name}-{digest}", kinds, season)

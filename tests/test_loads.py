@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import threading
 import time
 
 import pytest
@@ -433,6 +434,22 @@ def test_files_of_three_kinds_run_the_load(spark, folder):
     assert loaded == 3 and len(journal.loads(spark, base)) == 3
 
 
+def test_a_folder_of_files_is_one_load(spark, folder):
+    """Complaints of one month in files of several tasks: no file replaces another's rows, whatever a batch holds."""
+    landing, base = f"{folder}/in.csv", f"{folder}/star"
+    extracts.publish_folder(raw_complaints(spark).repartition(2), landing, "CRM_x")
+    extracts.publish_extract(raw_outages(spark).coalesce(1), landing, "OMS_x", ",")
+    assert sum(name.endswith(".csv") for name in os.listdir(f"{landing}/CRM_x.csv")) == 2
+    for checkpoint, files in (("first", 1), ("again", 100)):
+        paths = arrivals.arriving_paths(spark, landing, files)
+        arrivals.finish(arrivals.run_arrivals(paths, base, f"{folder}/{checkpoint}"), 300)
+    assert len(journal.loads(spark, base)) == 2
+    load_complaints(clean_complaints(raw_complaints(spark)), f"{folder}/plain")
+    assert rows(tables.read_table(spark, f"{base}/crm_ibc_dim")) == rows(tables.read_table(spark, f"{folder}/plain/crm_ibc_dim"))
+    with pytest.raises(OSError, match="could not publish"):
+        extracts.publish_folder(raw_complaints(spark), landing, "CRM_x")
+
+
 def test_centre_with_two_names_has_one_row(spark):
     """Eight complaints and two outages of one code under two names: all are counted, once."""
     complaints = spark.createDataFrame(
