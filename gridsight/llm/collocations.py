@@ -7,9 +7,10 @@ entry is the count of the phrase (prefix, next word), the largest entry of a str
 extension of its prefix to the right, and the largest entry by (prefix without its first word, next word)
 that to the left. The words themselves are the stripe of the empty prefix.
 
-Stripes are built in three passes over the texts: words, pairs of frequent words, and phrases of three
-words and more whose pairs are all frequent. A phrase is no more frequent than its parts, so nothing is
-lost. What is frequent reaches the tasks as a bitmap of ``SLOTS`` hash slots, which is ``SLOTS / 8`` bytes
+Stripes are built in four passes over the texts: words, pairs of frequent words, phrases of three words whose
+pairs are all frequent, and longer phrases whose parts of three words are all frequent. A phrase is no more
+frequent than its parts, so nothing is lost; once most pairs of a corpus are frequent, only the third pass sees
+nearly every place of it. What is frequent reaches the tasks as a bitmap of ``SLOTS`` hash slots, which is ``SLOTS / 8`` bytes
 at any corpus size; a slot shared by chance lets through a phrase that the exact counts drop later. A prefix
 with ``HOT`` occurrences or more (a second bitmap) has its stripe dealt to ``SEGMENTS`` tasks by the next
 word, so a stripe in one task has fewer than ``HOT`` entries, or a share of a frequent one.
@@ -22,9 +23,11 @@ to the first in byte order; an empty table gives no rows; other columns play no
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +38,9 @@ from gridsight.llm.common import kept, pieces
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Bits of a bitmap (8 MB); occurrences of a prefix from which its stripe is dealt out, and to how many tasks.
 SLOTS, HOT, SEGMENTS = 1 << 26, 1 << 18, 64
-#: Words that a task counts at a time; distinct words and pairs of a language whose counts it holds.
-BLOCK, WORDS, HELD = 1 << 18, 1 << 20, 1 << 21
+#: Words that a task counts at a time; distinct words and pairs of a language whose counts it holds, and places of
+#: frequent parts whose phrases it counts together.
+BLOCK, WORDS, HELD, RUNS = 1 << 18, 1 << 20, 1 << 21, 1 << 20
 #: Stands for a break between pieces among a text's words.
 BREAK = b"."
 
@@ -83,9 +87,9 @@ def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1 == 1
 
 
-def _stripes(lang: str, prefixes: list[bytes], hot: np.ndarray, prefix: np.ndarray, following: np.ndarray,
+def _stripes(lang: str, names: pa.Array, hot: np.ndarray, prefix: np.ndarray, following: np.ndarray,
              counts: np.ndarray, words: list[bytes]) -> Iterator[pa.RecordBatch]:
-    """Entries (prefix, following word, count) as stripes, those of hot prefixes in segments."""
+    """Entries (prefix among ``names``, following word, count) as stripes, those of hot prefixes in segments."""
     segment = np.zeros(len(prefix), np.int64)
     spread = hot[prefix]
     if spread.any():
@@ -94,7 +98,7 @@ def _stripes(lang: str, prefixes: list[bytes], hot: np.ndarray, prefix: np.ndarr
     order = np.lexsort((segment, prefix))
     prefix, segment, following, counts = prefix[order], segment[order], following[order], counts[order]
     first = np.flatnonzero(np.r_[True, (np.diff(prefix) != 0) | (np.diff(segment) != 0)])[: len(prefix)]
-    names, texts = pa.array(prefixes, pa.string()), pa.array(words, pa.string())
+    texts = pa.array(words, pa.string())
     for at in range(0, len(first), 1 << 14):
         rows = first[at:at + (1 << 14)]
         end = first[at + (1 << 14)] if at + (1 << 14) < len(first) else len(prefix)
@@ -124,7 +128,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums[lang] = counts
             continue
         follow = np.flatnonzero(counts[1:]) + 1
-        yield from _stripes(lang, [b""], np.array([True]), np.zeros(len(follow), np.int64), follow, counts[follow], words)
+        yield from _stripes(lang, pa.array([""]), np.array([True]), np.zeros(len(follow), np.int64), follow, counts[follow], words)
 
 
 def _known(hashes: dict[str, np.ndarray], lang: str, words: list[bytes], done: bool) -> np.ndarray:
@@ -152,59 +156,74 @@ def _pairs(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, hot: np.ndar
             sums[lang] = parts
             continue
         keys, counts = _summed(parts)
-        yield from _stripes(lang, words, _marked(hot, own), keys >> 32, keys & 0xFFFFFFFF, counts, words)
+        yield from _stripes(lang, pa.array(words, pa.string()), _marked(hot, own), keys >> 32, keys & 0xFFFFFFFF, counts, words)
 
 
-def _runs(places: np.ndarray, frequent: np.ndarray, stop: int) -> tuple[np.ndarray, np.ndarray]:
-    """The parts of a text in which frequent pairs follow one another, with breaks between them, and
-    whether a phrase that begins at a place is this block's."""
-    pair = np.r_[False, frequent, False]
-    chained = (pair[1:-1] & (pair[:-2] | pair[2:]))
-    inside = np.r_[chained, False] | np.r_[False, chained]
+def _runs(places: np.ndarray, part: np.ndarray, known: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places within parts of ``known`` words, of which ``part`` says where they begin, that follow one
+    another; whether a phrase that begins at a place is this block's, and whether a part begins there. Places of
+    a part stay side by side, so parts that begin at two neighbours kept overlap."""
+    chained = part & (np.r_[False, part[:-1]] | np.r_[part[1:], False])
+    inside = chained.copy()
+    for more in range(1, known):
+        inside[more:] |= chained[:-more]
     kept_at = np.flatnonzero(inside)
-    ends = np.flatnonzero(~np.r_[chained, False][kept_at]) + 1
-    return np.insert(places[kept_at], ends, 0), np.insert(kept_at < stop, ends, False)
+    return places[kept_at], kept_at < stop, chained[kept_at]
 
 
-def _longer(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Stripes of prefixes of two words and more, of phrases whose pairs are all frequent."""
+def _longer(
+    batches: Iterator[pa.RecordBatch], frequent: np.ndarray, hot: np.ndarray, known: int, longest: int
+) -> Iterator[pa.RecordBatch]:
+    """Stripes of phrases of more than ``known`` and up to ``longest`` words, whose parts of ``known`` words are
+    all frequent."""
     hashes, held = {}, {}
     for lang, words, places, stop, done in _blocks(batches):
         own = _known(hashes, lang, words, done)
-        marked = _marked(frequent, own[places[:-1]] * _STEP + own[places[1:]]) & (places[:-1] > 0) & (places[1:] > 0)
-        runs = [*held.pop(lang, []), _runs(places, marked, stop)]
-        if done or sum(len(r) for r, _ in runs) > BLOCK:
-            yield from _phrases(lang, words, own, hot, *(np.concatenate(x) for x in zip(*runs)))
+        part, folded = np.zeros(len(places), bool), np.zeros(max(len(places) - known + 1, 0), np.uint64)
+        part[:len(folded)] = True
+        for more in range(known):
+            each = places[more:more + len(folded)]
+            folded = folded * _STEP + own[each]
+            part[:len(folded)] &= each > 0
+        part[:len(folded)] &= _marked(frequent, folded)
+        runs = [*held.pop(lang, []), _runs(places, part, known, stop)]
+        if done or sum(len(r[0]) for r in runs) > RUNS:
+            yield from _phrases(lang, words, own, hot, known, longest, *(np.concatenate(x) for x in zip(*runs)))
         else:
             held[lang] = runs
 
 
 def _phrases(
-    lang: str, words: list[bytes], own: np.ndarray, hot: np.ndarray, places: np.ndarray, begins: np.ndarray
+    lang: str, words: list[bytes], own: np.ndarray, hot: np.ndarray, known: int, longest: int,
+    places: np.ndarray, begins: np.ndarray, part: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """Stripes of prefixes of two words and more in runs of places."""
-    pair = np.r_[(places[:-1] > 0) & (places[1:] > 0), False][:len(places)]
-    found, at = np.unique(places[:-1] * len(words) + places[1:], return_inverse=True)
-    one, two = found // len(words), found % len(words)
-    hashes, names = own[one] * _STEP + own[two], {}
+    """Stripes of prefixes of ``known`` words and more in runs of places."""
+    at = np.flatnonzero(part)
+    texts = pa.array(words, pa.string())
+    joined = lambda names, one, two: pc.binary_join_element_wise(names.take(pa.array(one)), texts.take(pa.array(two)), " ")
     # The phrase that begins at each place, as its number among those found, and whether there is one.
-    code, good = np.r_[at, 0], pair & begins
-    for size in range(3, LONGEST + 1):
-        reach = np.flatnonzero(good[: 2 - size] & pair[size - 2:])
+    code, good = np.zeros(len(places), np.int64), part & begins
+    numbers, names, hashes = places[at], texts, own
+    for more in range(1, known):
+        found, numbers = np.unique(numbers * len(words) + places[at + more], return_inverse=True)
+        one, two = found // len(words), found % len(words)
+        names, hashes = joined(names, one, two), hashes[one] * _STEP + own[two]
+    code[at] = numbers
+    spread = _marked(hot, hashes)
+    for size in range(known + 1, longest + 1):
+        reach = np.flatnonzero(good[:known - size] & part[size - known:])
         if not len(reach):
             return
         keys = code[reach] * len(words) + places[reach + size - 1]
-        found, counts = np.unique(keys, return_counts=True)
+        found, numbers, counts = np.unique(keys, return_inverse=True, return_counts=True)
         used, prefix = np.unique(found // len(words), return_inverse=True)
         following = found % len(words)
-        if size == 3:
-            names = {u: words[a] + b" " + words[b] for u, a, b in zip(used.tolist(), one[used].tolist(), two[used].tolist())}
-        texts, hashes = [names[u] for u in used.tolist()], hashes[used]
-        yield from _stripes(lang, texts, _marked(hot, hashes), prefix, following, counts, words)
-        names = {i: texts[p] + b" " + words[f] for i, (p, f) in enumerate(zip(prefix.tolist(), following.tolist()))}
-        hashes = hashes[prefix] * _STEP + own[following]
+        names = names.take(pa.array(used))
+        yield from _stripes(lang, names, spread[used], prefix, following, counts, words)
+        # A longer prefix is dealt out where the one it begins with is: it is no more frequent.
+        names, spread = joined(names, prefix, following), spread[used][prefix]
         code, good = np.zeros(len(places), np.int64), np.zeros(len(places), bool)
-        code[reach], good[reach] = np.searchsorted(found, keys), True
+        code[reach], good[reach] = numbers, True
 
 
 def _merged(stripes: DataFrame, least: int) -> DataFrame:
@@ -256,12 +275,12 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     totals = kept(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     found = words.where(F.col("f") >= least)
     tables = [found]
-    for build in (_pairs, _longer):
+    for build in (_pairs, partial(_longer, known=2, longest=3), partial(_longer, known=3, longest=LONGEST)):
         marks = spark.sparkContext.broadcast((_bitmap(found), _bitmap(found.where(F.col("f") >= HOT))))
         stripes = texts.mapInArrow(lambda batches, build=build, marks=marks: build(batches, *marks.value), _STRIPES)
         found = _named(_merged(stripes, least), "phrases")
         tables.append(found)
-    return tables[0].unionByName(tables[1]).unionByName(tables[2]), totals
+    return reduce(DataFrame.unionByName, tables), totals
 
 
 def _score(a: str, n: str, left: str, right: str):

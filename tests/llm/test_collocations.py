@@ -99,6 +99,39 @@ def test_blocks_lose_no_phrase(block, most, monkeypatch):
     assert found == want
 
 
+@pytest.mark.parametrize("block, runs", [(1 << 18, 1 << 20), (9, 5), (40, 1)])
+def test_longer_phrases_only_from_frequent_parts(block, runs, monkeypatch):
+    """Words whose pairs are all frequent and whose triples mostly are not: phrases of four words and more are
+    formed of frequent triples alone, and of those whatever the blocks."""
+    import pyarrow as pa
+    import xxhash
+
+    pick = random.Random(4)
+    text = " ".join(pick.choice("abcdefgh") if pick.random() < 0.9 else "a b c d e ." for _ in range(4000))
+    words, size = text.split(), 3
+    often = {tuple("abc"), tuple("bcd"), tuple("cde")}
+    marks, none = np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, np.uint8)
+    for phrase in often:
+        folded = 0
+        for w in phrase:
+            folded = (folded * int(collocations._STEP) + xxhash.xxh64_intdigest(f"en\n{w}".encode())) % (1 << 64)
+        marks[folded % (1 << 19) >> 3] |= np.uint8(1 << (folded & 7))
+    monkeypatch.setattr(collocations, "RUNS", runs)
+    monkeypatch.setattr(collocations._blocks, "__defaults__", (block, 100))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text.encode()])], names=["lang", "text"])
+    found = Counter()
+    for stripes in collocations._longer(iter([batch]), marks, none, known=size, longest=5):
+        for row in stripes.to_pylist():
+            for word, count in zip(row["next"], row["counts"]):
+                found[row["prefix"], word] += count
+    want = Counter()
+    for n in (4, 5):
+        for i in range(len(words) - n + 1):
+            if all(tuple(words[j:j + 3]) in often for j in range(i, i + n - 2)):
+                want[" ".join(words[i:i + n - 1]), words[i + n - 1]] += 1
+    assert found == want and set(want) == {("a b c", "d"), ("b c d", "e"), ("a b c d", "e")}
+
+
 def test_products_beyond_64_bits(spark):
     big = spark.sql("SELECT 9000000000000L AS a, 900000000000000L AS n, 9000000000001L AS l, 9000000000007L AS r")
     score = big.select(collocations._score("a", "n", "l", "r")).first()[0]
