@@ -541,3 +541,30 @@ def test_checks_of_no_rows(spark, folder, known):
     got = checks.checked_write(df, f"{folder}/out", [checks.Rule("r", F.col("a") > 0, 0.0)])
     assert got.kept().count() == 0 and got.kept().columns == ["a"] and got.refused() == []
     assert rows(got.report()) == [("r", 0, 0, 0.0, True)]
+
+
+def test_tables_of_a_load_change_places_side_by_side(spark, folder, monkeypatch):
+    """A month of one table waits for a month of another, in putting in place and in undoing."""
+    import threading
+
+    rows = spark.createDataFrame([(1, 202301)], f"x int, {tables.LOAD} int")
+    for number in ("1", "2"):
+        load = journal.begin(spark, folder, number)
+        load.stage_all({"a": rows, "b": rows})
+        if number == "2":
+            found = load.rows_of(["a", "b", "c"], [202301])
+            assert [found[name] is None for name in ("a", "b", "c")] == [False, False, True]
+        both, plain = threading.Barrier(2, timeout=20), journal._Files.move
+
+        def move(self, old, new, both=both, plain=plain):
+            if tables.LOAD in old:
+                both.wait()
+            plain(self, old, new)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(journal._Files, "move", move)
+            load.publish([202301])
+            if number == "2":
+                assert journal.undo_after(spark, folder, "1") == ["2"]
+    assert [e.state for e in journal.loads(spark, folder)] == ["published", "undone"]
+    assert tables.read_table(spark, f"{folder}/a").count() == tables.read_table(spark, f"{folder}/b").count() == 1
