@@ -118,7 +118,7 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The stripe of the empty prefix."""
+    """The stripe of the empty prefix; its entry for a break holds the number of all words."""
     sums: dict[str, np.ndarray] = {}
     for lang, words, places, stop, done in _blocks(batches):
         counts = np.bincount(places[:stop], minlength=len(words))
@@ -127,7 +127,8 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not done:
             sums[lang] = counts
             continue
-        follow = np.flatnonzero(counts[1:]) + 1
+        counts[0] = counts[1:].sum()
+        follow = np.flatnonzero(counts)
         yield from _stripes(lang, pa.array([""]), np.array([True]), np.zeros(len(follow), np.int64), follow, counts[follow], words)
 
 
@@ -227,12 +228,12 @@ def _phrases(
 
 
 def _merged(stripes: DataFrame, least: int) -> DataFrame:
-    """Entries (lang, prefix, following, f) of the elementwise sums of stripes. They are shuffled as
-    stripes and stay where their prefix and segment were dealt."""
+    """Entries (lang, prefix, following, f) of the elementwise sums of stripes that reach ``least``, and the numbers of
+    all words. Stripes are shuffled as such and stay where their prefix and segment were dealt."""
     dealt = stripes.repartition("lang", "prefix", "segment")
     entries = dealt.select("lang", "prefix", "segment", F.inline(F.arrays_zip(F.col("next").alias("following"), F.col("counts").alias("f"))))
     sums = entries.groupBy("lang", "prefix", "segment", "following").agg(F.sum("f").alias("f"))
-    return sums.drop("segment") if least < 2 else sums.where(F.col("f") >= least).drop("segment")
+    return sums.where((F.col("f") >= least) | (F.col("following") == BREAK.decode())).drop("segment")
 
 
 def _bitmap(phrases: DataFrame) -> np.ndarray:
@@ -262,7 +263,8 @@ def _bitmap(phrases: DataFrame) -> np.ndarray:
 
 def _named(entries: DataFrame, purpose: str) -> DataFrame:
     phrase = F.when(F.col("prefix") == "", F.col("following")).otherwise(F.concat_ws(" ", "prefix", "following"))
-    return kept(entries.select("lang", "prefix", "following", phrase.alias("phrase"), "f"), purpose)
+    # What is frequent is little beside the stripes it was found in: a few files, not one for each of their tasks.
+    return kept(entries.select("lang", "prefix", "following", phrase.alias("phrase"), "f").hint("rebalance"), purpose)
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -271,9 +273,8 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     spark = docs.sparkSession
     texts = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("text"))
-    words = _named(_merged(texts.mapInArrow(_words, _STRIPES), 1), "words")
-    totals = kept(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
-    found = words.where(F.col("f") >= least)
+    words, total = _named(_merged(texts.mapInArrow(_words, _STRIPES), least), "words"), F.col("following") == BREAK.decode()
+    totals, found = words.where(total).select("lang", F.col("f").alias("n")), words.where(~total)
     tables = [found]
     for build in (_pairs, partial(_longer, known=2, longest=3), partial(_longer, known=3, longest=LONGEST)):
         marks = spark.sparkContext.broadcast((_bitmap(found), _bitmap(found.where(F.col("f") >= HOT))))

@@ -153,3 +153,15 @@ def test_very_long_text_and_empty(spark):
     assert [r.phrase for r in collocations.collocations(docs).collect()] == [r[2] for r in plain(rows, 100, 2000)]
     assert collocations.collocations(docs.limit(0)).count() == 0
     assert collocations.collocations(docs.where("text LIKE 'one%'")).count() == 0
+
+
+def test_rare_words_are_not_stored(spark, monkeypatch):
+    """Only frequent words and the number of all, which is exact for a language without any frequent word too."""
+    rows, plain = [], collocations.kept
+    monkeypatch.setattr(collocations, "kept", lambda df, purpose: rows.append((purpose, plain(df, purpose))) or rows[-1][1])
+    docs = spark.createDataFrame([("en", " ".join(["often"] * 5 + [f"rare{i}" for i in range(50)])), ("fr", "seul . mot")], "lang string, text string")
+    found, totals = collocations.frequent_phrases(docs, least=5)
+    assert sorted(tuple(r) for r in totals.collect()) == [("en", 55), ("fr", 2)]
+    assert sorted(r.following for p, df in rows if p == "words" for r in df.collect()) == [".", ".", "often"]
+    assert all(len(df.inputFiles()) <= 1 for _, df in rows)
+    assert [r.phrase for r in found.where("prefix = ''").collect()] == ["often"]
