@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 import threading
 import time
 
@@ -568,3 +569,47 @@ def test_tables_of_a_load_change_places_side_by_side(spark, folder, monkeypatch)
                 assert journal.undo_after(spark, folder, "1") == ["2"]
     assert [e.state for e in journal.loads(spark, folder)] == ["published", "undone"]
     assert tables.read_table(spark, f"{folder}/a").count() == tables.read_table(spark, f"{folder}/b").count() == 1
+
+
+def test_rows_of_complaints_are_read_once(spark, folder):
+    """Rows without a month too, which replace what lies under their batch."""
+    many = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def passed(name):
+        many.add(1)
+        return name
+
+    raw = clean_complaints(raw_complaints(spark))
+    known = raw.count()
+    some = raw.withColumn("month", F.when(F.col("account") > "1", F.col("month")))
+    lost = some.filter("month IS NULL").count()
+    assert 0 < lost < known
+    os.makedirs(f"{folder}/rejects/complaints/50%20/old")  # left by a driver that stopped before its plan was written
+    paths = load_complaints(some.withColumn("ibc_name", passed("ibc_name")), folder, batch="50%20")
+    assert many.value == known
+    rejects = tables.read_table(spark, f"{folder}/rejects/complaints/*")
+    assert os.listdir(f"{folder}/rejects/complaints") == ["50%20"] and not os.path.exists(f"{paths['rejects']}/old")
+    assert sorted(rejects.columns) == sorted(some.columns) and rejects.count() == lost
+    assert tables.read_table(spark, paths["complaints"]).count() == known - lost
+
+
+def test_nothing_is_listed_for_dimensions_before_billing(spark, folder, monkeypatch):
+    listed, plain = [], journal.Load.rows_of
+    monkeypatch.setattr(journal.Load, "rows_of", lambda self, names, months: listed.extend(names) or plain(self, names, months))
+    load_complaints(clean_complaints(raw_complaints(spark)), folder)
+    assert "crm_consumer_dim" not in listed
+    load_months(raw_billing(spark), folder)
+    assert "crm_consumer_dim" in listed
+
+
+def test_tasks_of_large_summaries_follow_the_rows(spark):
+    """Same summary, and its second step is dealt to the tasks asked for."""
+    from gridsight.plans.monthly import complaint_dims
+
+    crm = clean_complaints(raw_complaints(spark))
+    plain, dealt = complaint_dims(crm), complaint_dims(crm, 7)
+    for name in ("crm_consumer_dim", "crm_pmt_dim"):
+        assert rows(plain[name]) == rows(dealt[name])
+        plan = dealt[name]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert re.search(r"hashpartitioning\([^)]*, 7\), REPARTITION_BY_NUM", plan) and plan.count("Exchange") == 2
