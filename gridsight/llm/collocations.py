@@ -1,7 +1,7 @@
 """Phrases whose words stand together more often than their parts alone would, mined with stripes.
 
-A stripe is a prefix's counter of the words that come next: (lang, prefix, segment, next words, counts). Map tasks build
-stripes from blocks of whole texts, the shuffle brings the stripes of a prefix together, and they are
+A stripe is a prefix's counter of the words that come next: (lang, prefix, segment, next words, counts). Map tasks, each of
+several splits, build stripes from blocks of whole texts, the shuffle brings the stripes of a prefix together, and they are
 merged elementwise: counts of the same next word are added. The merged stripes hold all that is asked: an
 entry is the count of the phrase (prefix, next word), the largest entry of a stripe is the most frequent
 extension of its prefix to the right, and the largest entry by (prefix without its first word, next word)
@@ -41,6 +41,10 @@ SLOTS, HOT, SEGMENTS = 1 << 26, 1 << 18, 64
 #: Words that a task counts at a time; distinct words and pairs of a language whose counts it holds, and places of
 #: frequent parts whose phrases it counts together.
 BLOCK, WORDS, HELD, RUNS = 1 << 18, 1 << 20, 1 << 21, 1 << 20
+#: Words that are not frequent, of a language, that a task remembers as such.
+RARE = 1 << 16
+#: Splits of the input that a task counts together, where every core has a task all the same.
+SPLITS = 4
 #: Stands for a break between pieces among a text's words.
 BREAK = b"."
 
@@ -51,30 +55,57 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _STRIPES = "lang string, prefix string, segment int, next array<string>, counts array<bigint>"
 
 
+class _Numbers(dict):
+    """Words' numbers in the order they are met. With a bitmap of ``frequent`` words all others have the
+    break's, 0, as no frequent phrase holds them, and take no memory but that of the ``RARE`` met last."""
+
+    def __init__(self, lang: str, frequent: np.ndarray | None):
+        super().__init__({BREAK: 0})
+        self.words, self._own, self._rare = [BREAK], lang.encode() + b"\n", 0
+        self._frequent = None if frequent is None else memoryview(frequent)
+
+    def __missing__(self, word: bytes) -> int:
+        if self._frequent is not None:
+            slot = xxhash.xxh64_intdigest(self._own + word) % (len(self._frequent) * 8)
+            if not self._frequent[slot >> 3] >> (slot & 7) & 1:
+                if self._rare == RARE:
+                    self.clear()
+                    self.update(zip(self.words, range(len(self.words))))
+                    self._rare = 0
+                self._rare += 1
+                self[word] = 0
+                return 0
+        self[word] = number = len(self.words)
+        self.words.append(word)
+        return number
+
+
 def _blocks(
-    batches: Iterator[pa.RecordBatch], block: int = BLOCK, most: int = WORDS
+    batches: Iterator[pa.RecordBatch], block: int = BLOCK, most: int = WORDS, *, frequent: np.ndarray | None = None
 ) -> Iterator[tuple[str, list[bytes], np.ndarray, int, bool]]:
-    """(lang, distinct words so far, their places in some of the texts, stop, done); place 0 is a break.
-    Phrases that begin before ``stop`` are the block's: the last words of a cut text begin the next block
+    """(lang, distinct words so far, their places in some of the texts, stop, done); place 0 is a break, or
+    a word that is not ``frequent``. Phrases that begin before ``stop`` are the block's: the last words of a cut text begin the next block
     too. After a block that is ``done`` (at the end, or beyond ``most`` words) places are numbered anew."""
-    held: dict[str, tuple[dict[bytes, int], list[int]]] = {}
+    held: dict[str, tuple[_Numbers, list[int]]] = {}
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids, places = held.setdefault(lang, ({BREAK: 0}, []))
+            if lang not in held:
+                held[lang] = _Numbers(lang, frequent), []
+            ids, places = held[lang]
             for part in pieces((text or b"").translate(_PLAIN).replace(BREAK, b" " + BREAK + b" ")):
                 if len(places) > block:
                     stop = len(places) - LONGEST + 1
-                    yield lang, list(ids), np.array(places, np.int64), stop, False
+                    yield lang, ids.words, np.array(places, np.int64), stop, False
                     del places[:stop]
-                places += [ids.setdefault(w, len(ids)) for w in part.split()]
+                places += [ids[w] for w in part.split()]
             places.append(0)
-            if len(places) > block or len(ids) > most:
-                yield lang, list(ids), np.array(places, np.int64), len(places), len(ids) > most
+            if len(places) > block or len(ids.words) > most:
+                yield lang, ids.words, np.array(places, np.int64), len(places), len(ids.words) > most
                 places.clear()
-                if len(ids) > most:
+                if len(ids.words) > most:
                     del held[lang]
     for lang, (ids, places) in held.items():
-        yield lang, list(ids), np.array(places, np.int64), len(places), True
+        yield lang, ids.words, np.array(places, np.int64), len(places), True
 
 
 def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
@@ -141,14 +172,14 @@ def _known(hashes: dict[str, np.ndarray], lang: str, words: list[bytes], done: b
     return own
 
 
-def _pairs(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Stripes of one-word prefixes, of frequent words only."""
+def _pairs(
+    batches: Iterator[pa.RecordBatch], found: np.ndarray, hot: np.ndarray, *, frequent: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Stripes of one-word prefixes, of ``frequent`` words only, which are what was ``found`` before."""
     hashes, sums = {}, {}
-    for lang, words, places, stop, done in _blocks(batches):
+    for lang, words, places, stop, done in _blocks(batches, frequent=frequent):
         own = _known(hashes, lang, words, done)
-        known = _marked(frequent, own)
-        known[0] = False
-        both = np.flatnonzero(known[places[:-1]] & known[places[1:]])
+        both = np.flatnonzero((places[:-1] > 0) & (places[1:] > 0))
         both = both[both < stop]
         parts = [*sums.pop(lang, []), np.unique(places[both] << 32 | places[both + 1], return_counts=True)]
         if len(parts) > 8 or done:
@@ -173,12 +204,13 @@ def _runs(places: np.ndarray, part: np.ndarray, known: int, stop: int) -> tuple[
 
 
 def _longer(
-    batches: Iterator[pa.RecordBatch], frequent: np.ndarray, hot: np.ndarray, known: int, longest: int
+    batches: Iterator[pa.RecordBatch], found: np.ndarray, hot: np.ndarray, known: int, longest: int, *,
+    frequent: np.ndarray | None = None
 ) -> Iterator[pa.RecordBatch]:
-    """Stripes of phrases of more than ``known`` and up to ``longest`` words, whose parts of ``known`` words are
-    all frequent."""
+    """Stripes of phrases of more than ``known`` and up to ``longest`` words, whose parts of ``known`` words were all
+    ``found`` to be frequent, as their words are."""
     hashes, held = {}, {}
-    for lang, words, places, stop, done in _blocks(batches):
+    for lang, words, places, stop, done in _blocks(batches, frequent=frequent):
         own = _known(hashes, lang, words, done)
         part, folded = np.zeros(len(places), bool), np.zeros(max(len(places) - known + 1, 0), np.uint64)
         part[:len(folded)] = True
@@ -186,7 +218,7 @@ def _longer(
             each = places[more:more + len(folded)]
             folded = folded * _STEP + own[each]
             part[:len(folded)] &= each > 0
-        part[:len(folded)] &= _marked(frequent, folded)
+        part[:len(folded)] &= _marked(found, folded)
         runs = [*held.pop(lang, []), _runs(places, part, known, stop)]
         if done or sum(len(r[0]) for r in runs) > RUNS:
             yield from _phrases(lang, words, own, hot, known, longest, *(np.concatenate(x) for x in zip(*runs)))
@@ -261,6 +293,13 @@ def _bitmap(phrases: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
+def _gathered(texts: DataFrame) -> DataFrame:
+    """The texts in fewer tasks: one that counts more of them makes each stripe once, not once for every split.
+    For a plain scan this runs nothing."""
+    cores, splits = texts.sparkSession.sparkContext.defaultParallelism, texts.rdd.getNumPartitions()
+    return texts.coalesce(max(cores, -(-splits // SPLITS)))
+
+
 def _named(entries: DataFrame, purpose: str) -> DataFrame:
     phrase = F.when(F.col("prefix") == "", F.col("following")).otherwise(F.concat_ws(" ", "prefix", "following"))
     # What is frequent is little beside the stripes it was found in: a few files, not one for each of their tasks.
@@ -271,14 +310,17 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     """(lang, prefix, following, phrase, f) of every phrase of up to ``LONGEST`` words that occurs ``least``
     times, and (lang, n), the words of each language."""
     spark = docs.sparkSession
-    texts = docs.select(
-        F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("text"))
+    texts = _gathered(docs.select(
+        F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("text")))
     words, total = _named(_merged(texts.mapInArrow(_words, _STRIPES), least), "words"), F.col("following") == BREAK.decode()
     totals, found = words.where(total).select("lang", F.col("f").alias("n")), words.where(~total)
-    tables = [found]
+    tables, frequent = [found], None
     for build in (_pairs, partial(_longer, known=2, longest=3), partial(_longer, known=3, longest=LONGEST)):
         marks = spark.sparkContext.broadcast((_bitmap(found), _bitmap(found.where(F.col("f") >= HOT))))
-        stripes = texts.mapInArrow(lambda batches, build=build, marks=marks: build(batches, *marks.value), _STRIPES)
+        frequent = frequent or marks  # of the words
+        stripes = texts.mapInArrow(
+            lambda batches, build=build, marks=marks, frequent=frequent: build(batches, *marks.value, frequent=frequent.value[0]),
+            _STRIPES)
         found = _named(_merged(stripes, least), "phrases")
         tables.append(found)
     return reduce(DataFrame.unionByName, tables), totals

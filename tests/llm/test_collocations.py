@@ -165,3 +165,35 @@ def test_rare_words_are_not_stored(spark, monkeypatch):
     assert sorted(r.following for p, df in rows if p == "words" for r in df.collect()) == [".", ".", "often"]
     assert all(len(df.inputFiles()) <= 1 for _, df in rows)
     assert [r.phrase for r in found.where("prefix = ''").collect()] == ["often"]
+
+
+def test_splits_share_a_stripe(spark, monkeypatch):
+    """A task counts several splits and makes each of its prefixes' stripes once."""
+    words = [f"w{i}" for i in range(20)]
+    texts = [("en", " ".join(random.Random(i).choices(words, k=200))) for i in range(160)]
+    made, merged = [], collocations._merged
+    monkeypatch.setattr(collocations, "_merged", lambda stripes, least: made.append(stripes.count()) or merged(stripes, least))
+    docs = spark.createDataFrame(texts, "lang string, text string").repartition(64).localCheckpoint()
+    found, _ = collocations.frequent_phrases(docs, least=5)
+    tasks = 64 // collocations.SPLITS
+    assert made[1] == tasks * 20 and docs.rdd.getNumPartitions() == 64
+    assert found.where("prefix = ''").count() == 20
+    few = spark.createDataFrame(texts[:8], "lang string, text string").repartition(5).localCheckpoint()
+    assert collocations._gathered(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_later_passes_hold_frequent_words_only(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(collocations, "RARE", 3)
+    marks = np.zeros(1 << 13, np.uint8)
+    for one in collocations._hashes("en", [b"a", b"b"]):
+        slot = int(one) % (1 << 16)
+        marks[slot >> 3] |= 1 << (slot & 7)
+    text = " ".join(["a"] + [f"rare{i}" for i in range(50)] + ["b a rare0 b"]).encode()
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text])], names=["lang", "text"])
+    (_, words, places, _, _), = collocations._blocks(iter([batch]), frequent=marks)
+    assert words == [b".", b"a", b"b"]
+    assert places.tolist() == [1] + [0] * 50 + [2, 1, 0, 2, 0]
+    numbers = collocations._Numbers("en", marks)
+    assert [numbers[b"rare%d" % i] for i in range(50)] == [0] * 50 and len(numbers) <= 4
